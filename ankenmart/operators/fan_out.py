@@ -23,7 +23,10 @@ _SLICE, _SLICES, _HOT_KEY, _MANY_KEY, _MATCHED = "_slice", "_slices", "_hot_key"
 
 
 def hot_keys(many: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
-    """Keys with more than ``slice_rows`` rows and the number of slices for each."""
+    """Keys with more than ``slice_rows`` rows and the number of slices for each.
+
+    ``many`` may be the bare table, before any N:1 lookup that keeps its rows.
+    """
     return (
         many.where(F.col(key).isNotNull())
         .groupBy(F.col(key).alias(_HOT_KEY))
@@ -57,15 +60,15 @@ def fan_out(
     many: DataFrame,
     key: str,
     spread_by: str,
-    slice_rows: int = SLICE_ROWS,
+    hot: DataFrame,
     per_key: Iterable[DataFrame] = (),
 ) -> DataFrame:
     """``one LEFT JOIN per_key... LEFT JOIN many`` on ``key``, which all sides name alike.
 
-    ``per_key`` tables have one row a key. They are copied per slice like ``one``, so
-    that the wide ``one`` side is shuffled once for all the joins.
+    ``hot`` is ``hot_keys`` of ``many``. ``per_key`` tables have one row a key. They are
+    copied per slice like ``one``, so that the wide ``one`` side is shuffled once for
+    all the joins.
     """
-    hot = hot_keys(many, key, slice_rows)
     rows = _copy(one, hot, key)
     for i, table in enumerate(per_key):
         names = (f"_key_{i}", f"_slice_{i}")

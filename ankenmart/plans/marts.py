@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ankenmart.operators.fan_out import SLICE_ROWS, fan_out
+from ankenmart.operators.fan_out import fan_out, hot_keys
 
 Staged = Mapping[str, DataFrame]
 
@@ -162,13 +162,19 @@ def fact_opportunity(staged: Staged) -> DataFrame:
     return _select(staged["stg_opportunity"], FACT_OPPORTUNITY)
 
 
-def fact_opportunity_line_item(staged: Staged, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def hot_opportunities(staged: Staged) -> DataFrame:
+    """Opportunities with so many lines that the joins to the lines must split them."""
+    return hot_keys(staged["stg_opportunity_line_item"], "opportunity_id")
+
+
+def fact_opportunity_line_item(staged: Staged, hot: DataFrame | None = None) -> DataFrame:
     """Header left join detail: a header without lines gives one row with a NULL line id."""
+    hot = hot_opportunities(staged) if hot is None else hot
     header = _select(staged["stg_opportunity"], "opportunity_id" + LINE_FACT_HEADER)
     detail = _select(
         staged["stg_opportunity_line_item"], "opportunity_id\nline_item_id" + LINE_FACT_DETAIL
     )
-    joined = fan_out(header, detail, "opportunity_id", "line_item_id", slice_rows)
+    joined = fan_out(header, detail, "opportunity_id", "line_item_id", hot)
     order = "opportunity_id\nline_item_id" + LINE_FACT_HEADER + LINE_FACT_DETAIL
     return joined.select(*[name for _, name in _pairs(order)])
 

@@ -9,18 +9,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ankenmart.operators.fan_out import SLICE_ROWS
 from ankenmart.operators.layout import clustered
 from ankenmart.plans import quality
 from ankenmart.plans.calendar import dim_date
-from ankenmart.plans.marts import MARTS
+from ankenmart.plans.marts import MARTS, fact_opportunity_line_item, hot_opportunities
 from ankenmart.plans.staging import staging_layer
 from ankenmart.plans.wide import gold_opportunity_line_item_wide, gold_opportunity_wide
 from ankenmart.sources.raw import Source
 
+LINE_FACT = "fact_opportunity_line_item"
+
 # Clustering key, then the columns that split a hot key.
 CLUSTERING = {
-    "fact_opportunity_line_item": ("opportunity_id", "line_item_id"),
+    LINE_FACT: ("opportunity_id", "line_item_id"),
     "gold_opportunity_wide": ("商談ID",),
     "gold_opportunity_line_item_wide": ("案件ID", "品目ID"),
 }
@@ -79,7 +80,6 @@ def build(
     as_of: dt.date | None = None,
     target: str = "analytics",
     catalog: bool = False,
-    slice_rows: int = SLICE_ROWS,
 ) -> Build:
     """Register the staging views, write every mart below ``out``, prepare the tests.
 
@@ -104,25 +104,32 @@ def build(
             _register(spark, f"`{schema}`.`{model}`", path, DESCRIPTIONS[model])
         return spark.read.schema(rows.schema).parquet(path)
 
-    def write_all(models: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
-        with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
+    def write_hot() -> DataFrame:
+        # Both joins to the lines need the list of hot opportunities: counted once, then read.
+        path = f"{out}/{layer_schema(target, 'work')}/hot_opportunities"
+        hot = hot_opportunities(staging)
+        hot.write.mode("overwrite").parquet(path)
+        return spark.read.schema(hot.schema).parquet(path)
+
+    with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
+
+        def write_all(models: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
             started = {name: pool.submit(lambda n=name, f=make: write(n, f())) for name, make in models.items()}
             return {name: done.result() for name, done in started.items()}
 
-    first = {name: (lambda make=make: make(staging)) for name, make in MARTS.items()}
-    first["fact_opportunity_line_item"] = lambda: MARTS["fact_opportunity_line_item"](staging, slice_rows)
-    first["dim_date"] = lambda: dim_date(spark, as_of)
-    marts = write_all(first)
-
-    tables = {**staging, **marts}
-    marts |= write_all(
-        {
-            "gold_opportunity_wide": lambda: gold_opportunity_wide(tables),
-            "gold_opportunity_line_item_wide": lambda: gold_opportunity_line_item_wide(
-                tables, slice_rows=slice_rows
-            ),
-        }
-    )
+        counting = pool.submit(write_hot)
+        marts = write_all(
+            {name: lambda make=make: make(staging) for name, make in MARTS.items() if name != LINE_FACT}
+            | {"dim_date": lambda: dim_date(spark, as_of)}
+        )
+        hot, tables = counting.result(), {**staging, **marts}
+        marts |= write_all(
+            {
+                LINE_FACT: lambda: fact_opportunity_line_item(staging, hot),
+                "gold_opportunity_line_item_wide": lambda: gold_opportunity_line_item_wide(tables, hot=hot),
+                "gold_opportunity_wide": lambda: gold_opportunity_wide(tables),
+            }
+        )
     return Build(staging, marts, quality.run_all({**staging, **marts}))
 
 

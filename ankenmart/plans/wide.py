@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ankenmart.functions.arrays import distinct_array
-from ankenmart.operators.fan_out import SLICE_ROWS, fan_out
+from ankenmart.operators.fan_out import fan_out
 from ankenmart.operators.lookup import lookup, role_column
+from ankenmart.plans.marts import hot_opportunities
 from ankenmart.sources.wide_contract import LINE_ITEM_WIDE, OPPORTUNITY_WIDE, WideColumn
 
 Tables = Mapping[str, DataFrame]
@@ -111,7 +112,7 @@ def gold_opportunity_wide(tables: Tables, labels: Collection[str] | None = None)
 
 
 def gold_opportunity_line_item_wide(
-    tables: Tables, labels: Collection[str] | None = None, slice_rows: int = SLICE_ROWS
+    tables: Tables, labels: Collection[str] | None = None, hot: DataFrame | None = None
 ) -> DataFrame:
     """Header left join line, with the dimensions of each grain attached before the join.
 
@@ -137,5 +138,6 @@ def gold_opportunity_line_item_wide(
                 key, *[F.col(a).alias(role_column("buildings", a)) for a in arrays]
             )
         )
-    rows = fan_out(header, line, key, role_column("line", "line_item_id"), slice_rows, per_key)
+    hot = hot_opportunities(tables) if hot is None else hot
+    rows = fan_out(header, line, key, role_column("line", "line_item_id"), hot, per_key)
     return _labelled(rows, contract, key)
