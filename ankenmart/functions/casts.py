@@ -1,20 +1,10 @@
-"""Column casts that differ from Spark's plain ``cast``."""
+"""The casts of the staging layer."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
-
-MONEY = "decimal(18,2)"
-
-
-def rounded_int(value: Column) -> Column:
-    """Half away from zero, where Spark's own cast would cut the fraction off."""
-    return F.round(value.cast("double")).cast("int")
-
-
-def money(value: Column) -> Column:
-    return value.cast(MONEY)
-
-
-STAGING_CASTS = {"int": rounded_int, "money": money}
+# SQL templates by cast name.
+STAGING_CASTS = {
+    # Half away from zero, where Spark's own cast would cut the fraction off.
+    "int": "cast(round(cast({} AS double)) AS int)",
+    "money": "cast({} AS decimal(18,2))",
+}

@@ -7,6 +7,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ankenmart.operators.projection import renamed
+
 
 def role_column(role: str, column: str) -> str:
     """Name of a dimension column once it is attached under a role."""
@@ -31,10 +33,7 @@ def lookup(
     side AQE may split, so a hot or NULL key does not end in one task.
     """
     joined_key = role_column(role, "key")
-    side = dimension.select(
-        F.col(key).alias(joined_key),
-        *[F.col(a).alias(role_column(role, a)) for a in attributes],
-    )
+    side = renamed(dimension, [(key, joined_key), *((a, role_column(role, a)) for a in attributes)])
     if bounded:
         side = F.broadcast(side)
     return rows.join(side, F.col(on) == F.col(joined_key), "left").drop(joined_key)

@@ -5,9 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ankenmart.operators.fan_out import fan_out, hot_keys
+from ankenmart.operators.projection import renamed
 
 Staged = Mapping[str, DataFrame]
 
@@ -119,7 +119,7 @@ def _pairs(columns: str) -> list[tuple[str, str]]:
 
 
 def _select(rows: DataFrame, columns: str) -> DataFrame:
-    return rows.select(*[F.col(source).alias(name) for source, name in _pairs(columns)])
+    return renamed(rows, _pairs(columns))
 
 
 def dim_account(staged: Staged) -> DataFrame:
@@ -176,7 +176,7 @@ def fact_opportunity_line_item(staged: Staged, hot: DataFrame | None = None) ->
     )
     joined = fan_out(header, detail, "opportunity_id", "line_item_id", hot)
     order = "opportunity_id\nline_item_id" + LINE_FACT_HEADER + LINE_FACT_DETAIL
-    return joined.select(*[name for _, name in _pairs(order)])
+    return renamed(joined, [(name, name) for _, name in _pairs(order)])
 
 
 # Marts that are projections or one join of staging; the calendar and wide tables follow.

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ankenmart.functions.casts import STAGING_CASTS
+from ankenmart.operators.projection import ident
 from ankenmart.sources.raw import RAW_TABLES, RawTable, Source
 
 STAGING = {t.staged: t for t in RAW_TABLES.values()}
@@ -16,9 +17,9 @@ def stage(rows: DataFrame, table: RawTable) -> DataFrame:
         flag, value = table.keep
         # A NULL flag drops the row; a plain equality also reaches the Parquet scan.
         rows = rows.where(F.col(flag) == F.lit(value))
-    return rows.select(
+    return rows.selectExpr(
         *[
-            (STAGING_CASTS[c.cast](F.col(c.name)) if c.cast else F.col(c.name)).alias(c.staged)
+            f"{STAGING_CASTS.get(c.cast, '{}').format(ident(c.name))} AS {ident(c.staged)}"
             for c in table.columns
             if c.staged
         ]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ankenmart.functions.arrays import distinct_array
 from ankenmart.operators.fan_out import fan_out
 from ankenmart.operators.lookup import lookup, role_column
+from ankenmart.operators.projection import renamed
 from ankenmart.plans.marts import hot_opportunities
 from ankenmart.sources.wide_contract import LINE_ITEM_WIDE, OPPORTUNITY_WIDE, WideColumn
 
@@ -53,7 +54,7 @@ def _grain(
     """The rows of one grain with their own wanted columns and those of their dimensions."""
     used = {r: spec for r, spec in roles.items() if _wanted(contract, r)}
     own = dict.fromkeys([*keys, *_wanted(contract, name), *(on for on, _, _ in used.values())])
-    rows = rows.select(*[c if c in keys else F.col(c).alias(role_column(name, c)) for c in own])
+    rows = renamed(rows, [(c, c if c in keys else role_column(name, c)) for c in own])
     for role, (on, dimension, key) in used.items():
         rows = lookup(
             rows,
@@ -69,11 +70,8 @@ def _grain(
 
 
 def _labelled(rows: DataFrame, contract: Iterable[WideColumn], key: str) -> DataFrame:
-    return rows.select(
-        *[
-            F.col(key if c.column == key else role_column(c.role, c.column)).alias(c.label)
-            for c in contract
-        ]
+    return renamed(
+        rows, [(key if c.column == key else role_column(c.role, c.column), c.label) for c in contract]
     )
 
 
@@ -134,8 +132,9 @@ def gold_opportunity_line_item_wide(
     per_key = []
     if arrays:
         per_key.append(
-            buildings_by_opportunity(tables).select(
-                key, *[F.col(a).alias(role_column("buildings", a)) for a in arrays]
+            renamed(
+                buildings_by_opportunity(tables),
+                [(key, key), *((a, role_column("buildings", a)) for a in arrays)],
             )
         )
     hot = hot_opportunities(tables) if hot is None else hot

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ankenmart.operators.projection import ident, renamed
+
 CORRUPT, FILE = "_corrupt", "_file"
 
 # Encodings Spark's CSV reader takes.
@@ -138,14 +140,10 @@ def read_text(
         # What the reader makes of a quoted empty value: the text of NULL.
         emptyValue=fmt.null,
     )
-    values = {n: F.col(n) for n in [*names, CORRUPT]}
     if fmt.codec:
         decode = _recoded(fmt.codec)
-        values = {n: decode(v) for n, v in values.items()}
-    return rows.select(
-        *[value.alias(n) for n, value in values.items()],
-        F.col("_metadata.file_path").alias(FILE),
-    )
+        rows = rows.select(*[decode(F.col(n)).alias(n) for n in rows.columns], "_metadata")
+    return rows.selectExpr(*names, CORRUPT, f"_metadata.file_path AS {FILE}")
 
 
 def by_position(
@@ -153,7 +151,7 @@ def by_position(
 ) -> DataFrame:
     """All files in one scan; the header line of each is skipped."""
     rows = read_text(spark, paths, len(names), fmt)
-    return rows.select(*[F.col(f"c{i}").alias(n) for i, n in enumerate(names)], CORRUPT, FILE)
+    return renamed(rows, [(f"c{i}", n) for i, n in enumerate(names)], CORRUPT, FILE)
 
 
 def by_header(
@@ -168,8 +166,8 @@ def by_header(
         at = {n: i for i, n in enumerate(header)}
         rows = read_text(spark, files, len(header), fmt)
         scans.append(
-            rows.select(
-                *[(F.col(f"c{at[n]}") if n in at else F.lit(None).cast("string")).alias(n) for n in names],
+            rows.selectExpr(
+                *[f"{f'c{at[n]}' if n in at else 'cast(NULL AS string)'} AS {ident(n)}" for n in names],
                 CORRUPT,
                 FILE,
             )

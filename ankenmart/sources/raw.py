@@ -10,9 +10,10 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ankenmart.operators.projection import renamed
+
 NAMESPACE = "salesforce"
 
 # Wide enough for any amount or ratio an export may hold; staging narrows money.
@@ -251,7 +252,7 @@ def conform(rows: DataFrame, table: RawTable) -> DataFrame:
     missing = [c.name for c in table.columns if c.name.lower() not in have]
     if missing:
         raise ValueError(f"raw table {table.name} lacks {', '.join(missing)}")
-    return rows.select(*[F.col(c.name).alias(c.name) for c in table.columns])
+    return renamed(rows, [(c.name, c.name) for c in table.columns])
 
 
 def raw_table(name: str) -> RawTable:
