@@ -69,8 +69,10 @@ def _reader(spark: SparkSession, fmt: CsvFormat) -> DataFrameReader:
 
 
 def literal_path(path: str) -> str:
-    """The path with its glob characters escaped."""
-    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+    """The path of one file. Spark would take glob characters in it for a pattern."""
+    if re.search(r"[\[\]{}*?]", path):
+        raise ValueError(f"rename {path}: its name holds a glob character")
+    return path
 
 
 def list_files(spark: SparkSession, folder: str, pattern: str | None = None) -> DataFrame:
