@@ -37,7 +37,7 @@ from ankenmart.sources.load import (
 from ankenmart.streaming.load_once import load_once
 from fixtures import oracles
 from fixtures.crm import crm_source
-from fixtures.csv_files import ABSENT, ISO, as_text, csv_folder, spoil, write_csv, write_first, write_second
+from fixtures.csv_files import ABSENT, ISO, as_text, spoil, write_csv, write_first, write_second
 
 AS_OF = dt.date.fromisoformat(oracles.AS_OF)
 Query = Callable[[SparkSession, str], DataFrame]
@@ -128,7 +128,7 @@ def _paths(spark: SparkSession, folder: str) -> list[str]:
 
 def _load_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two sets of files whose headers differ, as one typed table; times as UTC text."""
-    folder = f"{csv_folder(spark, sf_dir)}/whole"
+    folder = scratch_path(spark, "whole")
     text = _line_text(spark, sf_dir)
     write_first(text, folder)
     write_second(text, folder)
@@ -141,7 +141,7 @@ def _load_by_header(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _spoilt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = f"{csv_folder(spark, sf_dir)}/spoilt"
+    folder = scratch_path(spark, "spoilt")
     write_csv(spoil(_line_text(spark, sf_dir)), folder, "null")
     return wide_text(spark, _paths(spark, folder))
 
@@ -165,7 +165,7 @@ def _load_continue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Load the first files, run again without new ones, add the other files, run again."""
-    folder, out = f"{csv_folder(spark, sf_dir)}/arriving", scratch_path(spark, "loaded")
+    folder, out = scratch_path(spark, "arriving"), scratch_path(spark, "loaded")
     text = _line_text(spark, sf_dir)
     pattern = r".*\.csv(\.gz)?"
     write_first(text, folder)
@@ -178,7 +178,7 @@ def _load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _load_force(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first files loaded twice: every row is there twice."""
-    folder, out = f"{csv_folder(spark, sf_dir)}/forced", scratch_path(spark, "loaded")
+    folder, out = scratch_path(spark, "forced"), scratch_path(spark, "loaded")
     write_first(_line_text(spark, sf_dir), folder)
     for _ in range(2):
         force_load(spark, folder, out, r".*\.csv(\.gz)?")
@@ -187,7 +187,7 @@ def _load_force(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _loaded_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The building columns of loaded files, parsed, counted by state."""
-    folder = f"{csv_folder(spark, sf_dir)}/arrays"
+    folder = scratch_path(spark, "arrays")
     write_second(_line_text(spark, sf_dir), folder)
     rows = with_arrays(read_wide_csv(spark, _paths(spark, folder)))
     return rows.select(F.explode_outer("建物都道府県").alias("state")).groupBy("state").agg(
@@ -197,7 +197,7 @@ def _loaded_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _load_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw buildings as positional CSV, loaded back as the raw table."""
-    folder = f"{csv_folder(spark, sf_dir)}/building"
+    folder = scratch_path(spark, "building")
     write_csv(as_text(crm_source(spark, sf_dir)("building__c")), folder, "NULL")
     return read_raw_csv(spark, "building__c", _paths(spark, folder))
 

@@ -130,7 +130,7 @@ def build(
                 "gold_opportunity_wide": lambda: gold_opportunity_wide(tables),
             }
         )
-    return Build(staging, marts, quality.run_all({**staging, **marts}))
+    return Build(staging, marts, quality.run_tests({**staging, **marts}))
 
 
 def _register(spark: SparkSession, table: str, path: str, description: str) -> None:

@@ -29,14 +29,9 @@ KEYS: dict[str, str] = {model: table.key for model, table in STAGING.items()} |
 }
 
 
-def _value_counts(rows: DataFrame, column: str) -> DataFrame:
-    # The key has a name of its own, so that dates and strings meet in one shape.
-    return rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-
-
 def failing_values(rows: DataFrame, column: str, test: str) -> DataFrame:
     """The failures of one test: NULL keys, or values seen more than once, with counts."""
-    counts = _value_counts(rows, column)
+    counts = rows.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n"))
     if test == NOT_NULL:
         return counts.where(F.col("value").isNull())
     if test == UNIQUE:
@@ -44,50 +39,33 @@ def failing_values(rows: DataFrame, column: str, test: str) -> DataFrame:
     raise ValueError(f"unknown test {test!r}")
 
 
-def not_null_failures(rows: DataFrame, column: str) -> DataFrame:
-    return rows.agg(F.count(F.when(F.col(column).isNull(), F.lit(1))).alias("failures"))
-
-
-def unique_failures(rows: DataFrame, column: str) -> DataFrame:
-    return failing_values(rows, column, UNIQUE).agg(F.count(F.lit(1)).alias("failures"))
-
-
-_TESTS = {NOT_NULL: not_null_failures, UNIQUE: unique_failures}
-
-
 def run_tests(tables: Mapping[str, DataFrame], *tests: str) -> DataFrame:
-    """One row a test: model, column, test, failures. All tests run as one job."""
-    parts = [
-        _TESTS[test](tables[model], column).select(
-            F.lit(model).alias("model"), F.lit(column).alias("column"), F.lit(test).alias("test"), "failures"
-        )
-        for test in tests or (NOT_NULL, UNIQUE)
-        for model, column in KEYS.items()
-        if model in tables
-    ]
-    return reduce(DataFrame.unionByName, parts)
-
-
-def run_all(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Both tests of every key from a single count per value, so each table is read once."""
-    parts = []
-    for model, column in KEYS.items():
-        if model not in tables:
-            continue
-        counts = _value_counts(tables[model], column)
-        failures = counts.agg(
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias(NOT_NULL),
-            F.count(F.when(F.col("value").isNotNull() & (F.col("n") > 1), F.lit(1))).alias(UNIQUE),
-        )
-        results = F.array(
-            *[
-                F.struct(F.lit(test).alias("test"), F.col(test).alias("failures"))
-                for test in (NOT_NULL, UNIQUE)
-            ]
-        )
-        parts.append(
-            failures.select(
-                F.lit(model).alias("model"), F.lit(column).alias("column"), F.inline(results)
-            )
-        )
-    return reduce(DataFrame.unionByName, parts)
+    """One row a test: model, column, test, failures.
+
+    All keys are counted together, so the tests are one scan of each key column and one
+    shuffle, however many models there are. ``not_null`` counts rows, ``unique`` values.
+    """
+    models = {model: column for model, column in KEYS.items() if model in tables}
+    values = reduce(
+        DataFrame.union,
+        [
+            tables[model].select(F.lit(model).alias("model"), F.col(column).cast("string").alias("value"))
+            for model, column in models.items()
+        ],
+    )
+    counts = values.groupBy("model", "value").agg(F.count(F.lit(1)).alias("n"))
+    failed = F.col("value").isNotNull() & (F.col("n") > 1)
+    by_model = counts.groupBy("model").agg(
+        F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias(NOT_NULL),
+        F.count(F.when(failed, F.lit(1))).alias(UNIQUE),
+    )
+    # A model without rows has no group, but its tests still pass: start from the list.
+    listed = values.sparkSession.createDataFrame(list(models.items()), "model string, column string")
+    results = F.array(
+        *[
+            F.struct(F.lit(test).alias("test"), F.coalesce(F.col(test), F.lit(0)).alias("failures"))
+            for test in tests or (NOT_NULL, UNIQUE)
+        ]
+    )
+    # by_model has a row a model, 23 at most.
+    return listed.join(F.broadcast(by_model), "model", "left").select("model", "column", F.inline(results))

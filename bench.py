@@ -14,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ankenmart.plans import pipeline
+from ankenmart.plans import pipeline, quality
 from ankenmart.plans.sales_semantics import LINE_ITEMS, QUESTIONS, answer
 from ankenmart.plans.wide import gold_opportunity_line_item_wide, gold_opportunity_wide
 from ankenmart.session import configure, scratch_path
@@ -51,14 +51,14 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    source = parquet_source(spark, write_raw(spark, sf_dir, scratch_path(spark, "raw")))
+    source = parquet_source(spark, write_raw(spark, sf_dir, scratch_path(spark, "raw"), int(cpus)))
     out = scratch_path(spark, "build")
     built: list[pipeline.Build] = []
 
     timings = {"pipeline_build": seconds(lambda: built.append(pipeline.build(spark, source, out, AS_OF)))}
     tables = built[-1].tables
     lines = tables["gold_opportunity_line_item_wide"]
-    timings["data_tests"] = seconds(lambda: built[-1].tests.collect())
+    timings["data_tests"] = seconds(lambda: quality.run_tests(tables).collect())
     timings["gold_opportunity_wide"] = seconds(lambda: drain(gold_opportunity_wide(tables)))
     timings["gold_opportunity_line_item_wide"] = seconds(
         lambda: drain(gold_opportunity_line_item_wide(tables))

@@ -143,9 +143,9 @@ def crm_source(spark: SparkSession, sf_dir: str) -> Source:
     return read
 
 
-def write_raw(spark: SparkSession, sf_dir: str, out: str) -> str:
-    """The raw tables as Parquet folders below ``out``."""
+def write_raw(spark: SparkSession, sf_dir: str, out: str, files: int) -> str:
+    """The raw tables as Parquet folders of several files each, as an export leaves them."""
     source = crm_source(spark, sf_dir)
     for name in MAPPING:
-        source(name).write.mode("overwrite").parquet(f"{out}/{name}")
+        source(name).repartition(files).write.mode("overwrite").parquet(f"{out}/{name}")
     return out

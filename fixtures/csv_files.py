@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-from functools import cache
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ankenmart.functions.arrays import array_to_json
-from ankenmart.session import scratch_path
+from ankenmart.operators.projection import ident
 
 ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
@@ -17,17 +14,18 @@ ISO = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 ABSENT = ("配送モデル", "増減額", "クローズ済み")
 
 
-def _text(field: T.StructField) -> Column:
-    value = F.col(f"`{field.name}`")
+def _text(field: T.StructField) -> str:
+    value = ident(field.name)
     if isinstance(field.dataType, T.ArrayType):
-        value = array_to_json(value)
+        value = f"to_json({value})"
     elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-        value = F.date_format(value, ISO)
-    return value.cast("string").alias(field.name)
+        quoted_iso = ISO.replace("'", "\\'")
+        value = f"date_format({value}, '{quoted_iso}')"
+    return f"cast({value} AS string) AS {ident(field.name)}"
 
 
 def as_text(rows: DataFrame) -> DataFrame:
-    return rows.select(*[_text(f) for f in rows.schema])
+    return rows.selectExpr(*[_text(f) for f in rows.schema])
 
 
 def write_csv(rows: DataFrame, path: str, null: str, compression: str = "none") -> None:
@@ -57,9 +55,3 @@ def spoil(text: DataFrame) -> DataFrame:
             "クローズ日": F.when(F.col("表示順") == "3", F.lit("2024-13-01")).otherwise(F.col("クローズ日")),
         }
     )
-
-
-@cache
-def csv_folder(spark: SparkSession, sf_dir: str) -> str:
-    """A new folder for the files of one session and one set of tables."""
-    return scratch_path(spark, "csv")
