@@ -21,7 +21,7 @@ from ankenmart.plans.wide import (
     gold_opportunity_wide,
 )
 from ankenmart.session import scratch_path
-from ankenmart.sources.csv_text import list_files
+from ankenmart.sources.csv_text import inferred_schema, list_files
 from ankenmart.sources.load import (
     CONTINUE,
     WIDE_TYPES,
@@ -202,6 +202,25 @@ def _load_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw_csv(spark, "building__c", _paths(spark, folder))
 
 
+def _staged_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files written by phase, found again by listing: the phases with at least one file."""
+    folder = scratch_path(spark, "staged")
+    text = as_text(gold_opportunity_wide(_Tables(spark, sf_dir))).withColumnRenamed("フェーズ", "phase")
+    text.write.partitionBy("phase").csv(folder, header=True)
+    files = list_files(spark, folder, r".*/phase=[^/]+/[^/]+\.csv").where("length > 0")
+    phase = F.url_decode(F.regexp_extract("path", "phase=([^/]+)/", 1))
+    return files.select(phase.alias("phase")).distinct()
+
+
+def _inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column types of the opportunity wide table as its CSV values show them."""
+    folder = scratch_path(spark, "inferred")
+    write_csv(as_text(gold_opportunity_wide(_Tables(spark, sf_dir))), folder, "null")
+    schema = inferred_schema(spark, _paths(spark, folder))
+    found = [(f.name, f.dataType.simpleString()) for f in schema]
+    return spark.createDataFrame(found, "name string, type string")
+
+
 def _preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = gold_opportunity_line_item_wide(
         _Tables(spark, sf_dir), labels=["品目ID", "案件名", "商品名", "合計金額", "クローズ日"]
@@ -253,6 +272,8 @@ def queries() -> dict[str, Query]:
     out["load_force"] = _load_force
     out["load_arrays"] = _loaded_arrays
     out["load_by_position"] = _load_by_position
+    out["staged_folders"] = _staged_folders
+    out["inferred_types"] = _inferred_types
     out["preview_line_item_wide"] = _preview
     out["pipeline_row_counts"] = _pipeline_counts
     return out
@@ -315,6 +336,8 @@ def oracle_sql() -> dict[str, str]:
         "GROUP BY state"
     )
     out["load_by_position"] = o.raw("building__c")
+    out["staged_folders"] = o.with_models('SELECT DISTINCT "フェーズ" AS phase FROM gold_opportunity_wide')
+    out["inferred_types"] = o.inferred_types()
     out["preview_line_item_wide"] = o.with_models(
         f'SELECT "品目ID", "案件名", "商品名", "合計金額", "クローズ日" FROM {wide} '
         'ORDER BY "品目ID" NULLS LAST LIMIT 10'

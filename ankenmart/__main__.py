@@ -1,4 +1,4 @@
-"""Jobs for ``spark-submit`` or ``python -m ankenmart``: build the marts, load CSV files."""
+"""Jobs for ``spark-submit`` or ``python -m ankenmart``: load CSV files, build the marts."""
 
 from __future__ import annotations
 
@@ -11,8 +11,17 @@ from pyspark.sql import SparkSession
 from ankenmart.plans.pipeline import build
 from ankenmart.session import configure
 from ankenmart.sources.csv_text import BY_HEADER, CsvFormat, list_files
-from ankenmart.sources.load import ABORT, CONTINUE, WIDE_TYPES, csv_source, force_load, validate, wide_text
-from ankenmart.sources.raw import NAMESPACE, catalog_source, parquet_source
+from ankenmart.sources.load import (
+    ABORT,
+    CONTINUE,
+    WIDE_TYPES,
+    copy_raw,
+    csv_source,
+    force_load,
+    validate,
+    wide_text,
+)
+from ankenmart.sources.raw import NAMESPACE, RAW_TABLES, catalog_source, parquet_source
 from ankenmart.streaming.load_once import load_once
 
 
@@ -36,6 +45,12 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     load.add_argument("--force", action="store_true", help="load files again that were loaded before")
     load.add_argument("--encoding", default=BY_HEADER.encoding)
 
+    copy = jobs.add_parser("copy", help="append positional CSV files to a raw table")
+    copy.add_argument("--table", required=True, choices=RAW_TABLES)
+    copy.add_argument("--folder", required=True)
+    copy.add_argument("--out", required=True, help="folder of the raw tables")
+    copy.add_argument("--on-error", choices=(ABORT, CONTINUE), default=ABORT)
+
     check = jobs.add_parser("validate", help="list the bad values of CSV files, load nothing")
     check.add_argument("--folder", required=True)
     check.add_argument("--out", required=True, help="where the list goes")
@@ -53,6 +68,9 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
         for r in failed:
             print(f"{r.test} failed on {r.model}.{r.column}: {r.failures}")
         return bool(failed)
+    if args.job == "copy":
+        copy_raw(spark, args.table, args.folder, args.out, args.on_error)
+        return 0
     fmt = CsvFormat(null=BY_HEADER.null, encoding=args.encoding)
     if args.job == "load":
         how = force_load if args.force else load_once

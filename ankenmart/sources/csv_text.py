@@ -184,6 +184,14 @@ def _empty(spark: SparkSession, names: Iterable[str]) -> DataFrame:
 
 
 def inferred_schema(spark: SparkSession, paths: Sequence[str], fmt: CsvFormat = BY_HEADER) -> T.StructType:
-    """Names from the header and types from the values, instead of a declared table."""
-    reader = _reader(spark, fmt).options(nullValue=fmt.null, emptyValue=fmt.null)
+    """Names from the header and types from the values, instead of a declared table.
+
+    Only whole days and full times are such; a month like 2024-02 stays text.
+    """
+    reader = _reader(spark, fmt).options(
+        nullValue=fmt.null,
+        emptyValue=fmt.null,
+        dateFormat="yyyy-MM-dd",
+        timestampFormat="yyyy-MM-dd'T'HH:mm:ss[.SSS][XXX]",
+    )
     return reader.csv([literal_path(p) for p in paths], header=True, inferSchema=True).schema

