@@ -229,7 +229,7 @@ def _preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pipeline.preview(ordered, "品目ID", "案件名", "商品名", "合計金額", "クローズ日")
 
 
-def _pipeline_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _built_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job, written and read back: rows of each of its 25 models."""
     built = pipeline.build(spark, crm_source(spark, sf_dir), scratch_path(spark, "build"), AS_OF)
     counts = [
@@ -275,7 +275,7 @@ def queries() -> dict[str, Query]:
     out["staged_folders"] = _staged_folders
     out["inferred_types"] = _inferred_types
     out["preview_line_item_wide"] = _preview
-    out["pipeline_row_counts"] = _pipeline_counts
+    out["row_counts_of_built_models"] = _built_row_counts
     return out
 
 
@@ -342,5 +342,5 @@ def oracle_sql() -> dict[str, str]:
         f'SELECT "品目ID", "案件名", "商品名", "合計金額", "クローズ日" FROM {wide} '
         'ORDER BY "品目ID" NULLS LAST LIMIT 10'
     )
-    out["pipeline_row_counts"] = o.row_counts()
+    out["row_counts_of_built_models"] = o.row_counts()
     return out
