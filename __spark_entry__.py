@@ -39,6 +39,14 @@ from fixtures import oracles
 from fixtures.crm import crm_source
 from fixtures.csv_files import ABSENT, ISO, as_text, spoil, write_csv, write_first, write_second
 
+try:
+    import corpus_pipeline
+    from ankenmart.llm import queries as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "ankenmart.llm"):
+        raise
+    llm = None
+
 AS_OF = dt.date.fromisoformat(oracles.AS_OF)
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -276,6 +284,9 @@ def queries() -> dict[str, Query]:
     out["inferred_types"] = _inferred_types
     out["preview_line_item_wide"] = _preview
     out["row_counts_of_built_models"] = _built_row_counts
+    if llm:
+        out |= llm.QUERIES
+        out["pipeline"] = corpus_pipeline.run
     return out
 
 
@@ -343,4 +354,8 @@ def oracle_sql() -> dict[str, str]:
         'ORDER BY "品目ID" NULLS LAST LIMIT 10'
     )
     out["row_counts_of_built_models"] = o.row_counts()
+    if llm:
+        out |= llm.ORACLES
+        if corpus_pipeline.ORACLE_SQL:
+            out["pipeline"] = corpus_pipeline.ORACLE_SQL
     return out
