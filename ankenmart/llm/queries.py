@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ankenmart.llm import mixing, packing, sharding, token_files
-from ankenmart.llm.common import documents
+from ankenmart.llm import mixing, packing, quality, sharding, simhash, token_files
+from ankenmart.llm.common import documents, id_crc32
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op4_vantage_point_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
+
+
 def op7_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir))
     return mixed.select(
@@ -34,8 +38,22 @@ def op9_arrow_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest)
 
 
+def op10_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = quality.score(docs, quality.train(docs, labels))
+    return scored.select("doc_id", (id_crc32() % 3 == 1).alias("held_out"), "score", "predicted")
+
+
 QUERIES: dict[str, Query] = {
-    f.__name__: f for f in (op2_best_fit_packing, op7_entropy_mixing, op8_vector_sharding, op9_arrow_token_files)
+    f.__name__: f
+    for f in (
+        op2_best_fit_packing,
+        op4_vantage_point_simhash,
+        op7_entropy_mixing,
+        op8_vector_sharding,
+        op9_arrow_token_files,
+        op10_bradley_terry_quality,
+    )
 }
 
 #: Newton iterations, bin packing, tokenizers and trained models are beyond SQL; tests compare with brute force.
