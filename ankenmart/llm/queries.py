@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ankenmart.llm import mixing, packing, quality, sharding, simhash, token_files
+from ankenmart.llm import mixing, packing, quality, sharding, simhash, token_files, weighted_sampling
 from ankenmart.llm.common import documents, id_crc32
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op4_vantage_point_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
+def op6_weighted_sampling_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return weighted_sampling.fingerprint_edits(documents(spark, sf_dir))
+
+
 def op7_entropy_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(documents(spark, sf_dir))
     return mixed.select(
@@ -49,6 +53,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op2_best_fit_packing,
         op4_vantage_point_simhash,
+        op6_weighted_sampling_fingerprints,
         op7_entropy_mixing,
         op8_vector_sharding,
         op9_arrow_token_files,
