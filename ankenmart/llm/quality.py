@@ -128,8 +128,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return fit(rows, np.array([r["quality"] == 1 for r in found], bool))
 
 
-def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
-    """The kept columns, ``score`` from 0 to 1 and ``predicted`` (1 from 0.5 on)."""
+def _scored(docs: DataFrame, model: Model, keep: tuple[str, ...], text: str) -> DataFrame:
+    """The kept columns as kept_0, kept_1 and so on, ``score`` and ``predicted``."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in slices(frames, 500):
@@ -138,5 +138,15 @@ def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), te
 
     rows = docs.select(*(F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)), text_of(text).alias("scored_text"))
     fields = [f"{f.name} {f.dataType.simpleString()}" for f in rows.schema if f.name != "scored_text"]
-    out = rows.mapInPandas(run, ", ".join([*fields, "score double, predicted int"]))
-    return out.withColumnsRenamed({f"kept_{i}": c for i, c in enumerate(keep)})
+    return rows.mapInPandas(run, ", ".join([*fields, "score double, predicted int"]))
+
+
+def score(docs: DataFrame, model: Model, keep: tuple[str, ...] = ("doc_id",), text: str = "text") -> DataFrame:
+    """The kept columns, ``score`` from 0 to 1 and ``predicted`` (1 from 0.5 on)."""
+    return _scored(docs, model, keep, text).withColumnsRenamed({f"kept_{i}": c for i, c in enumerate(keep)})
+
+
+def accepted(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
+    """The documents predicted good, as they are."""
+    rows = _scored(docs, model, tuple(docs.columns), text).where("predicted = 1")
+    return rows.select(*(F.col(f"kept_{i}").alias(c) for i, c in enumerate(docs.columns)))

@@ -7,12 +7,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ankenmart.llm import mixing, packing, quality, sharding, simhash, token_files, weighted_sampling
+from ankenmart.llm import mixing, packing, pii, quality, sharding, simhash, token_files, weighted_sampling
 from ankenmart.llm.common import documents, id_crc32
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_weakly_supervised_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == pii.KINDS.index(kind))).cast("long")
+    return found.select(
+        "row.doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in pii.BASE),
+        F.sha2(pii.listed("base").cast("binary"), 256).alias("base_sha256"),
+        pii.listed("spans").alias("spans"),
+    )
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
@@ -51,6 +63,7 @@ def op10_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
+        op1_weakly_supervised_pii,
         op2_best_fit_packing,
         op4_vantage_point_simhash,
         op6_weighted_sampling_fingerprints,

@@ -161,10 +161,12 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", **opti
 
     A document is known by key and text, so equal rows stay once.
     """
-    marked = docs.select(key, text, F.xxhash64(text_of(text)).alias("text_key"))
-    found = near_duplicates(marked, (key, "text_key"), key, text, **options)
-    rank = F.struct(F.col(key).isNull().alias("no_id"), F.col(key).alias("id"), "text_key")
+    marked = docs.select(F.col(key).alias("id"), F.col(text).alias("text"), F.xxhash64(text_of(text)).alias("text_key"))
+    found = near_duplicates(marked, ("id", "text_key"), "id", **options)
+    rank = F.struct(F.col("id").isNull().alias("no_id"), "id", "text_key")
     stay = found.groupBy("root").agg(F.min(rank).alias("kept")).select("kept.id", "kept.text_key")
-    rows = docs.withColumn("_text_key", F.xxhash64(text_of(text)))
-    same = F.col(key).eqNullSafe(F.col("id")) & (F.col("_text_key") == F.col("text_key"))
-    return rows.join(stay, same, "left_semi").dropDuplicates([key, "_text_key"]).select(docs.columns)
+    rows = docs.select(
+        F.struct(*docs.columns).alias("row"), F.col(key).alias("key"), F.xxhash64(text_of(text)).alias("hash")
+    )
+    same = F.col("key").eqNullSafe(F.col("id")) & (F.col("hash") == F.col("text_key"))
+    return rows.join(stay, same, "left_semi").dropDuplicates(["key", "hash"]).select("row.*")
