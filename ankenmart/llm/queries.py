@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ankenmart.llm import mixing, packing, pii, quality, sharding, simhash, token_files, weighted_sampling
+from ankenmart.llm import mixing, packing, pii, quality, sharding, simhash, suffix_tree, token_files, weighted_sampling
 from ankenmart.llm.common import documents, id_crc32
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +29,10 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir))
 
 
+def op3_suffix_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.scores(documents(spark, sf_dir))
+
+
 def op4_vantage_point_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
@@ -65,6 +69,7 @@ QUERIES: dict[str, Query] = {
     for f in (
         op1_weakly_supervised_pii,
         op2_best_fit_packing,
+        op3_suffix_tree_scores,
         op4_vantage_point_simhash,
         op6_weighted_sampling_fingerprints,
         op7_entropy_mixing,
