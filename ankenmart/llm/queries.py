@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ankenmart.llm import mixing, packing, pii, quality, sharding, simhash, suffix_tree, token_files, weighted_sampling
+from ankenmart.llm import mixing, nn_descent, packing, pii, quality, sharding, simhash, suffix_tree, token_files, weighted_sampling
 from ankenmart.llm.common import documents, id_crc32
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +37,10 @@ def op4_vantage_point_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
+def op5_nn_descent_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op6_weighted_sampling_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return weighted_sampling.fingerprint_edits(documents(spark, sf_dir))
 
@@ -71,6 +75,7 @@ QUERIES: dict[str, Query] = {
         op2_best_fit_packing,
         op3_suffix_tree_scores,
         op4_vantage_point_simhash,
+        op5_nn_descent_search,
         op6_weighted_sampling_fingerprints,
         op7_entropy_mixing,
         op8_vector_sharding,
