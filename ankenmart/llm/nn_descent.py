@@ -26,14 +26,14 @@ from pyspark.sql import functions as F
 from ankenmart.llm.common import saved
 
 NEIGHBOURS = 20
-DEGREE = 32
-LEAF = 512
-TREES = 6
+DEGREE = 64
+LEAF = 2048
+TREES = 10
 STEPS = 2
 #: Members of a node's list taken from either direction, and what each member takes from one list.
-SAMPLE = 16
-TAKE = 8
-BEAM, EXPANDED, ROUNDS = 48, 6, 4
+SAMPLE = 28
+TAKE = 16
+BEAM, EXPANDED, ROUNDS = 160, 16, 4
 BLOCK = 2048
 
 _LISTS = "node long, ids binary, scores binary"
@@ -129,28 +129,31 @@ def start(vectors: DataFrame, n: int, dim: int, degree: int, leaf: int, trees: i
     return saved(_merged(found, n, degree), "graph")
 
 
-def _pairs(graph: DataFrame, most: int) -> DataFrame:
-    """(node, member): the first ``most`` of each list."""
+def _pairs(graph: DataFrame, most: int, seed: int) -> DataFrame:
+    """(node, member): ``most`` of each list, others for each seed."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            heads = [np.frombuffer(x, "i8")[:most] for x in frame["ids"]]
+            heads = [
+                np.random.default_rng((seed, node & (1 << 63) - 1)).permutation(np.frombuffer(x, "i8"))[:most]
+                for node, x in zip(frame["node"].tolist(), frame["ids"], strict=True)
+            ]
             nodes = np.repeat(frame["node"].to_numpy("i8"), [len(h) for h in heads])
             yield pd.DataFrame({"node": nodes, "member": np.concatenate(heads) if heads else nodes})
 
     return graph.mapInPandas(run, "node long, member long")
 
 
-def both_ways(graph: DataFrame, forward: int, backward: int) -> DataFrame:
-    """(node, member) of the lists and of the nodes in whose lists one is, the latter a sample by hash."""
-    out = _pairs(graph, forward)
-    order = W.partitionBy("node").orderBy(F.xxhash64("node", "member"), "member")
+def both_ways(graph: DataFrame, forward: int, backward: int, seed: int = 0) -> DataFrame:
+    """(node, member) of the lists and of the nodes in whose lists one is, either a sample by hash."""
+    out = _pairs(graph, forward, seed)
+    order = W.partitionBy("node").orderBy(F.xxhash64("node", "member", F.lit(seed)), "member")
     back = out.select(F.col("member").alias("node"), F.col("node").alias("member"))
     some = back.withColumn("place", F.row_number().over(order)).where(F.col("place") <= backward).drop("place")
     return out.unionByName(some)
 
 
-def descend(graph: DataFrame, vectors: DataFrame, n: int, degree: int, sample: int, take: int) -> DataFrame:
+def descend(graph: DataFrame, vectors: DataFrame, n: int, degree: int, sample: int, take: int, seed: int) -> DataFrame:
     """One step: the members of each list meet."""
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
@@ -170,7 +173,7 @@ def descend(graph: DataFrame, vectors: DataFrame, n: int, degree: int, sample: i
         joined = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.zeros(0, t) for t in ("i8", "i8", "f4")]
         return _lists(*_best(*joined, degree))
 
-    members = both_ways(graph, sample, sample).join(vectors.withColumnRenamed("node", "member"), "member")
+    members = both_ways(graph, sample, sample, seed).join(vectors.withColumnRenamed("node", "member"), "member")
     met = members.select("*", _blocks("node", n)).groupBy("block").applyInPandas(meet, _LISTS)
     return saved(_merged(graph.unionByName(met), n, degree), "graph")
 
@@ -282,8 +285,8 @@ def nearest(
 
     vectors = saved(whole.mapInPandas(pack, "node long, vector binary"), "packed")
     graph = start(vectors, n, stats["dim"] or 1, degree, leaf, trees)
-    for _ in range(steps if n > leaf else 0):
-        graph = descend(graph, vectors, n, degree, sample, take)
+    for step in range(steps if n > leaf else 0):
+        graph = descend(graph, vectors, n, degree, sample, take, step + 1)
     queries = whole.where(F.col("node") % every == 0)
     found = search(graph, vectors, queries, max(1, n // every), degree, beam, expanded, rounds if n > leaf else 0)
     product = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
