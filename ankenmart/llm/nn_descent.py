@@ -34,7 +34,8 @@ STEPS = 2
 SAMPLE = 28
 TAKE = 16
 BEAM, EXPANDED, ROUNDS = 160, 16, 4
-BLOCK = 2048
+#: Nodes, and queries with all they meet in a round, that one task holds together.
+BLOCK, QUERY_BLOCK = 1024, 128
 
 _LISTS = "node long, ids binary, scores binary"
 
@@ -87,8 +88,8 @@ def _edges(frame: pd.DataFrame) -> tuple[np.ndarray, ...]:
     return nodes, ids, np.frombuffer(b"".join(frame["scores"]), "f4")
 
 
-def _blocks(column: str, n: int) -> Column:
-    return F.pmod(F.xxhash64(column), F.lit(max(1, -(-n // BLOCK)))).cast("int").alias("block")
+def _blocks(column: str, n: int, size: int = BLOCK) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(max(1, -(-n // size)))).cast("int").alias("block")
 
 
 def _merged(lists: DataFrame, n: int, degree: int) -> DataFrame:
@@ -198,7 +199,7 @@ def search(
         queries.select("node")
         .join(graph, "node")
         .join(vectors, "node")
-        .select(_blocks("node", n_queries), "node", "vector", "ids", "scores", F.expr("cast(repeat('\\0', length(ids) div 8) as binary)").alias("expanded"))
+        .select(_blocks("node", n_queries, QUERY_BLOCK), "node", "vector", "ids", "scores", F.expr("cast(repeat('\\0', length(ids) div 8) as binary)").alias("expanded"))
     )
     state = saved(state, "search")
 
