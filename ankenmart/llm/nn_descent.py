@@ -35,7 +35,7 @@ SAMPLE = 28
 TAKE = 16
 BEAM, EXPANDED, ROUNDS = 160, 16, 4
 #: Nodes, and queries with all they meet in a round, that one task holds together.
-BLOCK, QUERY_BLOCK = 1024, 128
+BLOCK, QUERY_BLOCK = 256, 128
 
 _LISTS = "node long, ids binary, scores binary"
 
