@@ -5,8 +5,8 @@ from __future__ import annotations
 import functools
 import os
 import re
+from array import array
 
-import numpy as np
 import public_tokenizers
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +19,10 @@ _SPACE = "\t-\r \x85\xa0  -     　"
 _CHUNK = re.compile(f"[{_SPACE}]*[^{_SPACE}]+|[{_SPACE}]+")
 
 
+#: Signs that end words. The pattern splits a letter or digit from a sign after it, whatever follows.
+_SIGNS = ".,!?;:|&"
+
+
 class Encoder:
     """Encodes chunk by chunk and remembers chunks, since most of a corpus is words seen before.
 
@@ -26,7 +30,7 @@ class Encoder:
     Chunks over ``longest`` characters are encoded each time.
     """
 
-    def __init__(self, path: str, remembered: int = 400_000, longest: int = 40) -> None:
+    def __init__(self, path: str, remembered: int = 1_500_000, longest: int = 40) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
         from tokenizers import Tokenizer
 
@@ -41,7 +45,23 @@ class Encoder:
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+        return [array("I", x.ids).tobytes() for x in found]
+
+    def _learn(self, chunks: list[str]) -> None:
+        """Ids of new chunks; a word is looked up or encoded apart from the signs after it."""
+        known, parts, fresh = self.known, [], set()
+        for chunk in chunks:
+            stem = chunk.rstrip(_SIGNS)
+            if stem and stem != chunk and stem[-1].isalnum():
+                parts.append((chunk, stem, tail := chunk[len(stem) :]))
+                fresh.add(stem)
+                fresh.add(tail)
+            else:
+                fresh.add(chunk)
+        new = [c for c in fresh if c not in known]
+        known.update(zip(new, self._direct(new), strict=True))
+        for chunk, stem, tail in parts:
+            known[chunk] = known[stem] + known[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -54,15 +74,15 @@ class Encoder:
                 continue
             split.append(chunks := _CHUNK.findall(text))
             new.update(chunks)
-        fresh = [c for c in new if c not in known]
-        passing: dict[str, bytes] = {}
-        for chunk, ids in zip(fresh, self._direct(fresh), strict=True):
-            (known if len(chunk) <= self.longest else passing)[chunk] = ids
-        look = known if not passing else {**{c: known[c] for c in new if c in known}, **passing}
-        return [
-            self._direct([text])[0] if chunks is None else b"".join(map(look.__getitem__, chunks))
+        self._learn([c for c in new if c not in known])
+        out = [
+            self._direct([text])[0] if chunks is None else b"".join(map(known.__getitem__, chunks))
             for text, chunks in zip(texts, split, strict=True)
         ]
+        for chunk in new:
+            if len(chunk) > self.longest:
+                known.pop(chunk, None)
+        return out
 
 
 @functools.cache
