@@ -131,14 +131,13 @@ def write_token_files(
     bounds = np.unique(np.array(found or [], "int64"))
     files = len(bounds) + 1
     wide = encoder(tokenizer).vocabulary > 1 << 16
-    kind, end = ("<u4" if wide else "<u2"), np.array([END_ID], "<u4").tobytes()
+    kind, code = ("<u4", "I") if wide else ("<u2", "H")
+    end = np.array([END_ID], kind).tobytes()
 
     def tokenise(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, code).encode
         for frame in slices(frames, 256):
             ids = [i + end for i in encode(frame.iloc[:, 1].tolist())]
-            if not wide:
-                ids = [np.frombuffer(i, "<u4").astype(kind).tobytes() for i in ids]
             id_ = frame.iloc[:, 0]
             file = np.searchsorted(bounds, id_.fillna(np.iinfo("int64").min).astype("int64"), side="left")
             yield pd.DataFrame({"file": file, "key": id_, "ids": ids})

@@ -27,16 +27,17 @@ class Encoder:
     """Encodes chunk by chunk and remembers chunks, since most of a corpus is words seen before.
 
     The memory is a cache: past ``remembered`` chunks it starts anew, which costs time, not results.
-    Chunks over ``longest`` characters are encoded each time.
+    Chunks over ``longest`` characters are encoded each time. ``code`` is the array type of the ids: "I" for
+    32 bits, "H" for 16 where the vocabulary allows.
     """
 
-    def __init__(self, path: str, remembered: int = 1_500_000, longest: int = 40) -> None:
+    def __init__(self, path: str, code: str = "I", remembered: int = 1_500_000, longest: int = 40) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.remembered, self.longest = remembered, longest
+        self.code, self.remembered, self.longest = code, remembered, longest
         self.known: dict[str, bytes] = {}
 
     @property
@@ -45,7 +46,7 @@ class Encoder:
 
     def _direct(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [array("I", x.ids).tobytes() for x in found]
+        return [array(self.code, x.ids).tobytes() for x in found]
 
     def _learn(self, chunks: list[str]) -> None:
         """Ids of new chunks; a word is looked up or encoded apart from the signs after it."""
@@ -64,7 +65,7 @@ class Encoder:
             known[chunk] = known[stem] + known[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit integers."""
+        """Ids of each text as little-endian unsigned integers."""
         if len(self.known) > self.remembered:
             self.known = {}
         known, split, new = self.known, [], set()
@@ -74,18 +75,19 @@ class Encoder:
                 continue
             split.append(chunks := _CHUNK.findall(text))
             new.update(chunks)
-        self._learn([c for c in new if c not in known])
+        fresh = [c for c in new if c not in known]
+        self._learn(fresh)
         out = [
             self._direct([text])[0] if chunks is None else b"".join(map(known.__getitem__, chunks))
             for text, chunks in zip(texts, split, strict=True)
         ]
-        for chunk in new:
+        for chunk in fresh:
             if len(chunk) > self.longest:
                 known.pop(chunk, None)
         return out
 
 
 @functools.cache
-def encoder(path: str) -> Encoder:
-    """One encoder a Python worker and tokenizer file; Spark reuses workers."""
-    return Encoder(path)
+def encoder(path: str, code: str = "I") -> Encoder:
+    """One encoder a Python worker, tokenizer file and type; Spark reuses workers."""
+    return Encoder(path, code)
