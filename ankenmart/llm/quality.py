@@ -23,7 +23,7 @@ from ankenmart.llm.common import id_crc32, slices, text_of
 SAMPLE = 6_000
 SHAPES, WORDS, STATISTICS = 256, 1024, 8
 STEPS, PAIRS, RATE, DECAY = 600, 512, 0.05, 1e-4
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 
 _UPPER, _LOWER, _DIGIT = re.compile(r"[^\W\d_a-zß-öø-ÿ]+"), re.compile(r"[a-zß-öø-ÿ]+"), re.compile(r"[0-9]+")
 _known: dict[str, int] = {}

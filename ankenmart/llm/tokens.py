@@ -31,7 +31,7 @@ class Encoder:
     32 bits, "H" for 16 where the vocabulary allows.
     """
 
-    def __init__(self, path: str, code: str = "I", remembered: int = 1_500_000, longest: int = 40) -> None:
+    def __init__(self, path: str, code: str = "I", remembered: int = 1_000_000, longest: int = 40) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
         from tokenizers import Tokenizer
 
