@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ankenmart.llm.common import saved, slices, text_of
-from ankenmart.llm.tokens import END_ID, TOKENIZER, encoder
+from ankenmart.llm.tokens import END_ID, REMEMBERED, TOKENIZER, encoder
 
 CAPACITY = 2048
 OPEN_BINS = 1024
@@ -75,12 +75,13 @@ def pieces(
     text: str = "text",
     tokenizer: str = TOKENIZER,
     capacity: int = CAPACITY,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """One row a piece: key, piece, start, length, ids_crc32."""
     end = np.array([END_ID], "<u4").tobytes()
 
     def tokenise(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer).encode
+        encode = encoder(tokenizer, remembered=remembered).encode
         for frame in slices(frames, 256):
             out = [
                 (id_, n, start, len(part) // 4, zlib.crc32(part))
@@ -105,6 +106,7 @@ def pack(
     capacity: int = CAPACITY,
     open_bins: int = OPEN_BINS,
     lane_pieces: int = LANE_PIECES,
+    remembered: int = REMEMBERED,
 ) -> DataFrame:
     """Each piece's place: its columns, sequence_id and offset.
 
@@ -112,7 +114,7 @@ def pack(
     of about ``lane_pieces``, and each lane is one online run in hash order, so a lane's size does not
     grow with the corpus, and a group of copies spreads over all lanes.
     """
-    table = saved(pieces(docs, key, text, tokenizer, capacity), "pieces")
+    table = saved(pieces(docs, key, text, tokenizer, capacity, remembered), "pieces")
     lanes = max(1, -(-table.count() // lane_pieces))
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:

@@ -11,6 +11,8 @@ import public_tokenizers
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
+#: Chunks an encoder remembers, of about 200 bytes each.
+REMEMBERED = 1_000_000
 
 # What \s stands for in the tokenizer's pre-splitting pattern.
 _SPACE = "\t-\r \x85\xa0  -     　"
@@ -31,7 +33,7 @@ class Encoder:
     32 bits, "H" for 16 where the vocabulary allows.
     """
 
-    def __init__(self, path: str, code: str = "I", remembered: int = 1_000_000, longest: int = 40) -> None:
+    def __init__(self, path: str, code: str = "I", remembered: int = REMEMBERED, longest: int = 40) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark gives a task one core
         from tokenizers import Tokenizer
 
@@ -88,6 +90,6 @@ class Encoder:
 
 
 @functools.cache
-def encoder(path: str, code: str = "I") -> Encoder:
-    """One encoder a Python worker, tokenizer file and type; Spark reuses workers."""
-    return Encoder(path, code)
+def encoder(path: str, code: str = "I", remembered: int = REMEMBERED) -> Encoder:
+    """One encoder a Python worker and set of arguments; Spark reuses workers."""
+    return Encoder(path, code, remembered)

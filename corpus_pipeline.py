@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from ankenmart.llm import mixing, packing, pii, quality, simhash
 from ankenmart.llm.common import documents, saved
 
+#: The stages share Python workers, so the tokenizer's memory is kept below that of a job of its own.
+REMEMBERED = 250_000
+
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality classifier rejects go. It learns from the labelled ones among them."""
@@ -34,7 +37,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of each piece of each document in the sequences."""
-    return packing.pack(docs)
+    return packing.pack(docs, remembered=REMEMBERED)
 
 
 STAGES = [
