@@ -124,7 +124,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     )
     # Repeated rows of one id would exceed the sample: the limit holds for rows too.
     found = chosen.mapInPandas(run, "quality int, order long, x binary").orderBy("order").limit(sample).collect()
-    rows = np.array([np.frombuffer(r["x"], "<f4") for r in found], "float64").reshape(len(found), -1)
+    rows = np.array([np.frombuffer(r["x"], "<f4") for r in found], "float64").reshape(len(found), SHAPES + WORDS + STATISTICS)
     return fit(rows, np.array([r["quality"] == 1 for r in found], bool))
 
 

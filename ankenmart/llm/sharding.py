@@ -1,8 +1,8 @@
 """Sharding by vector bin packing: bytes, tokens and rows are balanced jointly.
 
 Cases: a null text counts as empty; equal texts form a group, and a group above a share of a shard is
-dealt into parts by a hash of the key; rows of equal key and text stay in one part; ties go to the lower
-shard; an empty table gives no rows; other columns are not looked at.
+dealt into parts by a hash of the key; rows of equal key and text stay in one part; ties go to the first shard
+from the cell's number on; an empty table gives no rows; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -43,7 +43,10 @@ def _placer(shares: np.ndarray | None, shards: int):
         frame = frame.assign(weight=(sizes / total).sum(axis=1))
         frame = frame.sort_values(["weight", "group", "part"], ascending=[False, True, True])
         share = np.full((shards, len(SIZES)), 1 / shards) if shares is None else shares
-        frame["shard"] = fill(frame[list(SIZES)].to_numpy("float64"), share * total)
+        # Each cell begins with another shard, so that ties don't favour the same one everywhere.
+        shift = int(frame["cell"].iloc[0]) % shards
+        found = fill(frame[list(SIZES)].to_numpy("float64"), np.roll(share * total, -shift, axis=0))
+        frame["shard"] = (found + shift) % shards
         frame["base"] = frame.groupby("shard")["rows"].cumsum() - frame["rows"]
         return frame[["group", "part", "cell", "shard", "base", *SIZES]]
 
