@@ -12,7 +12,7 @@ import public_tokenizers
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 0
 #: Chunks an encoder remembers, of about 200 bytes each.
-REMEMBERED = 1_000_000
+REMEMBERED = 1_500_000
 
 # What \s stands for in the tokenizer's pre-splitting pattern.
 _SPACE = "\t-\r \x85\xa0  -     　"
