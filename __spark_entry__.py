@@ -37,7 +37,7 @@ from ankenmart.sources.load import (
 from ankenmart.streaming.load_once import load_once
 from fixtures import oracles
 from fixtures.crm import crm_source
-from fixtures.csv_files import ABSENT, ISO, as_text, spoil, write_csv, write_first, write_second
+from fixtures.csv_files import ABSENT, BAD_DAYS, ISO, as_text, spoil, write_csv, write_first, write_second
 
 try:
     import corpus_pipeline
@@ -185,9 +185,11 @@ def _load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _load_force(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first files loaded twice: every row is there twice."""
+    """All files loaded twice: every row is there twice."""
     folder, out = scratch_path(spark, "forced"), scratch_path(spark, "loaded")
-    write_first(_line_text(spark, sf_dir), folder)
+    text = _line_text(spark, sf_dir)
+    write_first(text, folder)
+    write_second(text, folder)
     for _ in range(2):
         force_load(spark, folder, out, r".*\.csv(\.gz)?")
     return _load_totals(loaded(spark, out))
@@ -196,7 +198,9 @@ def _load_force(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _loaded_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The building columns of loaded files, parsed, counted by state."""
     folder = scratch_path(spark, "arrays")
-    write_second(_line_text(spark, sf_dir), folder)
+    text = _line_text(spark, sf_dir)
+    write_first(text, folder)
+    write_second(text, folder)
     rows = with_arrays(read_wide_csv(spark, _paths(spark, folder)))
     return rows.select(F.explode_outer("建物都道府県").alias("state")).groupBy("state").agg(
         F.count(F.lit(1)).alias("row_count")
@@ -326,24 +330,27 @@ def oracle_sql() -> dict[str, str]:
     out["dq_not_null_all"] = o.not_null_failures()
     out["dq_unique_all"] = o.unique_failures()
     out["load_by_header"] = o.loaded_wide(ABSENT)
+    spoilt = [("利益", "n/a", "5"), *(("クローズ日", bad, line) for line, bad in BAD_DAYS.items())]
     out["load_validate"] = o.with_models(
-        'SELECT * FROM (SELECT \'利益\' AS "column", \'n/a\' AS value, '
-        f'count(*) FILTER (WHERE "表示順" = 5) AS errors FROM {wide} '
-        "UNION ALL SELECT 'クローズ日', '2024-13-01', "
-        f'count(*) FILTER (WHERE "表示順" = 3) FROM {wide}) WHERE errors > 0'
+        "SELECT * FROM ("
+        + " UNION ALL ".join(
+            f"SELECT '{column}' AS \"column\", '{bad}' AS value, count(*) FILTER (WHERE \"表示順\" = {line}) AS errors FROM {wide}"
+            for column, bad, line in spoilt
+        )
+        + ") WHERE errors > 0"
     )
     totals = (
         'SELECT "フェーズ", count(*){0} AS row_count, count("品目ID"){0} AS items, '
         'cast(sum("合計金額"){0} AS decimal(38,2)) AS total FROM {1} {2} GROUP BY "フェーズ"'
     )
     out["load_continue"] = o.with_models(
-        totals.format("", wide, 'WHERE "表示順" IS NULL OR "表示順" NOT IN (3, 5)')
+        totals.format("", wide, 'WHERE "表示順" IS NULL OR "表示順" NOT IN (2, 3, 4, 5, 6)')
     )
     out["load_once"] = o.with_models(totals.format("", wide, ""))
-    out["load_force"] = o.with_models(totals.format(" * 2", wide, 'WHERE "受注済み"'))
+    out["load_force"] = o.with_models(totals.format(" * 2", wide, ""))
     out["load_arrays"] = o.with_models(
         "SELECT state, count(*) AS row_count FROM (SELECT unnest(CASE WHEN len(\"建物都道府県\") > 0 "
-        f'THEN "建物都道府県" ELSE [NULL] END) AS state FROM {wide} WHERE "受注済み" IS DISTINCT FROM true) '
+        f'THEN "建物都道府県" ELSE [NULL] END) AS state FROM {wide}) '
         "GROUP BY state"
     )
     out["load_by_position"] = o.raw("building__c")

@@ -150,7 +150,8 @@ def _matches(column: Column, wanted: Any) -> Column:
     if wanted is None:
         return column.isNull()
     if isinstance(wanted, (list, tuple, set, frozenset)):
-        return column.isin(*wanted)
+        values = [v for v in wanted if v is not None]
+        return column.isin(*values) | column.isNull() if len(values) < len(wanted) else column.isin(*values)
     return column == F.lit(wanted)
 
 

@@ -82,13 +82,13 @@ MAPPING: dict[str, str] = {
           concat('006', lpad(cast(l_orderkey AS string), 15, '0')) AS Opportunity__c, concat('02i', lpad(cast(l_partkey AS string), 15, '0')) AS Asset__c, l_partkey % 2 = 0 AS CarryOver__c,
           concat('OA-', cast(l_orderkey AS string), '-', cast(l_partkey AS string)) AS OpportunityAssetCode__c, concat('oa-', cast(l_partkey AS string)) AS Name,
           l_partkey % 43 = 42 AS IsDeleted
-        FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem WHERE l_linenumber = 1) k
+        FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem) k
     """,
     "opportunitybuilding__c": """
         SELECT concat('a0O', lpad(cast(l_orderkey AS string), 9, '0'), lpad(cast(l_suppkey AS string), 9, '0')) AS Id,
           concat('006', lpad(cast(l_orderkey AS string), 15, '0')) AS Opportunity__c, concat('a0B', lpad(cast(l_suppkey AS string), 15, '0')) AS Building__c,
           concat('exp-', cast(l_suppkey AS string)) AS Building_Exp__c, concat('ob-', cast(l_suppkey AS string)) AS Name, l_suppkey % 19 = 18 AS IsDeleted
-        FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_linenumber <= 3) k
+        FROM (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem) k
     """,
     "opportunitylineitem": """
         SELECT concat('00k', lpad(cast(l_orderkey AS string), 9, '0'), cast(l_linenumber AS string), '-', lpad(cast(l_partkey AS string), 7, '0'), '-', lpad(cast(l_suppkey AS string), 5, '0'), '-', cast(cast(l_shipdate AS date) AS string)) AS Id,

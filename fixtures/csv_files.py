@@ -47,11 +47,18 @@ def write_second(text: DataFrame, folder: str) -> None:
     write_csv(rows, f"{folder}/second", "", "gzip")
 
 
+#: Line number to what stands there for a date.
+BAD_DAYS = {"2": "12:30", "3": "2024-13-01", "4": "2024-02", "6": "2024-01-01 junk"}
+
+
 def spoil(text: DataFrame) -> DataFrame:
-    """Bad numbers in the fifth lines, bad dates in the third."""
+    """Bad numbers in the fifth lines, bad dates in the second, third, fourth and sixth."""
+    day = F.col("クローズ日")
+    for line, bad in BAD_DAYS.items():
+        day = F.when(F.col("表示順") == line, F.lit(bad)).otherwise(day)
     return text.withColumns(
         {
             "利益": F.when(F.col("表示順") == "5", F.lit("n/a")).otherwise(F.col("利益")),
-            "クローズ日": F.when(F.col("表示順") == "3", F.lit("2024-13-01")).otherwise(F.col("クローズ日")),
+            "クローズ日": day,
         }
     )

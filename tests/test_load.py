@@ -132,6 +132,15 @@ def test_validate_lists_every_error(spark, tmp_path):
     )
 
 
+def test_only_whole_days_and_times_are_values(spark):
+    texts = ["2024-02", "2024", "2024-01-01 junk", "12:30", "2024-01-01T", "2024-01-01", "2024-01-01T10:20:30.5Z", "2024-01-01 10:20+0900"]
+    table = spark.createDataFrame([(t,) for t in texts], "v string")
+    days = [r[0] for r in table.selectExpr(load.parsed("v", "date")).collect()]
+    assert [d is not None for d in days] == [False] * 5 + [True, False, False]
+    times = [r[0] for r in table.selectExpr(load.parsed("v", "timestamp")).collect()]
+    assert [t is not None for t in times][:7] == [False] * 5 + [True, True]
+
+
 def test_wide_types_and_arrays(spark, tmp_path):
     text = (
         "品目ID,最終フェーズ変更日,建物都道府県,建物市区町村,利益率,クローズ年,表示順\n"

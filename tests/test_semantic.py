@@ -82,6 +82,8 @@ def test_synonyms_and_exact_names(deals):
 def test_where_takes_a_value_a_list_or_null(deals):
     assert rows(MODEL.query(deals, ["items"], where={"area": "A"})) == [(4,)]
     assert rows(MODEL.query(deals, ["items"], where={"area": None})) == [(1,)]
+    assert rows(MODEL.query(deals, ["items"], where={"area": [None, "A"]})) == [(5,)]
+    assert rows(MODEL.query(deals, ["items"], where={"area": [None]})) == [(1,)]
     assert rows(MODEL.query(deals, ["items"], where={"phase": ["x", "y"], "area": "A"})) == [(4,)]
 
 
