@@ -184,6 +184,28 @@ def _load_once(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _load_totals(loaded(spark, out))
 
 
+def _load_second_pattern(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run with a narrow pattern, then one with a wide one: no file is lost to the first."""
+    folder, out = scratch_path(spark, "patterns"), scratch_path(spark, "loaded")
+    text = _line_text(spark, sf_dir)
+    write_first(text, folder)
+    write_second(text, folder)
+    load_once(spark, folder, out, r".*/first/.*\.csv")
+    load_once(spark, folder, out, r".*\.csv(\.gz)?")
+    return _load_totals(loaded(spark, out))
+
+
+def _load_two_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders with a history each, loaded into one table."""
+    folder, out = scratch_path(spark, "histories"), scratch_path(spark, "loaded")
+    text = _line_text(spark, sf_dir)
+    write_first(text, folder)
+    write_second(text, folder)
+    for name in ("first", "second"):
+        load_once(spark, f"{folder}/{name}", out, r".*\.csv(\.gz)?", checkpoint=scratch_path(spark, f"history-{name}"))
+    return _load_totals(loaded(spark, out))
+
+
 def _load_force(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All files loaded twice: every row is there twice."""
     folder, out = scratch_path(spark, "forced"), scratch_path(spark, "loaded")
@@ -281,6 +303,8 @@ def queries() -> dict[str, Query]:
     out["load_validate"] = _load_validate
     out["load_continue"] = _load_continue
     out["load_once"] = _load_once
+    out["load_second_pattern"] = _load_second_pattern
+    out["load_two_histories"] = _load_two_histories
     out["load_force"] = _load_force
     out["load_arrays"] = _loaded_arrays
     out["load_by_position"] = _load_by_position
@@ -347,6 +371,7 @@ def oracle_sql() -> dict[str, str]:
         totals.format("", wide, 'WHERE "表示順" IS NULL OR "表示順" NOT IN (2, 3, 4, 5, 6)')
     )
     out["load_once"] = o.with_models(totals.format("", wide, ""))
+    out["load_second_pattern"] = out["load_two_histories"] = out["load_once"]
     out["load_force"] = o.with_models(totals.format(" * 2", wide, ""))
     out["load_arrays"] = o.with_models(
         "SELECT state, count(*) AS row_count FROM (SELECT unnest(CASE WHEN len(\"建物都道府県\") > 0 "

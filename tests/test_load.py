@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import gzip
+import importlib
+import os
 
 import pytest
 from conftest import rows
@@ -226,6 +228,52 @@ def test_each_file_is_loaded_once(spark, tmp_path):
     assert _ids(spark, out) == ["1", "2", "3"]
 
 
+def test_late_replaced_and_otherwise_named_files_are_loaded(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    _write(folder, "x.csv", "品目ID\n1\n")
+    _write(folder, "y.csv", "品目ID\n2\n")
+    load_once(spark, str(folder), out, r".*x\.csv")
+    load_once(spark, str(folder), out)
+    assert _ids(spark, out) == ["1", "2"]
+    old = _write(folder, "old.csv", "品目ID\n3\n")
+    os.utime(old, (1e9, 1e9))
+    load_once(spark, str(folder), out)
+    assert _ids(spark, out) == ["1", "2", "3"]
+    _write(folder, "x.csv", "品目ID\n10\n")
+    load_once(spark, str(folder), out)
+    assert _ids(spark, out) == ["1", "10", "2", "3"]
+
+
+def test_two_histories_share_a_table(spark, tmp_path):
+    out = str(tmp_path / "out")
+    for name in ("a", "b"):
+        folder = tmp_path / name
+        folder.mkdir()
+        _write(folder, "f.csv", f"品目ID\n{name}\n")
+        load_once(spark, str(folder), out, checkpoint=str(tmp_path / f"history-{name}"))
+    assert _ids(spark, out) == ["a", "b"]
+
+
+def test_a_load_that_was_not_marked_done_is_run_again(spark, tmp_path, monkeypatch):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    _write(folder, "a.csv", "品目ID\n1\n")
+    module = importlib.import_module("ankenmart.streaming.load_once")
+
+    def written_then_lost(*args):
+        load.append_load(*args)
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(module, "append_load", written_then_lost)
+        with pytest.raises(RuntimeError):
+            load_once(spark, str(folder), out)
+    _write(folder, "b.csv", "品目ID\n2\n")
+    load_once(spark, str(folder), out)
+    assert _ids(spark, out) == ["1", "2"]
+
+
 def test_failed_batch_is_loaded_after_the_file_is_mended(spark, tmp_path):
     folder, out = tmp_path / "in", str(tmp_path / "out")
     folder.mkdir()
