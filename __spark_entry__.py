@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ankenmart.functions.arrays import array_from_json, array_to_json
+from ankenmart.operators.projection import ident
 from ankenmart.plans import pipeline, quality
 from ankenmart.plans.calendar import dim_date
 from ankenmart.plans.marts import MARTS
@@ -21,11 +22,12 @@ from ankenmart.plans.wide import (
     gold_opportunity_wide,
 )
 from ankenmart.session import scratch_path
-from ankenmart.sources.csv_text import inferred_schema, list_files
+from ankenmart.sources.csv_text import CsvFormat, list_files
 from ankenmart.sources.load import (
     CONTINUE,
     WIDE_TYPES,
     force_load,
+    inferred_schema,
     loaded,
     read_raw_csv,
     read_wide_csv,
@@ -34,7 +36,8 @@ from ankenmart.sources.load import (
     wide_text,
     with_arrays,
 )
-from ankenmart.streaming.load_once import load_once
+from ankenmart.sources.raw import parquet_source
+from ankenmart.streaming.load_once import copy_raw, load_once
 from fixtures import oracles
 from fixtures.crm import crm_source
 from fixtures.csv_files import ABSENT, BAD_DAYS, ISO, as_text, spoil, write_csv, write_first, write_second
@@ -236,6 +239,22 @@ def _load_by_position(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_raw_csv(spark, "building__c", _paths(spark, folder))
 
 
+def _load_raw_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw buildings copied from positional CSV, twice: the second run adds nothing."""
+    folder, out = scratch_path(spark, "building"), scratch_path(spark, "raw")
+    write_csv(as_text(crm_source(spark, sf_dir)("building__c")), folder, "NULL")
+    for _ in range(2):
+        copy_raw(spark, "building__c", folder, out, pattern=r".*\.csv")
+    return parquet_source(spark, out)("building__c")
+
+
+def _load_windows_932(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines as Windows-932 files, read one task a split."""
+    folder, fmt = scratch_path(spark, "windows"), CsvFormat("null", "WINDOWS932", multi_line=False)
+    write_csv(_line_text(spark, sf_dir), folder, "null", encoding=fmt.charset(spark))
+    return _load_totals(read_wide_csv(spark, _paths(spark, folder), fmt=fmt))
+
+
 def _staged_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """CSV files written by phase, found again by listing: the phases with at least one file."""
     folder = scratch_path(spark, "staged")
@@ -247,9 +266,12 @@ def _staged_folders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Column types of the opportunity wide table as its CSV values show them."""
+    """Column types of the opportunity wide table as its CSV values show them, in files of two column orders."""
     folder = scratch_path(spark, "inferred")
-    write_csv(as_text(gold_opportunity_wide(_Tables(spark, sf_dir))), folder, "null")
+    text = as_text(gold_opportunity_wide(_Tables(spark, sf_dir)))
+    won = F.coalesce(F.col("受注済み") == "true", F.lit(False))
+    write_csv(text.where(won), f"{folder}/first", "null")
+    write_csv(text.where(~won).select(*[F.col(ident(c)) for c in reversed(text.columns)]), f"{folder}/second", "null")
     schema = inferred_schema(spark, _paths(spark, folder))
     found = [(f.name, f.dataType.simpleString()) for f in schema]
     return spark.createDataFrame(found, "name string, type string")
@@ -308,6 +330,8 @@ def queries() -> dict[str, Query]:
     out["load_force"] = _load_force
     out["load_arrays"] = _loaded_arrays
     out["load_by_position"] = _load_by_position
+    out["load_raw_once"] = _load_raw_once
+    out["load_windows_932"] = _load_windows_932
     out["staged_folders"] = _staged_folders
     out["inferred_types"] = _inferred_types
     out["preview_line_item_wide"] = _preview
@@ -378,7 +402,8 @@ def oracle_sql() -> dict[str, str]:
         f'THEN "建物都道府県" ELSE [NULL] END) AS state FROM {wide}) '
         "GROUP BY state"
     )
-    out["load_by_position"] = o.raw("building__c")
+    out["load_by_position"] = out["load_raw_once"] = o.raw("building__c")
+    out["load_windows_932"] = out["load_once"]
     out["staged_folders"] = o.with_models('SELECT DISTINCT "フェーズ" AS phase FROM gold_opportunity_wide')
     out["inferred_types"] = o.inferred_types()
     out["preview_line_item_wide"] = o.with_models(

@@ -10,19 +10,23 @@ from pyspark.sql import SparkSession
 
 from ankenmart.plans.pipeline import build
 from ankenmart.session import configure
-from ankenmart.sources.csv_text import BY_HEADER, CsvFormat, list_files
+from ankenmart.sources.csv_text import BY_HEADER, BY_POSITION, CsvFormat, list_files
 from ankenmart.sources.load import (
     ABORT,
     CONTINUE,
     WIDE_TYPES,
-    copy_raw,
     csv_source,
     force_load,
     validate,
     wide_text,
 )
 from ankenmart.sources.raw import NAMESPACE, RAW_TABLES, catalog_source, parquet_source
-from ankenmart.streaming.load_once import load_once
+from ankenmart.streaming.load_once import copy_raw, load_once
+
+
+def _format(job: argparse.ArgumentParser) -> None:
+    job.add_argument("--encoding", default=BY_HEADER.encoding)
+    job.add_argument("--single-line", action="store_true", help="no value holds a line end, so one file is read by many tasks")
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -43,19 +47,20 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     load.add_argument("--pattern", help="regular expression for the whole path")
     load.add_argument("--on-error", choices=(ABORT, CONTINUE), default=ABORT)
     load.add_argument("--force", action="store_true", help="load files again that were loaded before")
-    load.add_argument("--encoding", default=BY_HEADER.encoding)
+    _format(load)
 
-    copy = jobs.add_parser("copy", help="append positional CSV files to a raw table")
+    copy = jobs.add_parser("copy", help="add positional CSV files that are new to a raw table")
     copy.add_argument("--table", required=True, choices=RAW_TABLES)
     copy.add_argument("--folder", required=True)
     copy.add_argument("--out", required=True, help="folder of the raw tables")
     copy.add_argument("--on-error", choices=(ABORT, CONTINUE), default=ABORT)
+    _format(copy)
 
     check = jobs.add_parser("validate", help="list the bad values of CSV files, load nothing")
     check.add_argument("--folder", required=True)
     check.add_argument("--out", required=True, help="where the list goes")
     check.add_argument("--pattern")
-    check.add_argument("--encoding", default=BY_HEADER.encoding)
+    _format(check)
     return parser.parse_args(argv)
 
 
@@ -69,9 +74,10 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
             print(f"{r.test} failed on {r.model}.{r.column}: {r.failures}")
         return bool(failed)
     if args.job == "copy":
-        copy_raw(spark, args.table, args.folder, args.out, args.on_error)
+        fmt = CsvFormat(BY_POSITION.null, args.encoding, multi_line=not args.single_line)
+        copy_raw(spark, args.table, args.folder, args.out, args.on_error, fmt)
         return 0
-    fmt = CsvFormat(null=BY_HEADER.null, encoding=args.encoding)
+    fmt = CsvFormat(BY_HEADER.null, args.encoding, multi_line=not args.single_line)
     if args.job == "load":
         how = force_load if args.force else load_once
         how(spark, args.folder, args.out, args.pattern, args.on_error, fmt)

@@ -7,12 +7,11 @@ differ in order. Files are therefore grouped by header, and each group is one sc
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,9 +22,10 @@ CORRUPT, FILE = "_corrupt", "_file"
 
 # Encodings Spark's CSV reader takes.
 SPARK_ENCODINGS = ("UTF-8", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32", "ISO-8859-1", "US-ASCII")
-# Encodings read byte by byte as ISO-8859-1 and decoded per value. Their second bytes are
+# Java's names of encodings Spark refuses unless ``JAVA_CHARSETS`` is on. Their second bytes are
 # never a comma, a quote or a line end, so the records split at the right places.
-RECODED = {"WINDOWS932": "cp932"}
+JAVA_ENCODINGS = {"WINDOWS932": "windows-31j"}
+JAVA_CHARSETS = "spark.sql.legacy.javaCharsets"
 
 HEADER_READERS = 16
 
@@ -40,15 +40,22 @@ class CsvFormat:
     multi_line: bool = True
 
     def __post_init__(self) -> None:
-        known = (*SPARK_ENCODINGS, *RECODED)
+        known = (*SPARK_ENCODINGS, *JAVA_ENCODINGS)
         if self.encoding.upper() not in known:
             raise ValueError(f"encoding {self.encoding} cannot be read; use one of {', '.join(known)}")
-        if self.encoding.upper() in RECODED and self.delimiter not in (",", "\t", ";"):
+        if self.java and self.delimiter not in (",", "\t", ";"):
             raise ValueError(f"delimiter {self.delimiter!r} may be half a character in {self.encoding}")
 
+    def charset(self, spark: SparkSession) -> str:
+        """The encoding as Spark's readers and writers of this session take it."""
+        if self.java:
+            # For the session, as rows are read later: encode() and decode() then take such names too.
+            spark.conf.set(JAVA_CHARSETS, True)
+        return self.java or self.encoding
+
     @property
-    def codec(self) -> str | None:
-        return RECODED.get(self.encoding.upper())
+    def java(self) -> str | None:
+        return JAVA_ENCODINGS.get(self.encoding.upper())
 
 
 # The two formats. One skips its header line, one is matched by it.
@@ -61,7 +68,7 @@ def _reader(spark: SparkSession, fmt: CsvFormat) -> DataFrameReader:
         sep=fmt.delimiter,
         quote='"',
         escape='"',
-        encoding="ISO-8859-1" if fmt.codec else fmt.encoding,
+        encoding=fmt.charset(spark),
         multiLine=fmt.multi_line,
         ignoreLeadingWhiteSpace=False,
         ignoreTrailingWhiteSpace=False,
@@ -96,12 +103,7 @@ def whole_match(text: Column, pattern: str) -> Column:
 def header_of(spark: SparkSession, path: str, fmt: CsvFormat) -> tuple[str | None, ...]:
     """The first record of a file; its names are taken as they stand."""
     first = _reader(spark, fmt).csv(literal_path(path), header=False).head(1)
-    if not first:
-        return ()
-    names = tuple(first[0])
-    if fmt.codec:
-        names = tuple(n and n.encode("latin-1").decode(fmt.codec, "replace") for n in names)
-    return names
+    return tuple(first[0]) if first else ()
 
 
 def headers(
@@ -117,15 +119,6 @@ def headers(
     return groups
 
 
-def _recoded(codec: str):
-    @F.pandas_udf("string")
-    def decode(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for text in texts:
-            yield text.map(lambda t: None if t is None else t.encode("latin-1").decode(codec, "replace"))
-
-    return decode
-
-
 def read_text(
     spark: SparkSession, paths: Sequence[str], width: int, fmt: CsvFormat
 ) -> DataFrame:
@@ -142,9 +135,6 @@ def read_text(
         # What the reader makes of a quoted empty value: the text of NULL.
         emptyValue=fmt.null,
     )
-    if fmt.codec:
-        decode = _recoded(fmt.codec)
-        rows = rows.select(*[decode(F.col(n)).alias(n) for n in rows.columns], "_metadata")
     return rows.selectExpr(*names, CORRUPT, f"_metadata.file_path AS {FILE}")
 
 
@@ -181,17 +171,3 @@ def by_header(
 
 def _empty(spark: SparkSession, names: Iterable[str]) -> DataFrame:
     return spark.createDataFrame([], T.StructType([T.StructField(n, T.StringType()) for n in names]))
-
-
-def inferred_schema(spark: SparkSession, paths: Sequence[str], fmt: CsvFormat = BY_HEADER) -> T.StructType:
-    """Names from the header and types from the values, instead of a declared table.
-
-    Only whole days and full times are such; a month like 2024-02 stays text.
-    """
-    reader = _reader(spark, fmt).options(
-        nullValue=fmt.null,
-        emptyValue=fmt.null,
-        dateFormat="yyyy-MM-dd",
-        timestampFormat="yyyy-MM-dd'T'HH:mm:ss[.SSS][XXX]",
-    )
-    return reader.csv([literal_path(p) for p in paths], header=True, inferSchema=True).schema

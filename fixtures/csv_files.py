@@ -28,9 +28,9 @@ def as_text(rows: DataFrame) -> DataFrame:
     return rows.selectExpr(*[_text(f) for f in rows.schema])
 
 
-def write_csv(rows: DataFrame, path: str, null: str, compression: str = "none") -> None:
+def write_csv(rows: DataFrame, path: str, null: str, compression: str = "none", encoding: str = "UTF-8") -> None:
     rows.write.mode("overwrite").csv(
-        path, header=True, nullValue=null, emptyValue="", escape='"', compression=compression
+        path, header=True, nullValue=null, emptyValue="", escape='"', compression=compression, encoding=encoding
     )
 
 

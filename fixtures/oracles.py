@@ -239,7 +239,7 @@ def loaded_wide(only_first_file: tuple[str, ...] = ()) -> str:
 
 
 def inferred_types() -> str:
-    """Types of the opportunity wide columns; money, like any number with a point, shows as double.
+    """Types of the opportunity wide columns; money shows as a decimal of the digits it has.
 
     Text of digits only, as the ids of the test tables are, shows as a number.
     """
@@ -247,16 +247,19 @@ def inferred_types() -> str:
         "VARCHAR": "string",
         "INTEGER": "int",
         "BIGINT": "int",
-        "DOUBLE": "double",
-        "DECIMAL(18,2)": "double",
         "BOOLEAN": "boolean",
         "DATE": "date",
         "TIMESTAMP": "timestamp",
     }
     kinds = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in names.items())
+
+    def money(column: str) -> str:
+        whole, cents = (f"max(len(split_part(ltrim(cast({column} AS varchar), '-'), '.', {i})))" for i in (1, 2))
+        return f"concat('decimal(', {whole} + {cents}, ',', {cents}, ')')"
+
     parts = [
         f"SELECT '{c.label}' AS name, CASE WHEN bool_and(regexp_full_match(cast({_quoted(c.label)} AS varchar), "
-        f"'[0-9]{{10,18}}')) THEN 'bigint' ELSE CASE typeof(any_value({_quoted(c.label)})) {kinds} END END AS type "
+        f"'[0-9]{{10,18}}')) THEN 'bigint' ELSE CASE typeof(any_value({_quoted(c.label)})) {kinds} ELSE {money(_quoted(c.label))} END END AS type "
         "FROM gold_opportunity_wide"
         for c in OPPORTUNITY_WIDE
     ]

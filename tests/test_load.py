@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from ankenmart.sources import csv_text, load
 from ankenmart.sources.csv_text import BY_HEADER, BY_POSITION, CsvFormat
-from ankenmart.streaming.load_once import load_once
+from ankenmart.sources.raw import parquet_source
+from ankenmart.streaming.load_once import copy_raw, load_once
 
 TYPES = {"品目ID": "string", "合計金額": "decimal(15,2)", "クローズ日": "date", "受注済み": "boolean", "台数": "decimal(9,0)"}
 
@@ -205,8 +206,48 @@ def test_raw_int_rounds_and_timestamps(spark, tmp_path):
 
 def test_inferred_schema(spark, tmp_path):
     path = _write(tmp_path, "a.csv", "件名,台数,日\nx,1,2024-01-01\n,null,2024-01-02\n")
-    got = {f.name: f.dataType.simpleString() for f in csv_text.inferred_schema(spark, [path])}
-    assert got == {"件名": "string", "台数": "int", "日": "date"}
+    assert _inferred(spark, [path]) == {"件名": "string", "台数": "int", "日": "date"}
+
+
+def _inferred(spark, paths, fmt=BY_HEADER):
+    return {f.name: f.dataType.simpleString() for f in load.inferred_schema(spark, paths, fmt)}
+
+
+def test_types_are_inferred_by_name_over_files_of_any_column_order(spark, tmp_path):
+    text = ("k,n,金額,率,時,旗,大,空\nx,1,10.50,1e3,2024-01-01T00:00:00Z,true,1,null\n", "n,k,金額,率,時,旗,大\n2,y,-1234.5,2,2024-02-01,false,9999999999\n")
+    want = {"k": "string", "n": "int", "金額": "decimal(6,2)", "率": "double", "時": "timestamp", "旗": "boolean", "大": "bigint", "空": "string"}
+    for encoding in ("UTF-8", "WINDOWS932"):
+        codec = "cp932" if encoding == "WINDOWS932" else "utf-8"
+        paths = [_write(tmp_path, f"{codec}{i}.csv", t, codec) for i, t in enumerate(text)]
+        assert _inferred(spark, paths, CsvFormat("null", encoding)) == want
+    assert _inferred(spark, []) == {}
+    assert _inferred(spark, [_write(tmp_path, "bad.csv", "a,b\n1,2024-02\n1234567890123456789012345678901234567890,12:30\n")]) == {"a": "double", "b": "string"}
+
+
+def test_one_file_of_single_lines_is_read_by_several_tasks(spark, tmp_path):
+    path = _write(tmp_path, "a.csv", "品目ID,案件名\n" + "".join(f"{i},表ソ\n" for i in range(100_000)), "cp932")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 100_000)
+    try:
+        for multi_line, least, most in ((False, 8, 99), (True, 1, 1)):
+            got = csv_text.by_header(spark, [path], ["品目ID", "案件名"], CsvFormat("null", "WINDOWS932", multi_line=multi_line))
+            assert least <= got.rdd.getNumPartitions() <= most
+            assert got.where("`案件名` = '表ソ'").select("品目ID").distinct().count() == 100_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_raw_files_are_copied_once(spark, tmp_path):
+    folder, out = tmp_path / "recordtype", str(tmp_path / "raw")
+    folder.mkdir()
+    head = "a,b,c,d,e,f\n"
+    _write(folder, "a.csv", head + "1,n,d,x,o,true\n")
+    ids = lambda: sorted(r.Id for r in parquet_source(spark, out)("recordtype").select("Id").collect())
+    for _ in range(2):
+        copy_raw(spark, "recordtype", str(folder), out)
+        assert ids() == ["1"]
+    _write(folder, "b.csv", head + "2,n,d,x,o,true\n")
+    copy_raw(spark, "recordtype", str(folder), out)
+    assert ids() == ["1", "2"]
 
 
 def _ids(spark, out):

@@ -59,7 +59,8 @@ def test_bad_raw_record_leaves_nothing(spark, tmp_path):
     copy = ["copy", "--table", "recordtype", "--folder", str(folder), "--out", str(tmp_path / "raw")]
     with pytest.raises(Exception, match="bad value or record"):
         run(spark, arguments(copy))
-    assert not list((tmp_path / "raw").rglob("*.parquet"))
+    # The history knows what was planned; no row of it is there.
+    assert not [p for p in (tmp_path / "raw").rglob("*.parquet") if "_loads" not in p.parts]
     assert run(spark, arguments([*copy, "--on-error", "continue"])) == 0
     assert spark.read.parquet(str(tmp_path / "raw/recordtype")).count() == 1
     assert len(RAW_TABLES) == 11
