@@ -1,15 +1,17 @@
 """Language-model scores from a probabilistic suffix tree.
 
-States are contexts of up to ``depth`` words. A run of words takes part if it makes up ``least_share`` of all
-training tokens, so a level of the tree has at most ``1 / least_share`` entries whatever the size of the
-corpus; longer runs are looked for only where their parts take part, which loses none. A context is
+States are contexts of up to ``depth`` words. A run of words takes part if it occurs ``least_count`` times in
+training, whatever the size of the corpus, so the tree grows with it; longer runs are looked for only where
+their parts take part, which loses none. A context is
 retained if its next-word distribution diverges enough from that of its longest retained suffix: if count
 times Kullback-Leibler divergence, the nats it saves, exceeds what its parameters cost by description
 length. Distributions are smoothed towards the suffix's,
 down to the unigrams of all training words. A token is scored by the longest retained suffix before it.
 
 Texts are read once. Words become numbers within a block of documents; what the blocks exchange are their
-vocabularies and counts.
+vocabularies and, level by level, the counts of their runs. Runs go to buckets by a hash of their context; a
+bucket counts and tests whole contexts, and replies to each block on what the block asked for, so no task and
+no driver holds the tree.
 
 Cases: a null text is empty and is scored as its end alone; a null id is not held out; repeated rows are
 counted and scored one by one; unseen words share the unigram estimate of count 0; without training rows
@@ -33,13 +35,13 @@ from pyspark.sql import functions as F
 from ankenmart.llm.common import lower_words, saved, text_of
 
 DEPTH = 3
-LEAST_SHARE = 2e-6
 LEAST_COUNT = 2
 #: Times the description length of a context's parameters that it must save.
 DIVERGENCE = 1.0
 #: Occurrences the suffix's distribution counts for in that of a context.
 PULL = 6.0
-BLOCK_BYTES = 24_000_000
+BLOCK_BYTES = 10_000_000
+#: Entries a bucket of words has at most, and tokens for each bucket of runs.
 BUCKET_ENTRIES = 500_000
 #: No word has a line end in it.
 END = xxhash.xxh64_intdigest(b"\n")
@@ -121,10 +123,13 @@ def _bucket_edges(words: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(words, starts), [len(words)]])
 
 
-def word_counts(table: DataFrame, bits: int, least: float) -> DataFrame:
-    """Training counts of each block's words, over all blocks: bucket, block, totals (of the bucket's share
-    of the block's words). Block -1 has the number of ``known`` words of the bucket, and the ``words`` and
-    ``totals`` of those that take part in the tree."""
+_REPLIES = "level int, bucket int, block long, first binary, second binary, known long"
+
+
+def word_counts(table: DataFrame, bits: int, least: int) -> DataFrame:
+    """Training counts of each block's words, over all blocks, as replies of level 0: of the bucket's share of
+    the block's words, ``first`` has the counts and ``second`` a number from 1 on, 0 for a word that takes no
+    part in the tree. Block -1 has the number of ``known`` words of the bucket."""
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -143,19 +148,36 @@ def word_counts(table: DataFrame, bits: int, least: float) -> DataFrame:
         distinct, place = np.unique(np.concatenate(words), return_inverse=True)
         totals = np.bincount(place, weights=counts, minlength=len(distinct)).astype("i8")
         ends = np.cumsum([len(w) for w in words])
-        own = [_packed(totals[p]) for p in np.split(place, ends[:-1])]
-        frequent = totals >= least
-        rows = [(frame["bucket"].iloc[0], b, None, t, 0) for b, t in zip(frame["block"], own, strict=True)]
-        rows.append((frame["bucket"].iloc[0], -1, distinct[frequent].tobytes(), _packed(totals[frequent]), int((totals > 0).sum())))
-        return pd.DataFrame(rows, columns=["bucket", "block", "words", "totals", "known"])
+        numbers, bucket = np.zeros(len(totals), "i8"), int(frame["bucket"].iloc[0])
+        frequent = np.flatnonzero(totals >= least)
+        # The frequent ones get small numbers, which pack better.
+        numbers[frequent[np.argsort(-totals[frequent], kind="stable")]] = (np.arange(len(frequent)) << bits) + bucket + 1
+        rows = [(0, bucket, b, _packed(totals[p]), _packed(numbers[p]), 0) for b, p in zip(frame["block"], np.split(place, ends[:-1]), strict=True)]
+        rows.append((0, bucket, -1, None, None, int((totals > 0).sum())))
+        return pd.DataFrame(rows, columns=["level", "bucket", "block", "first", "second", "known"])
 
     dealt = table.select("block", "words", "counts").mapInPandas(deal, "bucket int, block long, words binary, counts binary")
-    return dealt.groupBy("bucket").applyInPandas(total, "bucket int, block long, words binary, totals binary, known long")
+    return dealt.groupBy("bucket").applyInPandas(total, _REPLIES)
+
+
+def _judged(
+    context: np.ndarray, n: np.ndarray, totals: np.ndarray, p: np.ndarray, pull: float, divergence: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Whether each context is a state, and the probability it leaves to its suffix. ``n`` is per context; per
+    run there are its context, its count and what the context's longest retained suffix says of its last word."""
+    share = totals / (n[context] + pull)
+    left = 1 - np.bincount(context, share, len(n))
+    gain = np.bincount(context, share * np.log(share / p), len(n)).astype("f8")  # whole numbers without runs
+    rest_below = np.maximum(1 - np.bincount(context, p, len(n)), 1e-12)
+    gain += left * np.log(np.maximum(left, 1e-12) / rest_below)
+    seen = np.bincount(context, minlength=len(n))
+    cost = (seen + 1) / 2 * np.log(np.maximum(n, 2))
+    return (seen > 0) & (n * gain >= divergence * cost), left
 
 
 @dataclass
 class Tree:
-    """Levels of runs: level k holds runs of k + 1 words as sorted keys, the number of the run's first k
+    """The same tree in memory, for corpora of one task; tests compare with it. Levels of runs: level k holds runs of k + 1 words as sorted keys, the number of the run's first k
     words in the level below times ``stride`` plus the last word's. ``kept`` and ``rest`` are per run as a
     context: whether it is a state, and the probability it leaves to its suffix."""
 
@@ -208,8 +230,6 @@ class Tree:
         self.totals.append(totals[order])
         context, last = np.divmod(self.keys[-1], self.stride)
         n = self.counts if level == 1 else self.totals[level - 2]
-        share = self.totals[-1] / (n[context] + self.pull)
-        left = 1 - np.bincount(context, share, len(n))
         # What the longest retained suffix says of the same words.
         p = self.unigram(self.counts[last])
         words = [last]
@@ -225,12 +245,8 @@ class Tree:
             for j, w in enumerate(history[len(history) - k + 1 :], 1):
                 c = self.runs(j, c, w)
             p = self.smoothed(p, k, c, self.runs(k, c, last))
-        gain = np.bincount(context, share * np.log(share / p), len(n))
-        rest_below = np.maximum(1 - np.bincount(context, p, len(n)), 1e-12)
-        gain += left * np.log(np.maximum(left, 1e-12) / rest_below)
-        seen = np.bincount(context, minlength=len(n))
-        cost = (seen + 1) / 2 * np.log(np.maximum(n, 2))
-        self.kept.append((seen > 0) & (n * gain >= divergence * cost))
+        kept, left = _judged(context, n, self.totals[-1], p, self.pull, divergence)
+        self.kept.append(kept)
         self.rest.append(left)
 
 
@@ -242,85 +258,121 @@ def _find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(table[at] == values, at, -1).astype("i8")
 
 
-def _states(tree: Tree, numbers: np.ndarray, first: np.ndarray, levels: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """For each level: the context of so many words before each token, and the run that ends with it."""
-    context = np.full(len(numbers), -1, "i8")
-    run = numbers
-    for level in range(1, levels + 1):
-        shifted = np.full(len(numbers), -1, "i8")
-        shifted[1:] = run[:-1]
-        shifted[first] = -1
-        context = shifted
-        run = tree.runs(level, context, numbers) if level <= len(tree.keys) else None
-        yield context, run
-        if run is None:
-            return
-
-
-def longer_runs(table: DataFrame, tree: Tree, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Keys and counts of the runs one word longer than the tree's that take part: summed by key over all
-    blocks, then cut to those of ``least`` occurrences, so no more than tokens / least come back."""
-    level, shared = len(tree.keys) + 1, table.sparkSession.sparkContext.broadcast(tree)
-    buckets = 32
-
-    def count(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tree = shared.value
-        for frame in frames:
-            for row in frame.itertuples(index=False):
-                numbers, first = _numbers(tree, row)
-                *_, (context, _) = _states(tree, numbers, first, level)
-                learnt = np.repeat(~np.frombuffer(row.held_out, bool), np.frombuffer(row.lengths, "u4"))
-                some = (context >= 0) & (numbers >= 0) & learnt
-                if level > 1:  # the run without its first word takes part too
-                    some &= _suffix(tree, numbers, first, level) >= 0
-                keys, counts = np.unique(context[some] * tree.stride + numbers[some], return_counts=True)
-                bucket = (keys * np.int64(0x9E3779B97F4A7C1) >> np.int64(40)) % buckets
-                for b in range(buckets):
-                    if (here := bucket == b).any():
-                        yield pd.DataFrame([(b, _packed(keys[here]), _packed(counts[here].astype("u4")))], columns=["bucket", "keys", "counts"])
-
-    def total(frame: pd.DataFrame) -> pd.DataFrame:
-        keys, place = np.unique(np.concatenate([_unpacked(k, "i8") for k in frame["keys"]]), return_inverse=True)
-        counts = np.bincount(place, np.concatenate([_unpacked(c, "u4") for c in frame["counts"]])).astype("i8")
-        some = counts >= least
-        return pd.DataFrame([(_packed(keys[some]), _packed(counts[some]))], columns=["keys", "counts"])
-
-    dealt = table.select("held_out", "lengths", "tokens", "words").mapInPandas(count, "bucket int, keys binary, counts binary")
-    found = dealt.groupBy("bucket").applyInPandas(total, "keys binary, counts binary").collect()
-    joined = [np.concatenate([_unpacked(r[c], "i8") for r in found] or [np.zeros(0, "i8")]) for c in ("keys", "counts")]
-    shared.destroy()
-    return joined[0], joined[1]
-
-
-def _suffix(tree: Tree, numbers: np.ndarray, first: np.ndarray, level: int) -> np.ndarray:
-    """The run of ``level`` words that ends with each token, -1 if it takes no part."""
-    run = numbers
-    for _, run in _states(tree, numbers, first, level - 1):
-        pass
-    return run
-
-
-def _numbers(tree: Tree, row) -> tuple[np.ndarray, np.ndarray]:
-    """The tree's numbers of a block's tokens, and where its documents begin."""
-    tokens, lengths = _unpacked(row.tokens, "u4"), np.frombuffer(row.lengths, "u4")
-    first = np.cumsum(lengths, dtype="i8") - lengths
-    return tree.number(np.frombuffer(row.words, "u8"))[tokens], first
-
-
-def learn(
-    table: DataFrame, counted: DataFrame, tokens: int, least: float, depth: int, pull: float, divergence: float
-) -> Tree:
-    heads = counted.where("block = -1").collect()
-    words = np.concatenate([np.frombuffer(r["words"], "u8") for r in heads] or [np.zeros(0, "u8")])
-    totals = np.concatenate([_unpacked(r["totals"], "i8") for r in heads] or [np.zeros(0, "i8")])
-    order = np.argsort(words)
-    tree = Tree(words[order], totals[order], tokens, sum(r["known"] for r in heads), pull)
-    for _ in range(depth):
-        keys, counts = longer_runs(table, tree, least)
-        if not len(keys):
-            break
-        tree.add_level(keys, counts, divergence)
-    return tree
+def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """A hash of two numbers."""
+    x = (a ^ (a >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) + b.astype("u8")
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_LAST = np.int64((1 << 32) - 1)
+
+
+class _Walk:
+    """A block's tokens on their way through the levels, by the replies to the block.
+
+    ``place`` is the run of so many words as levels passed that ends with each token, among the block's runs,
+    -1 if a part of it takes no part; ``total`` and ``hash`` are per run, the total 0 if it takes no part."""
+
+    def __init__(self, row, words: pd.DataFrame, tokens: int, known: int, pull: float) -> None:
+        words = words.sort_values("bucket")
+        totals = np.concatenate([_unpacked(t, "i8") for t in words["first"]])
+        numbers = np.concatenate([_unpacked(t, "i8") for t in words["second"]])
+        self.place = _unpacked(row.tokens, "u4").astype("i4")
+        lengths = np.frombuffer(row.lengths, "u4")
+        self.first = np.cumsum(lengths, dtype="i8") - lengths
+        self.learnt = np.repeat(~np.frombuffer(row.held_out, bool), lengths)
+        self.count, self.number = totals[self.place], numbers.astype("u4")[self.place]
+        self.total = np.where(numbers > 0, totals, 0)
+        self.hash = _mixed(numbers.astype("u8"), numbers)
+        self.pull = pull
+        self.base = (self.count + 0.5) / (tokens + 0.5 * (known + 1))
+        self.p = self.base.copy()
+
+    def ask(self) -> None:
+        """Find the contexts before the tokens and the runs one word longer, as far as their parts take part."""
+        before = np.full(len(self.place), -1, "i4")
+        before[1:] = self.place[:-1]
+        before[self.first] = -1
+        self.after = np.flatnonzero(before >= 0)
+        self.after = self.after[self.total[before[self.after]] > 0]
+        used = np.zeros(len(self.total), bool)
+        used[before[self.after]] = True
+        contexts = np.flatnonzero(used)
+        contexts = contexts[np.argsort(self.hash[contexts], kind="stable")]
+        rank = np.zeros(len(self.total), "i4")
+        rank[contexts] = np.arange(len(contexts), dtype="i4")
+        self.context = rank[before[self.after]]
+        self.context_hash, self.context_n = self.hash[contexts], self.total[contexts]
+        ends = self.place[self.after]
+        # The run without its first word takes part too.
+        some = np.flatnonzero(ends >= 0)
+        some = some[self.total[ends[some]] > 0]
+        self.whole = self.after[some]
+        keys = self.context[some].astype("i8") << np.int64(32) | self.number[self.whole]
+        self.keys, run = np.unique(keys, return_inverse=True)
+        self.run = run.astype("i4")
+
+    def dealt(self, bits: int) -> Iterator[tuple]:
+        """What has been asked for, by bucket of context."""
+        counts = np.bincount(self.run, self.learnt[self.whole], len(self.keys)).astype("u4")
+        p = np.zeros(len(self.keys), "f4")
+        p[self.run] = self.p[self.whole]  # the same at each token of a run
+        p[counts == 0] = 0
+        context, edges = self.keys >> np.int64(32), _bucket_edges(self.context_hash, bits)
+        runs = np.bincount(context, minlength=len(self.context_hash)).astype("u4")
+        ends = np.searchsorted(context, edges)
+        for b, (x, y, u, v) in enumerate(zip(edges, edges[1:], ends, ends[1:], strict=False)):
+            if y > x:
+                yield (
+                    b, self.context_hash[x:y].tobytes(), _packed(self.context_n[x:y]), _packed(runs[x:y]),
+                    _packed((self.keys[u:v] & _LAST).astype("u4")), _packed(counts[u:v]), _packed(p[u:v]),
+                )
+
+    def take(self, replies: pd.DataFrame) -> None:
+        """Go one level on: ``first`` has what each context leaves to its suffix, -1 if it is no state, and
+        ``second`` the count of each run, 0 if it takes no part."""
+        replies = replies.sort_values("bucket")
+        rest = np.concatenate([_unpacked(r, "f8") for r in replies["first"]] or [np.zeros(0)])
+        self.total = np.concatenate([_unpacked(t, "i8") for t in replies["second"]] or [np.zeros(0, "i8")])
+        self.place = np.full(len(self.place), -1, "i4")
+        self.place[self.whole] = self.run
+        own = np.zeros(len(self.place))
+        own[self.whole] = self.total[self.run]
+        state = np.flatnonzero(rest[self.context] >= 0)
+        at, context = self.after[state], self.context[state]
+        self.p[at] = own[at] / (self.context_n[context] + self.pull) + rest[context] * self.p[at]
+        self.hash = _mixed(self.context_hash[self.keys >> np.int64(32)], self.keys & _LAST)
+
+
+_ASKED = "bucket int, block long, contexts binary, n binary, runs binary, numbers binary, counts binary, p binary"
+
+
+def run_counts(asked: DataFrame, level: int, least: int, pull: float, divergence: float) -> DataFrame:
+    """Replies of a level: counts of runs over all blocks, and the test of their contexts."""
+
+    def judge(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("block")
+        each = [np.frombuffer(c, "u8") for c in frame["contexts"]]
+        runs = [_unpacked(r, "u4") for r in frame["runs"]]
+        distinct, place = np.unique(np.concatenate(each), return_inverse=True)
+        n = np.zeros(len(distinct), "i8")
+        n[place] = np.concatenate([_unpacked(x, "i8") for x in frame["n"]])
+        numbers, counts, p = (np.concatenate([_unpacked(x, kind) for x in frame[c]]) for c, kind in (("numbers", "u4"), ("counts", "u4"), ("p", "f4")))
+        keys, run = np.unique(np.repeat(place.astype("i8"), np.concatenate(runs)) << np.int64(32) | numbers, return_inverse=True)
+        totals = np.bincount(run, counts, len(keys)).astype("i8")
+        below, here = np.ones(len(keys)), counts > 0
+        below[run[here]] = p[here]  # the same from each block
+        some = totals >= least
+        kept, left = _judged((keys >> np.int64(32))[some], n, totals[some], below[some], pull, divergence)
+        rest, totals = np.where(kept, np.maximum(left, 0.0), -1.0), np.where(some, totals, 0)
+        context_ends, run_ends = (np.cumsum([int(x) for x in ends])[:-1] for ends in ([len(c) for c in each], [r.sum() for r in runs]))
+        shares = zip(frame["block"], np.split(place, context_ends), np.split(run, run_ends), strict=True)
+        rows = [(level, frame["bucket"].iloc[0], b, _packed(rest[c]), _packed(totals[r]), 0) for b, c, r in shares]
+        return pd.DataFrame(rows, columns=["level", "bucket", "block", "first", "second", "known"])
+
+    return asked.groupBy("bucket").applyInPandas(judge, _REPLIES)
 
 
 def scores(
@@ -330,7 +382,6 @@ def scores(
     parts: int = 5,
     held: int = 1,
     depth: int = DEPTH,
-    least_share: float = LEAST_SHARE,
     least_count: int = LEAST_COUNT,
     divergence: float = DIVERGENCE,
     pull: float = PULL,
@@ -344,37 +395,49 @@ def scores(
     table = blocks(docs, key, text, parts, held, block_bytes)
     sums = table.agg(F.sum("entries").alias("entries"), F.sum("train_tokens").alias("tokens")).first()
     tokens = sums["tokens"] or 0
-    least = max(least_share * tokens, least_count)
-    bits = max((sums["entries"] or 0) // bucket_entries, 1).bit_length() - 1
-    counted = saved(word_counts(table, bits, least), "word-counts")
-    tree = learn(table, counted, tokens, least, depth, pull, divergence)
-    shared = table.sparkSession.sparkContext.broadcast(tree)
+    bits, run_bits = (max((n or 0) // bucket_entries, 1).bit_length() - 1 for n in (sums["entries"], tokens))
+    counted = saved(word_counts(table, bits, least_count), "word-counts")
+    known = counted.agg(F.sum("known")).first()[0] or 0
+    texts = table.select("block", "docs", "no_id", "held_out", "lengths", "tokens")
+
+    def walked(left: pd.DataFrame, right: pd.DataFrame, level: int) -> tuple:
+        """The block's row, and its walk through the levels below this one."""
+        row = next(left.itertuples(index=False))
+        walk = _Walk(row, right[right["level"] == 0], tokens, known, pull)
+        for below in range(1, level):
+            walk.ask()
+            walk.take(right[right["level"] == below])
+        return row, walk
+
+    def asker(level: int):
+        def ask(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+            row, walk = walked(left, right, level)
+            walk.ask()
+            found = [(b, row.block, *rest) for b, *rest in walk.dealt(run_bits)]
+            return pd.DataFrame(found, columns=["bucket", "block", "contexts", "n", "runs", "numbers", "counts", "p"])
+
+        return ask
 
     def score(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty:
-            return pd.DataFrame(columns=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-        tree, row = shared.value, next(left.itertuples(index=False))
-        numbers, first = _numbers(tree, row)
-        totals = np.concatenate([_unpacked(t, "i8") for t in right.sort_values("bucket")["totals"]])
-        count = totals[_unpacked(row.tokens, "u4")]
-        base = p = tree.unigram(count)
-        for level, (context, run) in enumerate(_states(tree, numbers, first, len(tree.keys)), 1):
-            p = tree.smoothed(p, level, context, run)
+        row, walk = walked(left, right, depth + 1)
         return pd.DataFrame(
             {
                 "id": pd.array(np.frombuffer(row.docs, "i8"), "Int64").copy(),
                 "held_out": np.frombuffer(row.held_out, bool),
                 "n_tokens": np.frombuffer(row.lengths, "u4").astype("i8"),
-                "n_known": np.add.reduceat((count > 0).astype("i8"), first),
-                "train_tokens": tree.tokens,
-                "base_score": np.add.reduceat(np.log10(base), first),
-                "score": np.add.reduceat(np.log10(p), first),
+                "n_known": np.add.reduceat((walk.count > 0).astype("i8"), walk.first),
+                "train_tokens": tokens,
+                "base_score": np.add.reduceat(np.log10(walk.base), walk.first),
+                "score": np.add.reduceat(np.log10(walk.p), walk.first),
             }
         ).assign(id=lambda f: f["id"].mask(np.frombuffer(row.no_id, bool)))
 
-    texts = table.select("block", "docs", "no_id", "held_out", "lengths", "tokens", "words")
-    pairs = texts.groupBy("block").cogroup(counted.where("block >= 0").select("block", "bucket", "totals").groupBy("block"))
-    found = pairs.applyInPandas(
+    replies = counted.where("block >= 0")
+    for level in range(1, depth + 1):
+        pairs = texts.groupBy("block").cogroup(replies.groupBy("block"))
+        asked = pairs.applyInPandas(asker(level), _ASKED)
+        replies = replies.unionByName(saved(run_counts(asked, level, least_count, pull, divergence), "run-counts"))
+    found = texts.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(
         score, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
     return found.withColumnRenamed("id", key)

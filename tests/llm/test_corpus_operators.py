@@ -186,6 +186,51 @@ def test_suffix_tree_learns_contexts_and_sums_to_one(spark):
         assert math.isclose(q.sum() + unseen, 1.0, rel_tol=1e-9)
 
 
+def test_suffix_tree_keeps_rare_runs_whatever_the_corpus(spark):
+    draw = np.random.default_rng(3)
+    texts = [" ".join(f"w{x}" for x in draw.integers(0, 30_000, 1500)) for _ in range(1500)]
+    in_training = [i for i in range(1000) if zlib.crc32(str(i).encode()) % 5 != 1][:3]
+    for i in in_training:
+        texts[i] += " north pole"
+    held = next(i for i in itertools.count(9_000_000) if zlib.crc32(str(i).encode()) % 5 == 1)
+    rows = [*enumerate(texts), (held, "north pole")]
+    found = by_id(suffix_tree.scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)))[held]
+    # 3 occurrences are below 2e-6 of all tokens; they are enough to expect "pole" after "north".
+    assert found.held_out and found.train_tokens * 2e-6 > 3
+    assert found.score - found.base_score > 3
+
+
+def test_suffix_tree_equals_the_tree_in_memory(spark, texts):
+    some = dict(list(texts.items())[:120])
+    docs = spark.createDataFrame(list(some.items()), "doc_id long, text string").repartition(5)
+    found = by_id(suffix_tree.scores(docs, block_bytes=20_000, bucket_entries=2_000))
+    runs = [collections.Counter() for _ in range(4)]
+    for id_, text in some.items():
+        if zlib.crc32(str(id_).encode()) % 5 != 1:
+            own = [*words(text), "\n"]
+            for k in range(4):
+                runs[k].update(tuple(own[i : i + k + 1]) for i in range(len(own) - k))
+    kept = [{r: n for r, n in level.items() if n >= 2} for level in runs]
+    names = sorted(w for (w,) in kept[0])
+    tree = suffix_tree.Tree(np.arange(len(names), dtype="u8"), np.array([kept[0][(w,)] for w in names]), sum(runs[0].values()), len(runs[0]), suffix_tree.PULL)
+    number = {(w,): i for i, w in enumerate(names)}
+    numbers = [number]
+    for k in range(1, 4):
+        keyed = {numbers[-1][r[:-1]] * tree.stride + number[r[-1:]]: r for r in kept[k]}
+        tree.add_level(np.array(list(keyed), "i8"), np.array([kept[k][r] for r in keyed.values()]), suffix_tree.DIVERGENCE)
+        numbers.append({keyed[x]: i for i, x in enumerate(tree.keys[-1].tolist())})
+    for id_, text in some.items():
+        own = [*words(text), "\n"]
+        total = 0.0
+        for i, w in enumerate(own):
+            p = tree.unigram(np.array([float(runs[0][(w,)])]))
+            for k in range(1, min(i, 3) + 1):
+                context, run = (numbers[len(r) - 1].get(r, -1) for r in (tuple(own[i - k : i]), tuple(own[i - k : i + 1])))
+                p = tree.smoothed(p, k, np.array([context]), np.array([run]))
+            total += math.log10(p[0])
+        assert math.isclose(found[id_].score, total, rel_tol=1e-9)
+
+
 def test_simhash(spark, texts):
     found = by_id(queries.op4_vantage_point_simhash(spark, SF_DIR))
     for id_, text in texts.items():
