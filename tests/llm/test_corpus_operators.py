@@ -359,6 +359,22 @@ def test_sharding_splits_a_hot_group(spark):
     assert len(rows) == 8 and max(r.b for r in rows) <= 1.03 * min(r.b for r in rows) and max(r.n for r in rows) <= 1.1 * min(r.n for r in rows)
 
 
+def test_sharding_splits_groups_of_many_rows_and_few_bytes(spark):
+    rows = []
+    for i in range(6000):
+        if i % 3 == 0:
+            rows.append((None, None))  # by the key alone these would stay together
+        else:
+            rows.append((i, f"text {i // 30 * 30 if i % 30 < 3 else i} " + "some words " * (400 + i // 30 * 30 % 90)))
+    found = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    load = [[r for r in found if r["shard"] == s] for s in range(8)]
+    for size in (len, lambda x: sum(r["size"] for r in x), lambda x: sum(r["doc_id"] is None for r in x)):
+        assert max(map(size, load)) <= 1.1 * min(map(size, load))
+    assert all(sorted(r["slot"] for r in x) == list(range(len(x))) for x in load)
+    at = {r["doc_id"]: r["shard"] for r in found}
+    assert all(at[i + 1] == at[i + 2] for i in range(0, 6000, 30))  # a pair is no hot group
+
+
 def test_token_files(spark, texts):
     library = Tokenizer.from_file(tokens.TOKENIZER)
     manifest = token_files.write_token_files(
