@@ -4,7 +4,8 @@ The graph begins with the best neighbours found in leaves of random-projection t
 the neighbours of neighbours: the members of a node's list, sampled from both directions of its edges, are
 compared with each other, and every member keeps the best it has met. A query walks the graph from its own
 neighbours, in rounds that expand its best unexpanded nodes. All rows are indexed; sampling concerns edges
-only, and its loss is measured as recall against brute force. Vectors travel as 16-bit floats; the last
+only, and its loss is measured as recall against brute force. Vectors travel as 16-bit floats, each
+scaled by its own power of two, which travels along and is multiplied back into the scores; the last
 check computes the measure in double precision on the original ones.
 
 Cases: vectors that are null, zero, hold null or non-finite components, have no id, or differ in length
@@ -51,8 +52,16 @@ def valid(rows: DataFrame, key: str, vector: str) -> DataFrame:
     return kept.where(F.size("vector") == (lengths["n"] if lengths else 0)).groupBy("node").agg(F.min("vector").alias("vector"))
 
 
-def _matrix(vectors: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(vectors), "f2").reshape(len(vectors), -1).astype("f4")
+def _packed(vector: np.ndarray) -> bytes:
+    """16-bit floats after the power of two they are to be multiplied by."""
+    power = np.frexp(np.abs(vector).max())[1]
+    return np.int16(power).tobytes() + np.ldexp(vector, -power).astype("f2").tobytes()
+
+
+def _matrix(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
+    """Scaled vectors, and what a score with each is to be multiplied by: the same power of two less for all."""
+    x = np.frombuffer(b"".join(vectors), "f2").reshape(len(vectors), -1)
+    return x[:, 1:].astype("f4"), np.ldexp(1.0, x[:, 0].copy().view("i2") - 64)
 
 
 def _best(nodes: np.ndarray, ids: np.ndarray, scores: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
@@ -77,7 +86,7 @@ def _lists(nodes: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pd.DataFra
         {
             "node": nodes[starts],
             "ids": [ids[a:b].astype("i8").tobytes() for a, b in zip(starts, ends, strict=True)],
-            "scores": [scores[a:b].astype("f4").tobytes() for a, b in zip(starts, ends, strict=True)],
+            "scores": [scores[a:b].astype("f8").tobytes() for a, b in zip(starts, ends, strict=True)],
         }
     )
 
@@ -85,7 +94,7 @@ def _lists(nodes: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> pd.DataFra
 def _edges(frame: pd.DataFrame) -> tuple[np.ndarray, ...]:
     ids = np.frombuffer(b"".join(frame["ids"]), "i8")
     nodes = np.repeat(frame["node"].to_numpy("i8"), [len(x) // 8 for x in frame["ids"]])
-    return nodes, ids, np.frombuffer(b"".join(frame["scores"]), "f4")
+    return nodes, ids, np.frombuffer(b"".join(frame["scores"]), "f8")
 
 
 def _blocks(column: str, n: int, size: int = BLOCK) -> Column:
@@ -107,17 +116,17 @@ def start(vectors: DataFrame, n: int, dim: int, degree: int, leaf: int, trees: i
 
     def leaves(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            signs = (_matrix(frame["vector"]) @ planes > 0).reshape(len(frame), trees, -1)[:, :, :depth]
+            signs = (_matrix(frame["vector"])[0] @ planes > 0).reshape(len(frame), trees, -1)[:, :, :depth]
             number = signs @ (1 << np.arange(depth, dtype="i8")) if depth else np.zeros((len(frame), trees), "i8")
             number[:, 0] = 0
             for tree in range(trees):
                 yield frame.assign(tree=tree, leaf=number[:, tree])
 
     def nearest(frame: pd.DataFrame) -> pd.DataFrame:
-        x, ids, k = _matrix(frame["vector"]), frame["node"].to_numpy("i8"), min(degree, len(frame) - 1)
+        (x, scale), ids, k = _matrix(frame["vector"]), frame["node"].to_numpy("i8"), min(degree, len(frame) - 1)
         if not k:
             return pd.DataFrame({"node": ids, "ids": b"", "scores": b""})
-        s = x @ x.T
+        s = x @ x.T * scale
         np.fill_diagonal(s, -np.inf)
         top = np.argpartition(-s, k - 1, axis=1)[:, :k]
         found = np.take_along_axis(s, top, axis=1)
@@ -159,19 +168,19 @@ def descend(graph: DataFrame, vectors: DataFrame, n: int, degree: int, sample: i
 
     def meet(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["node", "member"])
-        x, ids, nodes = _matrix(frame["vector"]), frame["member"].to_numpy("i8"), frame["node"].to_numpy("i8")
+        (x, scale), ids, nodes = _matrix(frame["vector"]), frame["member"].to_numpy("i8"), frame["node"].to_numpy("i8")
         starts = np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1]))
         out = []
         for a, b in zip(starts, np.append(starts[1:], len(nodes)), strict=True):
             own, part = np.unique(ids[a:b], return_index=True)
             if len(own) < 2:
                 continue
-            s = x[a:b][part] @ x[a:b][part].T
+            s = x[a:b][part] @ x[a:b][part].T * scale[a:b][part]
             np.fill_diagonal(s, -np.inf)
             k = min(take, len(own) - 1)
             top = np.argpartition(-s, k - 1, axis=1)[:, :k]
             out.append((np.repeat(own, k), own[top].ravel(), np.take_along_axis(s, top, axis=1).ravel()))
-        joined = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.zeros(0, t) for t in ("i8", "i8", "f4")]
+        joined = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.zeros(0, t) for t in ("i8", "i8", "f8")]
         return _lists(*_best(*joined, degree))
 
     members = both_ways(graph, sample, sample, seed).join(vectors.withColumnRenamed("node", "member"), "member")
@@ -185,7 +194,7 @@ _STATE = "block int, node long, vector binary, ids binary, scores binary, expand
 def _frontier(row, beam: int, expanded: int) -> np.ndarray:
     """Places of the best nodes of the beam not yet expanded."""
     done = np.frombuffer(row.expanded, bool)
-    best = np.argsort(-np.frombuffer(row.scores, "f4"), kind="stable")[:beam]
+    best = np.argsort(-np.frombuffer(row.scores, "f8"), kind="stable")[:beam]
     return best[~done[best]][:expanded]
 
 
@@ -226,17 +235,17 @@ def search(
 
     def advance(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         right = right.sort_values(["query", "node"])
-        x, query, met = _matrix(right["vector"]) if len(right) else None, right["query"].to_numpy(), right["node"].to_numpy("i8")
+        (x, scale), query, met = _matrix(right["vector"]) if len(right) else (None, None), right["query"].to_numpy(), right["node"].to_numpy("i8")
         out = []
         for row in left.itertuples(index=False):
             done = np.frombuffer(row.expanded, bool).copy()
             done[_frontier(row, beam, expanded)] = True
             a, b = np.searchsorted(query, [row.node, row.node + 1])
-            scores = x[a:b] @ np.frombuffer(row.vector, "f2").astype("f4") if b > a else np.zeros(0, "f4")
+            scores = x[a:b] @ _matrix([row.vector])[0][0] * scale[a:b] if b > a else np.zeros(0)
             out.append(
                 (
                     row.block, row.node, row.vector, row.ids + met[a:b].tobytes(),
-                    row.scores + scores.astype("f4").tobytes(), done.tobytes() + bytes(b - a),
+                    row.scores + scores.astype("f8").tobytes(), done.tobytes() + bytes(b - a),
                 )
             )
         return pd.DataFrame(out, columns=["block", "node", "vector", "ids", "scores", "expanded"])
@@ -251,7 +260,7 @@ def search(
     def beams(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples(index=False):
-                best = np.argsort(-np.frombuffer(row.scores, "f4"), kind="stable")[:beam]
+                best = np.argsort(-np.frombuffer(row.scores, "f8"), kind="stable")[:beam]
                 yield pd.DataFrame({"node": row.node, "member": np.frombuffer(row.ids, "i8")[best]})
 
     return state.mapInPandas(beams, "node long, member long")
@@ -275,14 +284,12 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the nearest found of each row whose id is divisible by ``every``."""
     whole = saved(valid(rows, key, vector), "vectors")
-    stats = whole.agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim"), F.max(F.array_max(F.transform("vector", F.abs))).alias("most")
-    ).first()
-    n, most = stats["n"], stats["most"] or 1.0
+    stats = whole.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")).first()
+    n = stats["n"]
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            yield pd.DataFrame({"node": frame["node"], "vector": [(v / most).astype("f2").tobytes() for v in frame["vector"]]})
+            yield pd.DataFrame({"node": frame["node"], "vector": [_packed(v) for v in frame["vector"]]})
 
     vectors = saved(whole.mapInPandas(pack, "node long, vector binary"), "packed")
     graph = start(vectors, n, stats["dim"] or 1, degree, leaf, trees)

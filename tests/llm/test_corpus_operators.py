@@ -290,6 +290,23 @@ def test_nn_descent(spark):
     assert hits / (20 * len(found)) >= 0.9
 
 
+def recall(spark, x, **given):
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(8)
+    found = collections.defaultdict(dict)
+    for r in nn_descent.nearest(table, **given).collect():
+        found[r.query_id][r.rank] = r.vec_id
+    s = x @ x.T
+    np.fill_diagonal(s, -np.inf)
+    best = {q: np.lexsort((np.arange(len(x)), -s[q]))[:20].tolist() for q in range(0, len(x), 20)}
+    return sum(len(set(best[q]) & set(found[q].values())) for q in best) / (20 * len(best)), found, best
+
+
+def test_nn_descent_with_an_outlier(spark):
+    x = np.random.default_rng(6).standard_normal((1500, 16))
+    x[7] *= 1e10
+    assert recall(spark, x, leaf=2048)[0] >= 0.95
+
+
 def test_few_vectors(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in nn_descent.nearest(table).orderBy("rank").collect()] == [(0, 1, 1, 1.0), (0, 2, 2, 1.0)]
