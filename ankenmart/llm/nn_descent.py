@@ -9,7 +9,7 @@ scaled by its own power of two, which travels along and is multiplied back into
 check computes the measure in double precision on the original ones.
 
 Cases: vectors that are null, zero, hold null or non-finite components, have no id, or differ in length
-from most take no part; rows of one id count once, by the least vector; equal measures go to the smaller
+from most take no part; equal vectors are one node, and the smallest ids of each stand for them; rows of one id count once, by the least vector; equal measures go to the smaller
 id; fewer candidates than asked for are all returned; an empty table gives no rows; other columns are not
 looked at.
 """
@@ -284,24 +284,35 @@ def nearest(
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the nearest found of each row whose id is divisible by ``every``."""
     whole = saved(valid(rows, key, vector), "vectors")
-    stats = whole.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")).first()
+    # A result has no more of one vector's ids than these, the query itself apart.
+    place = F.row_number().over(W.partitionBy("vector").orderBy("node"))
+    least = whole.withColumn("place", place).where(F.col("place") <= neighbours + 1)
+    classes = least.groupBy("vector").agg(F.sort_array(F.collect_list("node")).alias("ids"))
+    classes = saved(classes.select(F.get("ids", F.lit(0)).alias("node"), "vector", "ids"), "classes")
+    stats = classes.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")).first()
     n = stats["n"]
 
     def pack(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             yield pd.DataFrame({"node": frame["node"], "vector": [_packed(v) for v in frame["vector"]]})
 
-    vectors = saved(whole.mapInPandas(pack, "node long, vector binary"), "packed")
+    vectors = saved(classes.select("node", "vector").mapInPandas(pack, "node long, vector binary"), "packed")
     graph = start(vectors, n, stats["dim"] or 1, degree, leaf, trees)
     for step in range(steps if n > leaf else 0):
         graph = descend(graph, vectors, n, degree, sample, take, step + 1)
-    queries = whole.where(F.col("node") % every == 0)
-    found = search(graph, vectors, queries, max(1, n // every), degree, beam, expanded, rounds if n > leaf else 0)
+    asked = whole.where(F.col("node") % every == 0).withColumnRenamed("node", "query_id")
+    asked = saved(asked.join(classes.select("node", "vector"), "vector").select("query_id", "node"), "asked")
+    queries = saved(asked.select("node").distinct(), "queries")
+    found = search(graph, vectors, queries, max(1, queries.count()), degree, beam, expanded, rounds if n > leaf else 0)
+    found = found.unionByName(queries.select("node", F.col("node").alias("member")))  # copies of the query
     product = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     exact = (
-        found.join(queries.select("node", F.col("vector").alias("a")), "node")
-        .join(whole.select(F.col("node").alias("member"), F.col("vector").alias("b")), "member")
-        .select(F.col("node").alias("query_id"), F.col("member").alias("vec_id"), product.alias("score"))
+        found.join(classes.select("node", F.col("vector").alias("a")), "node")
+        .join(classes.select(F.col("node").alias("member"), F.col("vector").alias("b"), "ids"), "member")
+        .select("node", product.alias("score"), F.explode("ids").alias("vec_id"))
     )
+    near = F.row_number().over(W.partitionBy("node").orderBy(F.desc("score"), "vec_id"))
+    best = exact.withColumn("place", near).where(F.col("place") <= neighbours + 1).drop("place")
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return exact.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= neighbours)
+    each = asked.join(best, "node").where(F.col("query_id") != F.col("vec_id"))
+    return each.select("query_id", rank.alias("rank"), "vec_id", "score").where(F.col("rank") <= neighbours)

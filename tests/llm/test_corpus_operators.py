@@ -307,6 +307,17 @@ def test_nn_descent_with_an_outlier(spark):
     assert recall(spark, x, leaf=2048)[0] >= 0.95
 
 
+def test_nn_descent_with_many_copies(spark):
+    x = np.random.default_rng(7).integers(-8, 9, (2500, 16)) / 4.0  # sums are exact
+    x[3] *= 4  # long enough for copies to be the best of copies
+    x[np.random.default_rng(8).permutation(2500)[:1000]] = x[3]
+    share, found, best = recall(spark, x, leaf=200)
+    assert share >= 0.9
+    for q in best:
+        if (x[q] == x[3]).all():  # of copies those of the smallest ids come first
+            assert [found[q][i + 1] for i in range(20)] == best[q]
+
+
 def test_few_vectors(spark):
     table = spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<float>")
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in nn_descent.nearest(table).orderBy("rank").collect()] == [(0, 1, 1, 1.0), (0, 2, 2, 1.0)]
