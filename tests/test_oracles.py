@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from compare import connect, differences
 from conftest import SF_DIR
@@ -17,10 +19,12 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    """But for the corpus operators and their pipeline, which have tests of their own where SQL ends."""
+    assert set(ORACLES) <= set(QUERIES)
+    assert all(re.fullmatch(r"op\d+_\w+|pipeline", name) for name in set(QUERIES) - set(ORACLES))
 
 
-@pytest.mark.parametrize("name", QUERIES)
+@pytest.mark.parametrize("name", ORACLES)
 def test_query(spark, duck, name):
     assert differences(QUERIES[name](spark, SF_DIR), duck, ORACLES[name]) == []
 
