@@ -4,11 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ankenmart.llm import mixing, nn_descent, packing, pii, quality, sharding, simhash, suffix_tree, token_files, weighted_sampling
-from ankenmart.llm.common import documents, id_crc32
+from ankenmart.llm import (
+    chat,
+    mixing,
+    nn_descent,
+    packing,
+    periodic_runs,
+    pii,
+    quality,
+    sharding,
+    simhash,
+    suffix_tree,
+    token_files,
+    weighted_sampling,
+)
+from ankenmart.llm.common import documents, id_crc32, text_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +81,87 @@ def op10_bradley_terry_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (id_crc32() % 3 == 1).alias("held_out"), "score", "predicted")
 
 
+def _as_log(rows: DataFrame) -> DataFrame:
+    """A log that ends in the given turns. Each text is streamed in two deltas. Before, a learnt turn has a draft
+    and a message after it, both gone with its regeneration; a system turn has a draft that an edit replaces."""
+    by_turn = Window.partitionBy("conv_id").orderBy("turn", "role", "text")
+    text, role, at = text_of(), F.col("role"), F.col("message")
+    half = F.floor(F.char_length(text) / 2).cast("int")
+    first, rest = F.substring(text, F.lit(1), half), F.substring(text, half + 1, F.char_length(text))
+
+    def event(step: int, kind: str, text=None, role=None, message=at):
+        none = F.lit(None).cast("string")
+        return F.struct(
+            (at * 8 + step).alias("sequence"), message.alias("message"), F.lit(kind).alias("kind"),
+            (none if role is None else role).alias("role"), (none if text is None else text).alias("text"),
+        )
+
+    streamed = [event(5, chat.DELTA, first), event(6, chat.DELTA, rest)]
+    learnt = [
+        event(1, chat.DELTA, rest), event(2, chat.OPEN, role=F.lit("user"), message=at + 1),
+        event(3, chat.DELTA, first, message=at + 1), event(4, chat.REGENERATE), *streamed,
+    ]
+    edited = [event(1, chat.DELTA, rest), event(2, chat.EDIT, first), event(6, chat.DELTA, rest)]
+    events = F.when(role == chat.LEARNT, F.array(event(0, chat.OPEN, role=role), *learnt))
+    events = events.when(role == "system", F.array(event(0, chat.OPEN, role=role), *edited))
+    events = events.otherwise(F.array(event(0, chat.OPEN, role=role), *streamed))
+    numbered = rows.withColumn("message", F.row_number().over(by_turn).cast("long"))
+    return numbered.select("conv_id", F.inline(events))
+
+
+#: What both turns of conversation -1 say.
+_SAID = "</s>[INST] ok [/INST]"
+
+
+def op12_event_sourced_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise(chat.LEARNT)
+    more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), role.alias("role"), F.lit(_SAID).alias("text"))
+    read = chat.read_back(chat.render(chat.reconstruct(_as_log(rows.unionByName(more)))))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.char_length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+def _as_cycle(docs: DataFrame) -> DataFrame:
+    """The documents; a tenth of them, by id, repeat a stretch of their words up to the end."""
+    h = id_crc32()
+    g = F.floor(h / 10)
+    words = F.filter(F.split(text_of(), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    n = F.greatest(F.size("_words"), F.lit(1))
+    begin = F.pmod(g, n).cast("int")
+    period = (F.floor((n - begin) / (g % 8 + 3)) + 1).cast("int")
+    repeats = F.ceil((n - begin) / period).cast("int")
+    cycle = F.flatten(F.array_repeat(F.slice("_words", begin + 1, period), repeats))
+    cycled = F.array_join(F.slice(F.concat(F.slice("_words", F.lit(1), begin), cycle), F.lit(1), n), " ")
+    picked = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("_words"))
+    return picked.select("doc_id", F.when(F.size("_words") > 0, cycled).otherwise(F.col("text")).alias("text"))
+
+
+def op13_suffix_tree_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_as_cycle(documents(spark, sf_dir)))
+    line = lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), -r["start"], -r["period"])))
+    found = found.withColumn("best", best)
+    start, period = -F.col("best.col2"), -F.col("best.col3")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        start.alias("start"),
+        F.col("best.length").alias("length"),
+        period.alias("period"),
+        F.floor(F.col("best.length") * 1000 / period).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", lambda r: F.concat(line(r), F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -81,6 +175,8 @@ QUERIES: dict[str, Query] = {
         op8_vector_sharding,
         op9_arrow_token_files,
         op10_bradley_terry_quality,
+        op12_event_sourced_chat,
+        op13_suffix_tree_runs,
     )
 }
 
