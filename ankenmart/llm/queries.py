@@ -13,6 +13,7 @@ from ankenmart.llm import (
     nn_descent,
     packing,
     periodic_runs,
+    phrases,
     pii,
     quality,
     sharding,
@@ -109,6 +110,10 @@ def _as_log(rows: DataFrame) -> DataFrame:
     return numbered.select("conv_id", F.inline(events))
 
 
+def op11_tiled_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.phrases(documents(spark, sf_dir))
+
+
 #: What both turns of conversation -1 say.
 _SAID = "</s>[INST] ok [/INST]"
 
@@ -175,10 +180,65 @@ QUERIES: dict[str, Query] = {
         op8_vector_sharding,
         op9_arrow_token_files,
         op10_bradley_terry_quality,
+        op11_tiled_phrases,
         op12_event_sourced_chat,
         op13_suffix_tree_runs,
     )
 }
 
+_PHRASES = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS doc, coalesce(lang, 'und') AS lang,
+    regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS pieces
+  FROM documents),
+pieces AS (SELECT doc, lang, unnest(pieces) AS piece, generate_subscripts(pieces, 1) AS p FROM texts),
+split AS (SELECT doc, lang, p, regexp_split_to_array(piece, '[\x20\x09]+') AS words FROM pieces),
+every AS (SELECT doc, lang, p, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split),
+runs AS (
+  SELECT lang, word AS w1, lead(word, 1) OVER near AS w2, lead(word, 2) OVER near AS w3, lead(word, 3) OVER near AS w4
+  FROM every WHERE word <> '' WINDOW near AS (PARTITION BY doc, p ORDER BY i)),
+counts AS (
+  SELECT lang, [w1] AS words, count(*)::HUGEINT AS f FROM runs GROUP BY ALL
+  UNION ALL SELECT lang, [w1, w2], count(*) FROM runs WHERE w2 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+  UNION ALL SELECT lang, [w1, w2, w3], count(*) FROM runs WHERE w3 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30
+  UNION ALL SELECT lang, [w1, w2, w3, w4], count(*) FROM runs WHERE w4 IS NOT NULL GROUP BY ALL HAVING count(*) >= 30),
+candidates AS (SELECT * FROM counts WHERE len(words) > 1),
+cuts AS (
+  SELECT c.lang, c.words, c.f AS a, k, x.f AS l, y.f AS r, 2000000 * c.f // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, len(words))) AS k FROM candidates) c
+  JOIN counts x ON x.lang = c.lang AND x.words = c.words[:k]
+  JOIN counts y ON y.lang = c.lang AND y.words = c.words[k + 1:]),
+scored AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, words ORDER BY score, k) = 1),
+parts AS (
+  SELECT lang, words[b:e] AS words, f FROM (
+    SELECT lang, words, f, b, unnest(range(b + 1, len(words) + 1)) AS e
+    FROM (SELECT *, unnest(range(1, len(words))) AS b FROM candidates))
+  WHERE e - b + 1 < len(words)),
+held AS (SELECT lang, words, max(f) AS longer FROM parts GROUP BY ALL),
+kept AS (
+  SELECT s.*, array_to_string(s.words, ' ') AS phrase FROM scored s LEFT JOIN held h ON h.lang = s.lang AND h.words = s.words
+  WHERE h.longer IS NULL OR 100 * h.longer < 80 * s.a),
+totals AS (SELECT lang, count(*) AS n FROM runs GROUP BY lang)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+  a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM kept k JOIN totals t ON t.lang = k.lang
+QUALIFY rank <= 2000
+"""
+
+# Lengths by the template: 7 signs around a learnt turn, 14 and the role around any other, and a backslash for
+# each control string inside a text.
+_CHAT = r"""
+WITH rows AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  sum(length(text) + len(regexp_extract_all(text, '<\\*/?s>|\[\\*/?INST\]'))
+    + CASE WHEN role = 'assistant' THEN 7 ELSE 14 + length(role) END)::BIGINT AS formatted_chars
+FROM rows GROUP BY conv_id
+"""
+
 #: Newton iterations, bin packing, tokenizers and trained models are beyond SQL; tests compare with brute force.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_tiled_phrases": _PHRASES, "op12_event_sourced_chat": _CHAT}
