@@ -35,14 +35,14 @@ from ankenmart.llm.common import saved, text_of
 LEAST, SHARE, TOP = 30, 80, 2000
 #: Words of a phrase at most.
 LONGEST = 4
-BLOCK_BYTES = 32_000_000
+BLOCK_BYTES = 16_000_000
 #: Numbers along a side of a tile; its cells have numbers of 16 bits.
 SIDE = 256
 CELLS = SIDE * SIDE
 #: Entries from which a tile is counted by direct addressing, and such tiles at a time.
 DENSE, DENSE_TILES = CELLS // 8, 64
 #: Positions for each bucket of tiles, and packets of a bucket that are added up at a time.
-BUCKET_ENTRIES, PACKETS = 1_000_000, 64
+BUCKET_ENTRIES, PACKETS = 1_000_000, 128
 
 # Signs that end a piece.
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -148,11 +148,13 @@ def _asked(row, level: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     """The words at which phrases of ``level`` words begin whose parts take part, their distinct phrases as number
     of the first words and number of the last word, and the phrase of each word."""
     words, places, numbers = _unpacked(row.words, "i4"), _unpacked(row.places, "i4"), _unpacked(row.numbers, "i8")
-    at = np.flatnonzero((places[:-1] >= 0) & (places[1:] >= 0)) if len(places) else np.zeros(0, "i8")
-    last = words[at + level - 1] if len(at) else words[:0]
-    keys, phrase = np.unique(places[at].astype("i8") << np.int64(32) | last, return_inverse=True)
+    at = np.flatnonzero((places[:-1] >= 0) & (places[1:] >= 0)).astype("i4") if len(places) else np.zeros(0, "i4")
+    keys = places[at].astype("i8") << np.int64(32)
+    if len(at):
+        keys |= words[at + (level - 1)]
+    keys, phrase = np.unique(keys, return_inverse=True)
     first, last = numbers[keys >> np.int64(32)], keys & np.int64((1 << 32) - 1)
-    return at, first, last, phrase
+    return at, first, last, phrase.astype("i4")
 
 
 def _dealt(first: np.ndarray, last: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -183,32 +185,35 @@ def _added(frame: pd.DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, lis
     each packet among them."""
     sizes = [_unpacked(s, "u4") for s in frame["sizes"]]
     tiles, tile = np.unique(np.concatenate([np.frombuffer(t, "i8") for t in frame["tiles"]]), return_inverse=True)
-    tile = np.repeat(tile, np.concatenate(sizes))
+    tile = np.repeat(tile.astype("i4"), np.concatenate(sizes))
     cells = np.concatenate([_unpacked(c, "u2") for c in frame["cells"]])
-    counts = np.concatenate([_unpacked(c, "u8") for c in frame["counts"]]).astype("i8")
-    place = tile << np.int64(16) | cells
+    counts = np.concatenate([_unpacked(c, "u8") for c in frame["counts"]]).view("i8")
+    place = lambda at: tile[at].astype("i8") << np.int64(16) | cells[at]
     dense = np.bincount(tile, minlength=len(tiles)) >= DENSE
     found, sums = [], []
     full = np.flatnonzero(dense)
     for some in np.split(full, range(DENSE_TILES, len(full), DENSE_TILES)):
-        address = np.full(len(tiles), -1, "i8")
+        address = np.full(len(tiles), -1, "i4")
         address[some] = np.arange(len(some))
         own = np.flatnonzero(address[tile] >= 0)
-        flat = address[tile[own]] * CELLS + cells[own]
-        grid = np.bincount(flat, counts[own], len(some) * CELLS)  # sums of whole numbers, exact below 2^53
+        # Sums of whole numbers, exact below 2^53.
+        grid = np.bincount(address[tile[own]] * np.int32(CELLS) + cells[own], counts[own], len(some) * CELLS)
         used = np.flatnonzero(grid)
         found.append(some[used // CELLS] << np.int64(16) | used % CELLS)
         sums.append(grid[used].astype("i8"))
     rest = np.flatnonzero(~dense[tile])
-    order = rest[np.argsort(place[rest], kind="stable")]
+    places = place(rest)
+    order = np.argsort(places, kind="stable")
     if len(order):
-        begin = np.flatnonzero(np.diff(place[order], prepend=-1))
-        found.append(place[order][begin])
-        sums.append(np.add.reduceat(counts[order], begin))
+        places = places[order]
+        begin = np.flatnonzero(np.diff(places, prepend=-1))
+        found.append(places[begin])
+        sums.append(np.add.reduceat(counts[rest[order]], begin))
     found, sums = (np.concatenate(x) for x in (found, sums))
     order = np.argsort(found)
     found, sums = found[order], sums[order]
-    entries = np.split(np.searchsorted(found, place), np.cumsum([int(s.sum()) for s in sizes])[:-1])
+    edges = np.cumsum([0, *(int(s.sum()) for s in sizes)]).tolist()
+    entries = [np.searchsorted(found, place(slice(x, y))) for x, y in zip(edges, edges[1:], strict=False)]
     return tiles[found >> np.int64(16)], (found & (CELLS - 1)).astype("u2"), sums, entries
 
 
@@ -243,7 +248,7 @@ def _counted(packets: DataFrame, members: int, buckets: int, least: int, reply:
     groups = -(-members // at_once) + 1
 
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        tiles, cells, counts, _ = _added(frame.drop(columns="group"))
+        tiles, cells, counts, _ = _added(frame)
         return pd.DataFrame([_packet(int(frame["bucket"].iloc[0]), int(frame["group"].iloc[0]), tiles, cells, counts)], columns=_PACKET_NAMES)
 
     def spread(frame: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
