@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,7 +23,7 @@ from ankenmart.plans.wide import (
     gold_opportunity_wide,
 )
 from ankenmart.session import scratch_path
-from ankenmart.sources.csv_text import CsvFormat, list_files
+from ankenmart.sources.csv_text import BY_HEADER, FILE, CsvFormat, file_headers, list_files
 from ankenmart.sources.load import (
     CONTINUE,
     WIDE_TYPES,
@@ -209,6 +210,30 @@ def _load_two_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _load_totals(loaded(spark, out))
 
 
+def _load_concurrently(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs started together over the same files: each row is there once."""
+    folder, out = scratch_path(spark, "together"), scratch_path(spark, "loaded")
+    text = _line_text(spark, sf_dir)
+    write_first(text, folder)
+    write_second(text, folder)
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda _: load_once(spark, folder, out, r".*\.csv(\.gz)?", files_per_batch=2), range(3)))
+    return _load_totals(loaded(spark, out))
+
+
+def _headers_of_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The headers of the files of two exports, name by name, and the rows of the files of each."""
+    folder = scratch_path(spark, "headers")
+    text = _line_text(spark, sf_dir)
+    write_first(text, folder)
+    write_second(text, folder)
+    paths = _paths(spark, folder)
+    files = file_headers(spark, paths, BY_HEADER)
+    rows = wide_text(spark, paths).groupBy(F.url_decode(FILE).alias("path")).agg(F.count(F.lit(1)).alias("n"))
+    by_header = files.join(rows, "path", "left").groupBy("header").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"))
+    return by_header.select("row_count", F.posexplode("header").alias("place", "name"))
+
+
 def _load_force(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All files loaded twice: every row is there twice."""
     folder, out = scratch_path(spark, "forced"), scratch_path(spark, "loaded")
@@ -327,6 +352,8 @@ def queries() -> dict[str, Query]:
     out["load_once"] = _load_once
     out["load_second_pattern"] = _load_second_pattern
     out["load_two_histories"] = _load_two_histories
+    out["load_concurrently"] = _load_concurrently
+    out["headers_of_files"] = _headers_of_files
     out["load_force"] = _load_force
     out["load_arrays"] = _loaded_arrays
     out["load_by_position"] = _load_by_position
@@ -395,7 +422,8 @@ def oracle_sql() -> dict[str, str]:
         totals.format("", wide, 'WHERE "表示順" IS NULL OR "表示順" NOT IN (2, 3, 4, 5, 6)')
     )
     out["load_once"] = o.with_models(totals.format("", wide, ""))
-    out["load_second_pattern"] = out["load_two_histories"] = out["load_once"]
+    out["load_second_pattern"] = out["load_two_histories"] = out["load_concurrently"] = out["load_once"]
+    out["headers_of_files"] = o.headers(ABSENT)
     out["load_force"] = o.with_models(totals.format(" * 2", wide, ""))
     out["load_arrays"] = o.with_models(
         "SELECT state, count(*) AS row_count FROM (SELECT unnest(CASE WHEN len(\"建物都道府県\") > 0 "

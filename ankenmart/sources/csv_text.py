@@ -6,12 +6,15 @@ differ in order. Files are therefore grouped by header, and each group is one sc
 
 from __future__ import annotations
 
+import csv
+import io
 import re
-from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,8 +30,6 @@ SPARK_ENCODINGS = ("UTF-8", "UTF-16", "UTF-16BE", "UTF-16LE", "UTF-32", "ISO-885
 JAVA_ENCODINGS = {"WINDOWS932": "windows-31j"}
 JAVA_CHARSETS = "spark.sql.legacy.javaCharsets"
 
-HEADER_READERS = 16
-
 
 @dataclass(frozen=True)
 class CsvFormat:
@@ -100,23 +101,60 @@ def whole_match(text: Column, pattern: str) -> Column:
     return text.rlike(f"^(?:{pattern})$")
 
 
-def header_of(spark: SparkSession, path: str, fmt: CsvFormat) -> tuple[str | None, ...]:
-    """The first record of a file; its names are taken as they stand."""
-    first = _reader(spark, fmt).csv(literal_path(path), header=False).head(1)
-    return tuple(first[0]) if first else ()
+def file_headers(spark: SparkSession, paths: Sequence[str], fmt: CsvFormat) -> DataFrame:
+    """``path`` and ``header`` of each file that has a record; names are taken as they stand, an empty one is NULL.
+
+    One job for all files. A record of another width than the schema's comes back whole, so one column is
+    enough for any header. A task leaves a file that cannot share it with others after its first record, and
+    a split that is not the first of its file at once; files that share a task are no larger than one split.
+    """
+    alone = _bytes(spark, "spark.sql.files.maxPartitionBytes")
+    delimiter = fmt.delimiter
+
+    def first_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, last = [], None
+        for batch in batches:
+            for path, start, size, record in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if path != last and not start:
+                    names = next(csv.reader(io.StringIO(record, newline=""), delimiter=delimiter))
+                    found.append((unquote(path), [n or None for n in names]))
+                last = path
+                if size >= alone:
+                    break
+            else:
+                continue
+            break
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p for p, _ in found], pa.string()), pa.array([h for _, h in found], pa.list_(pa.string()))],
+            names=["path", "header"],
+        )
+
+    if not paths:
+        return spark.createDataFrame([], "path string, header array<string>")
+    rows = _reader(spark, fmt).csv(
+        [literal_path(p) for p in paths],
+        schema=f"c0 string, {CORRUPT} string",
+        mode="PERMISSIVE",
+        columnNameOfCorruptRecord=CORRUPT,
+    )
+    return rows.selectExpr(
+        "_metadata.file_path AS path",
+        "_metadata.file_block_start AS start",
+        "_metadata.file_size AS size",
+        f"coalesce({CORRUPT}, c0, '') AS record",
+    ).mapInArrow(first_records, "path string, header array<string>")
+
+
+def _bytes(spark: SparkSession, setting: str) -> int:
+    return spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(setting))
 
 
 def headers(
     spark: SparkSession, paths: Sequence[str], fmt: CsvFormat
 ) -> dict[tuple[str | None, ...], list[str]]:
-    """Files by header. One record of each file is read, several files at a time."""
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        found = list(pool.map(lambda p: header_of(spark, p, fmt), paths))
-    groups: dict[tuple[str | None, ...], list[str]] = {}
-    for path, names in zip(paths, found):
-        if names:
-            groups.setdefault(names, []).append(path)
-    return groups
+    """Files by header. The driver, which plans a scan a header, sees each header once and the names of its files."""
+    groups = file_headers(spark, paths, fmt).groupBy("header").agg(F.array_sort(F.collect_list("path")).alias("paths"))
+    return {tuple(g.header): g.paths for g in groups.orderBy(F.col("paths")[0]).toLocalIterator()}
 
 
 def read_text(

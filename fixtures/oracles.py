@@ -238,6 +238,18 @@ def loaded_wide(only_first_file: tuple[str, ...] = ()) -> str:
     return with_models(f"SELECT {', '.join(value(c) for c in LINE_ITEM_WIDE)} FROM {LINE_WIDE}")
 
 
+def headers(absent: tuple[str, ...]) -> str:
+    """The headers of the first file, that of the rows won, and of the second; a file without rows has none."""
+    first = [c.label for c in LINE_ITEM_WIDE]
+    second = ["余分", *(n for n in reversed(first) if n not in absent)]
+    parts = [
+        f"SELECT (SELECT count(*) FROM {LINE_WIDE} WHERE coalesce(\"受注済み\", false) = {won}) AS row_count, "
+        f"unnest(range({len(names)}))::INT AS place, unnest({names!r}) AS name"
+        for won, names in (("true", first), ("false", second))
+    ]
+    return with_models(f"SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE row_count > 0")
+
+
 def inferred_types() -> str:
     """Types of the opportunity wide columns; money shows as a decimal of the digits it has.
 

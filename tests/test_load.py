@@ -5,15 +5,19 @@ import decimal
 import gzip
 import importlib
 import os
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
+from threading import Barrier
 
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from ankenmart import storage
 from ankenmart.sources import csv_text, load
 from ankenmart.sources.csv_text import BY_HEADER, BY_POSITION, CsvFormat
 from ankenmart.sources.raw import parquet_source
-from ankenmart.streaming.load_once import copy_raw, load_once
+from ankenmart.streaming.load_once import copy_raw, history, load_files_once, load_once
 
 TYPES = {"品目ID": "string", "合計金額": "decimal(15,2)", "クローズ日": "date", "受注済み": "boolean", "台数": "decimal(9,0)"}
 
@@ -339,3 +343,85 @@ def test_force_loads_again(spark, tmp_path):
 
 def test_formats():
     assert (BY_POSITION.null, BY_HEADER.null) == ("NULL", "null")
+
+
+def test_one_of_many_creates_a_file(spark, tmp_path):
+    path = f"{tmp_path}/log/1.json"
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: storage.create_if_absent(spark, path, f"text {i}"), range(24)))
+    assert won.count(True) == 1 and Path(path).read_text() == f"text {won.index(True)}"
+    assert storage.names(spark, f"{tmp_path}/log") == ["1.json"] and storage.names(spark, f"{tmp_path}/none") == []
+
+
+def test_a_rename_does_not_replace(spark, tmp_path):
+    for text, want in (("a", True), ("b", False)):
+        hidden, fs = storage._path(spark, f"{tmp_path}/_x")
+        out = fs.create(hidden, True)
+        out.write(bytearray(text.encode()))
+        out.close()
+        assert storage._renamed(spark, hidden, f"{tmp_path}/y") is want
+    assert Path(tmp_path / "y").read_text() == "a"
+
+
+def test_two_loaders_started_together_load_no_row_twice(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    for i in range(12):
+        _write(folder, f"f{i:02}.csv", f"品目ID\n{i}\n")
+    together = Barrier(3)
+
+    def run(_):
+        together.wait()
+        load_once(spark, str(folder), out, files_per_batch=2)
+
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(run, range(3)))
+    assert sorted(map(int, _ids(spark, out))) == list(range(12))
+    seen = history(spark, f"{out}/_loads").groupBy("path").agg(F.count(F.lit(1)).alias("n"), F.max("step").alias("step")).collect()
+    assert len(seen) == 12 and {(r.n, r.step) for r in seen} == {(1, "done")}
+
+
+def test_a_lost_loader_is_followed_by_another_after_its_lease(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    _write(folder, "a.csv", "品目ID\n1\n")
+    module = importlib.import_module("ankenmart.streaming.load_once")
+    load_once(spark, str(folder), out)
+    log = module._log(spark, f"{out}/_loads")
+    (entry,) = log.frame().where("step = 'done'").collect()
+    storage.delete(spark, f"{out}/_loads/log/{entry.version:020d}.json")  # as if the job had died before
+    read = lambda paths: load.read_wide_csv(spark, paths)
+    _write(folder, "b.csv", "品目ID\n2\n")
+    load_files_once(spark, str(folder), out, read)
+    assert [e.step for e in log.frame().where(F.col("load") == entry.load).collect()] == ["claimed"]
+    load_files_once(spark, str(folder), out, read, lease=0.0)
+    assert _ids(spark, out) == ["1", "2"] and log.frame().where("step = 'done'").count() == 2
+
+
+def test_headers_of_many_files_are_read_by_one_job(spark, tmp_path):
+    want = {}
+    for i in range(300):
+        names = ['a"x', "b\nc", None, "日本"][: 1 + i % 4] if i % 5 else ["only"]
+        quoted = ['"' + n.replace('"', '""') + '"' if n else "" for n in names]
+        want[_write(tmp_path, f"f{i:03}.csv" + ".gz" * (i % 2), ",".join(quoted) + "\n" + "1,2\n" * (i % 3))] = tuple(names)
+    _write(tmp_path, "empty.csv", "")
+    spark.sparkContext.setJobGroup("headers", "")
+    got = csv_text.file_headers(spark, [*want, f"{tmp_path}/empty.csv"], BY_HEADER).collect()
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    # Spark lists over 32 paths by a job of its own.
+    assert len(jobs) <= 3
+    assert {r.path.removeprefix("file:"): tuple(r.header) for r in got} == want
+    groups = csv_text.headers(spark, list(want), BY_HEADER)
+    assert len(groups) == len(set(want.values())) and sum(map(len, groups.values())) == 300
+
+
+def test_the_header_of_a_large_file_is_that_of_its_first_split(spark, tmp_path):
+    body = "品目ID,案件名\n" + "".join(f"{i},{'x' * 90}\n" for i in range(300_000))
+    paths = [_write(tmp_path, f"{i}.csv", body) for i in range(2)]
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4m")
+    try:
+        for fmt in (BY_HEADER, CsvFormat("null", multi_line=False)):
+            assert csv_text.headers(spark, paths, fmt) == {("品目ID", "案件名"): [f"file:{p}" for p in paths]}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
