@@ -5,9 +5,9 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ankenmart.functions.arrays import array_from_json, array_to_json
@@ -313,14 +313,48 @@ def _preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _built_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole job, written and read back: rows of each of its 25 models."""
     built = pipeline.build(spark, crm_source(spark, sf_dir), scratch_path(spark, "build"), AS_OF)
-    counts = [
-        rows.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(model).alias("model"), "row_count")
-        for model, rows in built.tables.items()
+    return reduce(DataFrame.unionByName, [_count(rows, model) for model, rows in built.tables.items()])
+
+
+def _count(rows: DataFrame, model: str, *more: Column) -> DataFrame:
+    return rows.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(model).alias("model"), "row_count", *more)
+
+
+def _repeated_account(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build from raw tables with an account there twice: what became of each model, and rows of those that stand."""
+    source = crm_source(spark, sf_dir)
+
+    def repeating(name: str) -> DataFrame:
+        rows = source(name)
+        return rows.unionByName(rows.orderBy("Id").limit(1)) if name == "account" else rows
+
+    built = pipeline.build(spark, repeating, scratch_path(spark, "held"), AS_OF)
+    rows = [
+        _count(built.tables[model], model, F.lit(status).alias("status"))
+        if model in built.tables
+        else spark.range(1).select(F.lit(model).alias("model"), F.lit(None).cast("long").alias("row_count"), F.lit(status).alias("status"))
+        for model, status in built.status.items()
     ]
-    out = counts[0]
-    for more in counts[1:]:
-        out = out.unionByName(more)
-    return out
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _marts_after_a_dying_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A build, then one over half the accounts that dies at the lines: rows of the marts published after both."""
+    source, out = crm_source(spark, sf_dir), scratch_path(spark, "published")
+    pipeline.build(spark, source, out, AS_OF)
+
+    def dying(name: str) -> DataFrame:
+        rows = source(name)
+        if name == "account":
+            return rows.where(F.pmod(F.xxhash64("Id"), F.lit(2)) == 0)
+        return rows.where(F.raise_error(F.lit("the job dies here")).isNull()) if name == "opportunitylineitem" else rows
+
+    try:
+        pipeline.build(spark, dying, out, AS_OF)
+    except Exception as died:
+        if "the job dies here" not in str(died):
+            raise
+    return reduce(DataFrame.unionByName, [_count(rows, model) for model, rows in pipeline.published(spark, out).items()])
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -363,6 +397,8 @@ def queries() -> dict[str, Query]:
     out["inferred_types"] = _inferred_types
     out["preview_line_item_wide"] = _preview
     out["row_counts_of_built_models"] = _built_row_counts
+    out["build_with_a_repeated_account"] = _repeated_account
+    out["marts_after_a_dying_build"] = _marts_after_a_dying_build
     if llm:
         out |= llm.QUERIES
         out["pipeline"] = corpus_pipeline.run
@@ -439,6 +475,10 @@ def oracle_sql() -> dict[str, str]:
         'ORDER BY "品目ID" NULLS LAST LIMIT 10'
     )
     out["row_counts_of_built_models"] = o.row_counts()
+    out["build_with_a_repeated_account"] = o.held_back(
+        failed=("stg_account", "dim_account"), blocked=("gold_opportunity_wide", wide), one_more="stg_account"
+    )
+    out["marts_after_a_dying_build"] = o.row_counts(*MARTS, "dim_date", "gold_opportunity_wide", wide)
     if llm:
         out |= llm.ORACLES
         if corpus_pipeline.ORACLE_SQL:

@@ -8,7 +8,8 @@ import sys
 
 from pyspark.sql import SparkSession
 
-from ankenmart.plans.pipeline import build
+from ankenmart.plans.pipeline import BLOCKED, WARN, build
+from ankenmart.plans.quality import NOT_NULL, UNIQUE
 from ankenmart.session import configure
 from ankenmart.sources.csv_text import BY_HEADER, BY_POSITION, CsvFormat, list_files
 from ankenmart.sources.load import (
@@ -29,6 +30,13 @@ def _format(job: argparse.ArgumentParser) -> None:
     job.add_argument("--single-line", action="store_true", help="no value holds a line end, so one file is read by many tasks")
 
 
+def _test(name: str) -> tuple[str, str]:
+    model, _, test = name.rpartition(".")
+    if test not in (NOT_NULL, UNIQUE):
+        raise argparse.ArgumentTypeError(f"{name} is no MODEL.TEST")
+    return model, test
+
+
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="ankenmart", description=__doc__)
     jobs = parser.add_subparsers(dest="job", required=True)
@@ -39,7 +47,10 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     make.add_argument("--out", required=True)
     make.add_argument("--as-of", type=dt.date.fromisoformat, help="last day of the calendar less five years")
     make.add_argument("--target", default="analytics", help="prefix of the layer names")
-    make.add_argument("--catalog", action="store_true", help="register the marts as tables")
+    make.add_argument("--catalog", action="store_true", help="register the marts as tables, staging as views")
+    make.add_argument(
+        "--warn", type=_test, nargs="*", default=WARN, metavar="MODEL.TEST", help=f"tests ({NOT_NULL}, {UNIQUE}) whose failure holds nothing back"
+    )
 
     load = jobs.add_parser("load", help="load line-item wide CSV files")
     load.add_argument("--folder", required=True)
@@ -68,10 +79,13 @@ def run(spark: SparkSession, args: argparse.Namespace) -> int:
     """The exit status: 1 if a data test failed or a bad value was found."""
     if args.job == "build":
         sources = {"parquet": parquet_source, "csv": csv_source, "catalog": catalog_source}
-        built = build(spark, sources[args.format](spark, args.raw), args.out, args.as_of, args.target, args.catalog)
+        built = build(spark, sources[args.format](spark, args.raw), args.out, args.as_of, args.target, args.catalog, args.warn)
         failed = [r for r in built.tests.collect() if r.failures]  # 46 rows at most
         for r in failed:
             print(f"{r.test} failed on {r.model}.{r.column}: {r.failures}")
+        for model, status in built.status.items():
+            if status == BLOCKED:
+                print(f"{model} is not published: a model it builds on failed")
         return bool(failed)
     if args.job == "copy":
         fmt = CsvFormat(BY_POSITION.null, args.encoding, multi_line=not args.single_line)

@@ -1,21 +1,31 @@
-"""The whole job: raw tables to staging views, marts, wide tables and data tests."""
+"""The whole job: raw tables to staging views, marts, wide tables, data tests, and what of it is published.
+
+Each build writes its marts to folders of its own. Readers go by a log whose last entry names the folder of every
+mart; a build adds one entry at its end, so readers see all of it or nothing, and a build that dies midway leaves
+what was there. A model whose data test fails is not published, nor is what builds on it; those keep the folders of
+the build before.
+"""
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+import uuid
+from collections.abc import Callable, Collection, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 
 from ankenmart.operators.layout import clustered
+from ankenmart.operators.projection import ident
 from ankenmart.plans import quality
 from ankenmart.plans.calendar import dim_date
 from ankenmart.plans.marts import MARTS, fact_opportunity_line_item, hot_opportunities
-from ankenmart.plans.staging import staging_layer
+from ankenmart.plans.staging import STAGING, staging_layer, staging_sql
 from ankenmart.plans.wide import gold_opportunity_line_item_wide, gold_opportunity_wide
-from ankenmart.sources.raw import Source
+from ankenmart.sources.raw import LastingSource, Source
+from ankenmart.storage import VersionLog, delete
 
 LINE_FACT = "fact_opportunity_line_item"
 
@@ -54,6 +64,16 @@ DESCRIPTIONS = {
     "gold_opportunity_line_item_wide": "Line-item fact with all its dimensions",
 }
 
+#: Tests whose failures are reported but hold nothing back: the fact keeps an opportunity without lines.
+WARN = frozenset({(LINE_FACT, quality.NOT_NULL)})
+
+BUILT, FAILED, BLOCKED = "built", "failed", "blocked"
+
+#: Builds whose folders are kept, so that a reader of the one before can end.
+KEPT = 2
+
+_KEY_COMMENT = "Key: filled and unique"
+
 # Writes that do not depend on each other share the cluster.
 PARALLEL_WRITES = 4
 
@@ -64,15 +84,63 @@ def layer_schema(target: str, layer: str) -> str:
 
 @dataclass(frozen=True)
 class Build:
+    """``marts`` are the published ones, ``status`` tells of each of the 25 models whether this build made it."""
+
     staging: Mapping[str, DataFrame]
     marts: Mapping[str, DataFrame]
     tests: DataFrame
+    status: Mapping[str, str]
 
     @property
     def tables(self) -> dict[str, DataFrame]:
         return {**self.staging, **self.marts}
 
 
+class _Inputs(Mapping[str, DataFrame]):
+    """Tables that note which of them a model reads."""
+
+    def __init__(self, tables: Mapping[str, DataFrame]) -> None:
+        self._tables = tables
+        self.read: set[str] = set()
+
+    def __getitem__(self, name: str) -> DataFrame:
+        self.read.add(name)
+        return self._tables[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._tables)
+
+    def __len__(self) -> int:
+        return len(self._tables)
+
+
+def _published_log(spark: SparkSession, out: str, target: str) -> VersionLog:
+    place = f"{out}/{layer_schema(target, 'marts')}/_published"
+    return VersionLog(spark, place, "folders map<string,string>")
+
+
+def published(spark: SparkSession, out: str, target: str = "analytics") -> dict[str, DataFrame]:
+    """The marts as the last entry of the log names them."""
+    entry = _published_log(spark, out, target).frame().orderBy(F.col("version").desc()).first()
+    return {model: spark.read.parquet(path) for model, path in (entry.folders if entry else {}).items()}
+
+
+def _publish(spark: SparkSession, out: str, target: str, made: Mapping[str, str]) -> dict[str, str]:
+    """Adds the entry that names ``made``, and for all other models the folders of the entry before; deletes the
+    folders that only entries older than the last ``KEPT`` name."""
+    log = _published_log(spark, out, target)
+    while True:
+        entries = log.frame().orderBy("version").collect()  # one a build
+        folders = {**(entries[-1].folders if entries else {}), **made}
+        if log.append((entries[-1].version if entries else 0) + 1, folders=folders):
+            break
+    kept = {path for e in entries[len(entries) + 1 - KEPT :] for path in e.folders.values()} | set(folders.values())
+    before = entries[-KEPT].folders if len(entries) >= KEPT else {}
+    for path in set(before.values()) - kept:
+        delete(spark, path)
+    return folders
+
+
 def build(
     spark: SparkSession,
     source: Source,
@@ -80,63 +148,135 @@ def build(
     as_of: dt.date | None = None,
     target: str = "analytics",
     catalog: bool = False,
+    warn: Collection[tuple[str, str]] = WARN,
 ) -> Build:
-    """Register the staging views, write every mart below ``out``, prepare the tests.
+    """Register the staging views, write and test every mart, publish those below ``out`` that hold.
 
-    Staging stays lazy. Each mart is written once and read back by what builds on it,
-    so a lost executor costs at most the running write. ``catalog`` also registers the
-    marts as tables of the layer's database.
+    Staging stays lazy. Each mart is written once and read back by what builds on it, so a lost executor costs at
+    most the running write. The keys of staging are counted while the marts are written; what is then known to
+    fail is not built on. ``warn`` has (model, test) whose failure holds nothing back. ``catalog`` also registers
+    the marts as tables, and the staging models as views if the source outlasts the session.
     """
-    staging = staging_layer(source)
+    staging = {model: _keyed(model, rows) for model, rows in staging_layer(source).items()}
     for model, rows in staging.items():
         rows.createOrReplaceTempView(model)
+    if catalog and isinstance(source, LastingSource):
+        _register_views(spark, source, staging, layer_schema(target, "staging"))
 
-    schema = layer_schema(target, "marts")
-    if catalog:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{schema}`")
+    work, build_id = f"{out}/{layer_schema(target, 'marts')}", uuid.uuid4().hex
+    made: dict[str, str] = {}
+    parents: dict[str, set[str]] = {}
+    results: list[Row] = []
 
     def write(model: str, rows: DataFrame) -> DataFrame:
-        path = f"{out}/{schema}/{model}"
         if model in CLUSTERING:
             rows = clustered(rows, *CLUSTERING[model])
-        rows.write.mode("overwrite").parquet(path)
-        if catalog:
-            _register(spark, f"`{schema}`.`{model}`", path, DESCRIPTIONS[model])
+        path = f"{work}/{model}/build={build_id}"
+        rows.write.parquet(path)
+        made[model] = path
         return spark.read.schema(rows.schema).parquet(path)
 
     def write_hot() -> DataFrame:
         # Both joins to the lines need the list of hot opportunities: counted once, then read.
-        path = f"{out}/{layer_schema(target, 'work')}/hot_opportunities"
+        path = f"{out}/{layer_schema(target, 'work')}/hot_opportunities/build={build_id}"
         hot = hot_opportunities(staging)
-        hot.write.mode("overwrite").parquet(path)
+        hot.write.parquet(path)
         return spark.read.schema(hot.schema).parquet(path)
 
-    with ThreadPoolExecutor(PARALLEL_WRITES) as pool:
+    def bad() -> set[str]:
+        """Models a test of which failed, and all that build on them."""
+        out = {r.model for r in results if r.failures and (r.model, r.test) not in warn}
+        while more := {m for m, reads in parents.items() if m not in out and reads & out}:
+            out |= more
+        return out
+
+    with ThreadPoolExecutor(PARALLEL_WRITES + 1) as pool:
 
-        def write_all(models: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
-            started = {name: pool.submit(lambda n=name, f=make: write(n, f())) for name, make in models.items()}
-            return {name: done.result() for name, done in started.items()}
+        def write_all(
+            tables: Mapping[str, DataFrame], models: Mapping[str, Callable[[Mapping[str, DataFrame]], DataFrame]]
+        ) -> dict[str, DataFrame]:
+            rows, started = {}, {}
+            for model, make in models.items():
+                inputs = _Inputs(tables)
+                rows[model] = _keyed(model, make(inputs))
+                parents[model] = inputs.read
+            # The wide table has the rows of the line fact, though it joins anew from staging.
+            parents.setdefault("gold_opportunity_line_item_wide", set()).add(LINE_FACT)
+            for model in models:
+                if model not in bad():
+                    started[model] = pool.submit(write, model, rows[model])
+            return rows | {model: done.result() for model, done in started.items()}
 
+        testing = pool.submit(lambda: quality.run_tests(staging).collect())  # two rows a model
         counting = pool.submit(write_hot)
         marts = write_all(
-            {name: lambda make=make: make(staging) for name, make in MARTS.items() if name != LINE_FACT}
-            | {"dim_date": lambda: dim_date(spark, as_of)}
+            staging,
+            {model: make for model, make in MARTS.items() if model != LINE_FACT} | {"dim_date": lambda _: dim_date(spark, as_of)},
         )
-        hot, tables = counting.result(), {**staging, **marts}
+        results += testing.result()
+        hot = counting.result()
         marts |= write_all(
+            {**staging, **marts},
             {
-                LINE_FACT: lambda: fact_opportunity_line_item(staging, hot),
-                "gold_opportunity_line_item_wide": lambda: gold_opportunity_line_item_wide(tables, hot=hot),
-                "gold_opportunity_wide": lambda: gold_opportunity_wide(tables),
-            }
+                LINE_FACT: lambda tables: fact_opportunity_line_item(tables, hot),
+                "gold_opportunity_line_item_wide": lambda tables: gold_opportunity_line_item_wide(tables, hot=hot),
+                "gold_opportunity_wide": gold_opportunity_wide,
+            },
         )
-    return Build(staging, marts, quality.run_tests({**staging, **marts}))
+    written = {model: marts[model] for model in made}
+    if tested := {model: rows for model, rows in written.items() if model in quality.KEYS}:
+        results += quality.run_tests(tested).collect()
+
+    held = bad()
+    failed = {r.model for r in results if r.failures and (r.model, r.test) not in warn}
+    status = {m: FAILED if m in failed else BLOCKED if m in held else BUILT for m in (*staging, *marts)}
+    folders = _publish(spark, out, target, {model: path for model, path in made.items() if model not in held})
+    if catalog:
+        _register_tables(spark, folders, marts, layer_schema(target, "marts"))
+    tests = spark.createDataFrame(results, "model string, column string, test string, failures long")
+    ready = {m: written[m] if m in made and m not in held else spark.read.parquet(path) for m, path in folders.items()}
+    return Build(staging, ready, tests, status)
+
+
+def _keyed(model: str, rows: DataFrame) -> DataFrame:
+    """The comment of the key column goes with the schema, into Parquet files and catalog tables."""
+    if model not in quality.KEYS:
+        return rows
+    key = quality.KEYS[model]
+    return rows.withMetadata(key, {"comment": _KEY_COMMENT})
 
 
-def _register(spark: SparkSession, table: str, path: str, description: str) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    location = path.replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {table} USING parquet LOCATION '{location}' COMMENT '{description}'")
+def _text(words: str) -> str:
+    return "'" + words.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _register_views(spark: SparkSession, source: LastingSource, staging: Mapping[str, DataFrame], schema: str) -> None:
+    """Catalog views over the raw tables: any session of the catalog reads what is staged then."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {ident(schema)}")
+    for model, rows in staging.items():
+        table = STAGING[model]
+        columns = ", ".join(ident(c) + (f" COMMENT {_text(_KEY_COMMENT)}" if c == table.key else "") for c in rows.columns)
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {ident(schema)}.{ident(model)} ({columns}) COMMENT {_text(DESCRIPTIONS[model])} "
+            f"AS {staging_sql(table, source.relation(table.name))}"
+        )
+
+
+def _register_tables(spark: SparkSession, folders: Mapping[str, str], marts: Mapping[str, DataFrame], schema: str) -> None:
+    """Tables over the published folders: made once, then pointed to the folder of each build in one step."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {ident(schema)}")
+    for model, path in folders.items():
+        table = f"{ident(schema)}.{ident(model)}"
+        if spark.catalog.tableExists(table) and spark.table(table).schema == spark.read.parquet(path).schema:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION {_text(path)}")
+            spark.catalog.refreshTable(table)
+            continue
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        columns = ", ".join(
+            f"{ident(f.name)} {f.dataType.simpleString()}" + (f" COMMENT {_text(f.metadata['comment'])}" if "comment" in f.metadata else "")
+            for f in marts[model].schema
+        )
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet LOCATION {_text(path)} COMMENT {_text(DESCRIPTIONS[model])}")
 
 
 def preview(rows: DataFrame, *columns: str, n: int = 10) -> DataFrame:

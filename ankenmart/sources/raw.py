@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ankenmart.operators.projection import renamed
+from ankenmart.operators.projection import ident, renamed
 
 NAMESPACE = "salesforce"
 
@@ -262,14 +262,29 @@ def raw_table(name: str) -> RawTable:
         raise ValueError(f"no raw table {name!r} in {NAMESPACE}") from None
 
 
-def parquet_source(spark: SparkSession, folder: str) -> Source:
+@dataclass(frozen=True)
+class LastingSource:
+    """Raw tables under names that outlast the session, so that catalog views can be made over them."""
+
+    read: Source
+    relation: Callable[[str], str]
+
+    def __call__(self, name: str) -> DataFrame:
+        return self.read(name)
+
+
+def parquet_source(spark: SparkSession, folder: str) -> LastingSource:
     """Raw tables as Parquet, one folder or file per table below ``folder``."""
-    return lambda name: conform(spark.read.parquet(f"{folder}/{raw_table(name).name}"), raw_table(name))
+    return LastingSource(
+        lambda name: conform(spark.read.parquet(f"{folder}/{raw_table(name).name}"), raw_table(name)),
+        lambda name: f"parquet.{ident(f'{folder}/{raw_table(name).name}')}",
+    )
 
 
-def catalog_source(spark: SparkSession, database: str = NAMESPACE) -> Source:
+def catalog_source(spark: SparkSession, database: str = NAMESPACE) -> LastingSource:
     """Raw tables in the catalog. Quoted, as ``user`` is a reserved word."""
-    return lambda name: conform(spark.table(f"`{database}`.`{raw_table(name).name}`"), raw_table(name))
+    table = lambda name: f"{ident(database)}.{ident(raw_table(name).name)}"
+    return LastingSource(lambda name: conform(spark.table(table(name)), raw_table(name)), table)
 
 
 def frame_source(frames: Mapping[str, DataFrame]) -> Source:

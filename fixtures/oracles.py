@@ -197,13 +197,24 @@ def unique_failures() -> str:
     )
 
 
-def row_counts() -> str:
-    names = [m for m in MODELS if m != "buildings_by_opportunity"]
+def row_counts(*names: str) -> str:
+    names = names or tuple(m for m in MODELS if m != "buildings_by_opportunity")
     return with_models(
         "\nUNION ALL ".join(f"SELECT '{m}' AS model, count(*) AS row_count FROM {m}" for m in names)
     )
 
 
+def held_back(failed: tuple[str, ...], blocked: tuple[str, ...], one_more: str) -> str:
+    """Status and rows of each model; a mart that is not published has none, one staging model has one row more."""
+
+    def one(model: str) -> str:
+        status = "failed" if model in failed else "blocked" if model in blocked else "built"
+        n = "NULL" if status != "built" and model not in STAGING else "count(*) + 1" if model == one_more else "count(*)"
+        return f"(SELECT '{model}' AS model, '{status}' AS status, cast({n} AS bigint) AS row_count FROM {model}{' LIMIT 1' if n == 'NULL' else ''})"
+
+    return with_models("\nUNION ALL ".join(map(one, (m for m in MODELS if m != "buildings_by_opportunity"))))
+
+
 def raw(name: str) -> str:
     columns = ", ".join(c.name for c in RAW_TABLES[name].columns)
     return f"SELECT {columns} FROM ({MAPPING[name]})"

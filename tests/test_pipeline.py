@@ -9,7 +9,8 @@ from ankenmart.plans import pipeline
 from ankenmart.plans.quality import KEYS
 from ankenmart.plans.wide import gold_opportunity_line_item_wide
 from ankenmart.session import scratch_path, shared_dir
-from fixtures.crm import crm_source
+from ankenmart.sources.raw import parquet_source
+from fixtures.crm import crm_source, write_raw
 
 
 @pytest.fixture(scope="module")
@@ -84,3 +85,81 @@ def test_preview(built):
 def test_scratch_is_below_the_shared_folder(spark):
     assert scratch_path(spark, "x").startswith(shared_dir(spark) + "/x-")
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def _twice(source, name):
+    """The source with the first row of a table there twice."""
+    return lambda n: source(n).unionByName(source(n).orderBy("Id").limit(1)) if n == name else source(n)
+
+
+@pytest.fixture(scope="module")
+def raw(spark, tmp_path_factory):
+    return write_raw(spark, SF_DIR, str(tmp_path_factory.mktemp("raw")), 2)
+
+
+def test_a_failing_key_holds_back_what_builds_on_it(spark, raw, tmp_path):
+    out, source = str(tmp_path), parquet_source(spark, raw)
+    broken = pipeline.build(spark, _twice(source, "account"), out, AS_OF)
+    state = lambda b, s: {m for m, is_ in b.status.items() if is_ == s}
+    assert state(broken, pipeline.FAILED) == {"stg_account", "dim_account"}
+    assert state(broken, pipeline.BLOCKED) == {"gold_opportunity_wide", "gold_opportunity_line_item_wide"}
+    assert set(broken.marts) == set(pipeline.published(spark, out)) == set(pipeline.DESCRIPTIONS) - set(broken.staging) - {"dim_account", *state(broken, pipeline.BLOCKED)}
+    good = pipeline.build(spark, source, out, AS_OF)
+    assert set(good.status.values()) == {pipeline.BUILT} and len(good.marts) == 14
+    # Now the tables of the good build stay, with an older account dimension.
+    again = pipeline.build(spark, _twice(source, "account"), out, AS_OF)
+    assert again.marts["dim_account"].count() == good.staging["stg_account"].count()
+    assert again.marts["gold_opportunity_line_item_wide"].inputFiles() == good.marts["gold_opportunity_line_item_wide"].inputFiles()
+    assert again.marts["dim_user"].inputFiles() != good.marts["dim_user"].inputFiles()
+
+
+def test_the_known_failure_holds_back_where_it_does_not_only_warn(spark, raw, tmp_path):
+    strict = pipeline.build(spark, parquet_source(spark, raw), str(tmp_path), AS_OF, warn=())
+    assert {m: s for m, s in strict.status.items() if s != pipeline.BUILT} == {
+        "fact_opportunity_line_item": pipeline.FAILED, "gold_opportunity_line_item_wide": pipeline.BLOCKED,
+    }
+    assert not set(strict.marts) & {"fact_opportunity_line_item", "gold_opportunity_line_item_wide"}
+
+
+def test_a_build_that_dies_leaves_the_marts_as_they_were(spark, raw, tmp_path):
+    out, source = str(tmp_path), parquet_source(spark, raw)
+    pipeline.build(spark, source, out, AS_OF)
+    before = {m: (rows.inputFiles(), rows.count()) for m, rows in pipeline.published(spark, out).items()}
+
+    def dying(name):
+        rows = source(name)
+        return rows.where(F.raise_error(F.lit("gone")).isNull()) if name == "opportunitylineitem" else rows
+
+    with pytest.raises(Exception, match="gone"):
+        pipeline.build(spark, dying, out, AS_OF)
+    assert {m: (rows.inputFiles(), rows.count()) for m, rows in pipeline.published(spark, out).items()} == before
+
+
+def test_folders_of_the_last_two_builds_are_kept(spark, raw, tmp_path):
+    one = lambda i: pipeline._publish(spark, str(tmp_path), "t", {"a": f"{tmp_path}/a/{i}", **({"b": f"{tmp_path}/b/{i}"} if i != 1 else {})})
+    for i in range(4):
+        for m in "ab":
+            (tmp_path / m / str(i)).mkdir(parents=True)
+        one(i)
+        there = {m: {int(p.name) for p in (tmp_path / m).iterdir()} for m in "ab"}
+        # Build 1 made no b, so its folder of b is nobody's and stays.
+        assert there["a"] == {i, max(i - 1, 0)} and there["b"] - {1} == {0: {0}, 1: {0}, 2: {0, 2}, 3: {2, 3}}[i]
+
+
+def test_staging_views_and_comments_outlast_the_session(spark, raw, tmp_path):
+    built = pipeline.build(spark, parquet_source(spark, raw), str(tmp_path), AS_OF, target="lasting", catalog=True)
+    other = spark.newSession()
+    assert not other.catalog.tableExists("stg_account")
+    assert rows(other.table("lasting_staging.stg_account")) == rows(built.staging["stg_account"])
+    for model, text in pipeline.DESCRIPTIONS.items():
+        layer = "staging" if model in built.staging else "marts"
+        said = {r.col_name: r for r in other.sql(f"DESCRIBE TABLE EXTENDED lasting_{layer}.{model}").collect()}
+        assert said["Comment"].data_type == text
+        if model in KEYS:
+            assert said[KEYS[model]].comment == "Key: filled and unique"
+    files = other.table("lasting_marts.dim_user").inputFiles()
+    pipeline.build(spark, parquet_source(spark, raw), str(tmp_path), AS_OF, target="lasting", catalog=True)
+    other = spark.newSession()  # a session keeps a table's files until it refreshes the table
+    assert other.table("lasting_marts.dim_user").inputFiles() != files
+    assert other.table("lasting_marts.dim_user").count() == built.marts["dim_user"].count()
+    assert spark.read.parquet(files[0]).schema["user_id"].metadata["comment"] == "Key: filled and unique"
