@@ -21,6 +21,8 @@ from ankenmart.plans.wide import (
     buildings_by_opportunity,
     gold_opportunity_line_item_wide,
     gold_opportunity_wide,
+    line_item_wide_by_opportunity,
+    write_by_opportunity,
 )
 from ankenmart.session import scratch_path
 from ankenmart.sources.csv_text import BY_HEADER, FILE, CsvFormat, file_headers, list_files
@@ -302,6 +304,14 @@ def _inferred_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(found, "name string, type string")
 
 
+def _wide_by_opportunity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line-item wide table from tables written by opportunity; opportunities above five lines are split."""
+    location = scratch_path(spark, "by-opportunity")
+    name = "by_opportunity_" + location[-12:]
+    write_by_opportunity(_Tables(spark, sf_dir), name, location, buckets=8, slice_rows=5)
+    return line_item_wide_by_opportunity(spark, name)
+
+
 def _preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = gold_opportunity_line_item_wide(
         _Tables(spark, sf_dir), labels=["品目ID", "案件名", "商品名", "合計金額", "クローズ日"]
@@ -368,6 +378,7 @@ def queries() -> dict[str, Query]:
     out["gold_opportunity_wide"] = partial(_wide, gold_opportunity_wide)
     out["gold_opportunity_line_item_wide"] = partial(_wide, gold_opportunity_line_item_wide)
     out["buildings_by_opportunity"] = partial(_wide, buildings_by_opportunity)
+    out["wide_from_tables_by_opportunity"] = _wide_by_opportunity
     for name, metric, dimension, _ in METRIC_QUERIES:
         out[name] = partial(_semantic, dict(metrics=[metric], dimensions=[dimension]))
     out["metrics_total"] = partial(_semantic, dict(metrics=ALL_METRICS))
@@ -415,6 +426,7 @@ def oracle_sql() -> dict[str, str]:
     )
     for name in ("gold_opportunity_wide", wide, "buildings_by_opportunity"):
         out[name] = o.model(name)
+    out["wide_from_tables_by_opportunity"] = o.model(wide)
     out["json_arrays"] = o.model("buildings_by_opportunity")
     for name, metric, dimension, column in METRIC_QUERIES:
         out[name] = o.metrics([metric], {LINE_ITEMS.dimension(dimension).name: column})

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 SLICE_ROWS = 1_000_000
 
-_SLICE, _SLICES, _HOT_KEY, _MANY_KEY, _MATCHED = "_slice", "_slices", "_hot_key", "_many_key", "_matched"
+SLICE, SLICES, MATCHED = "_slice", "_slices", "_matched"
+_HOT_KEY, _MANY_KEY = "_hot_key", "_many_key"
 
 
 def hot_keys(many: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFrame:
@@ -32,7 +33,7 @@ def hot_keys(many: DataFrame, key: str, slice_rows: int = SLICE_ROWS) -> DataFra
         .groupBy(F.col(key).alias(_HOT_KEY))
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > slice_rows)
-        .select(_HOT_KEY, F.ceil(F.col("n") / slice_rows).cast("int").alias(_SLICES))
+        .select(_HOT_KEY, F.ceil(F.col("n") / slice_rows).cast("int").alias(SLICES))
     )
 
 
@@ -44,15 +45,15 @@ def _deal(many: DataFrame, hot: DataFrame, key: str, spread_by: Column) -> DataF
     """Each row goes to exactly one slice, the same one if the task runs again."""
     return (
         _with_slices(many, hot, key)
-        .withColumn(_SLICE, F.coalesce(F.pmod(F.xxhash64(spread_by), F.col(_SLICES)).cast("int"), F.lit(0)))
-        .drop(_SLICES)
+        .withColumn(SLICE, F.coalesce(F.pmod(F.xxhash64(spread_by), F.col(SLICES)).cast("int"), F.lit(0)))
+        .drop(SLICES)
     )
 
 
 def _copy(one: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     """One copy per slice of the key; ``_slices`` stays NULL for keys that are not hot."""
-    last = F.coalesce(F.col(_SLICES) - 1, F.lit(0))
-    return _with_slices(one, hot, key).withColumn(_SLICE, F.explode(F.sequence(F.lit(0), last)))
+    last = F.coalesce(F.col(SLICES) - 1, F.lit(0))
+    return _with_slices(one, hot, key).withColumn(SLICE, F.explode(F.sequence(F.lit(0), last)))
 
 
 def fan_out(
@@ -74,24 +75,24 @@ def fan_out(
         names = (f"_key_{i}", f"_slice_{i}")
         side = (
             _copy(table, hot, key)
-            .drop(_SLICES)
+            .drop(SLICES)
             .withColumnRenamed(key, names[0])
-            .withColumnRenamed(_SLICE, names[1])
+            .withColumnRenamed(SLICE, names[1])
         )
         rows = rows.join(
-            side, (F.col(key) == F.col(names[0])) & (F.col(_SLICE) == F.col(names[1])), "left"
+            side, (F.col(key) == F.col(names[0])) & (F.col(SLICE) == F.col(names[1])), "left"
         ).drop(*names)
 
     dealt = (
         _deal(many, hot, key, F.col(spread_by))
         .withColumnRenamed(key, _MANY_KEY)
-        .withColumnRenamed(_SLICE, "_many_slice")
-        .withColumn(_MATCHED, F.lit(True))
+        .withColumnRenamed(SLICE, "_many_slice")
+        .withColumn(MATCHED, F.lit(True))
     )
     joined = rows.join(
-        dealt, (F.col(key) == F.col(_MANY_KEY)) & (F.col(_SLICE) == F.col("_many_slice")), "left"
+        dealt, (F.col(key) == F.col(_MANY_KEY)) & (F.col(SLICE) == F.col("_many_slice")), "left"
     )
     # A hot key has rows by definition, so a copy whose slice got none is no result row.
-    return joined.where(F.col(_SLICES).isNull() | F.col(_MATCHED)).drop(
-        _SLICE, _SLICES, _MANY_KEY, "_many_slice", _MATCHED
+    return joined.where(F.col(SLICES).isNull() | F.col(MATCHED)).drop(
+        SLICE, SLICES, _MANY_KEY, "_many_slice", MATCHED
     )

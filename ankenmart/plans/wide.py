@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection, Iterable, Mapping
+from collections.abc import Callable, Collection, Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ankenmart.functions.arrays import distinct_array
-from ankenmart.operators.fan_out import fan_out
+from ankenmart.operators import colocated
+from ankenmart.operators.fan_out import SLICE_ROWS, fan_out, hot_keys
 from ankenmart.operators.lookup import lookup, role_column
 from ankenmart.operators.projection import renamed
 from ankenmart.plans.marts import hot_opportunities
@@ -84,23 +85,29 @@ def _pick(contract: tuple[WideColumn, ...], labels: Collection[str] | None) -> t
     return tuple(c for c in contract if c.label in labels)
 
 
-def buildings_by_opportunity(tables: Tables) -> DataFrame:
-    """Distinct states, cities and streets of the buildings linked to an opportunity."""
-    linked = lookup(
+_PLACES = {"states": "address_state", "cities": "address_city", "streets": "address_street"}
+
+
+def _building_links(tables: Tables) -> DataFrame:
+    return lookup(
         tables["bridge_opportunity_building"].select("opportunity_id", "building_id"),
         tables["dim_building"],
         "building_id",
         "building_id",
         "building",
-        ("address_state", "address_city", "address_street"),
-    )
-    return linked.groupBy("opportunity_id").agg(
-        distinct_array(F.col("building__address_state")).alias("building_states"),
-        distinct_array(F.col("building__address_city")).alias("building_cities"),
-        distinct_array(F.col("building__address_street")).alias("building_streets"),
+        _PLACES.values(),
     )
 
 
+def _building_arrays(name: Callable[[str], str]) -> list[Column]:
+    return [distinct_array(F.col(role_column("building", c))).alias(name(a)) for a, c in _PLACES.items()]
+
+
+def buildings_by_opportunity(tables: Tables) -> DataFrame:
+    """Distinct states, cities and streets of the buildings linked to an opportunity."""
+    return _building_links(tables).groupBy("opportunity_id").agg(*_building_arrays(lambda a: f"building_{a}"))
+
+
 def gold_opportunity_wide(tables: Tables, labels: Collection[str] | None = None) -> DataFrame:
     contract = _pick(OPPORTUNITY_WIDE, labels)
     rows = _grain(
@@ -123,20 +130,53 @@ def gold_opportunity_line_item_wide(
     relies on unique dimension keys, which the data tests check.
     """
     contract = _pick(LINE_ITEM_WIDE, labels)
-    key = "opportunity_id"
-    header = _grain(tables["stg_opportunity"], "header", (key,), HEADER_ROLES, tables, contract)
-    line = _grain(
-        tables["stg_opportunity_line_item"], "line", (key, "line_item_id"), LINE_ROLES, tables, contract
-    ).withColumnRenamed("line_item_id", role_column("line", "line_item_id"))
+    header, line = _line_item_grains(tables, contract)
     arrays = _wanted(contract, "buildings")
     per_key = []
     if arrays:
         per_key.append(
             renamed(
                 buildings_by_opportunity(tables),
-                [(key, key), *((a, role_column("buildings", a)) for a in arrays)],
+                [(_KEY, _KEY), *((a, role_column("buildings", a)) for a in arrays)],
             )
         )
     hot = hot_opportunities(tables) if hot is None else hot
-    rows = fan_out(header, line, key, role_column("line", "line_item_id"), hot, per_key)
-    return _labelled(rows, contract, key)
+    rows = fan_out(header, line, _KEY, role_column("line", "line_item_id"), hot, per_key)
+    return _labelled(rows, contract, _KEY)
+
+
+_KEY = "opportunity_id"
+
+
+def _line_item_grains(tables: Tables, contract: Collection[WideColumn]) -> tuple[DataFrame, DataFrame]:
+    """Headers and lines with their dimensions."""
+    header = _grain(tables["stg_opportunity"], "header", (_KEY,), HEADER_ROLES, tables, contract)
+    line = _grain(
+        tables["stg_opportunity_line_item"], "line", (_KEY, "line_item_id"), LINE_ROLES, tables, contract
+    ).withColumnRenamed("line_item_id", role_column("line", "line_item_id"))
+    return header, line
+
+
+def write_by_opportunity(
+    tables: Tables, name: str, location: str, buckets: int | None = None, slice_rows: int = SLICE_ROWS
+) -> str:
+    """Headers, building links and lines, each with its dimensions, written once as the tables ``headers``,
+    ``links`` and ``lines`` of a database, so that they join on the opportunity without an exchange."""
+    header, line = _line_item_grains(tables, LINE_ITEM_WIDE)
+    lines = tables["stg_opportunity_line_item"]
+    hot = hot_keys(lines, _KEY, slice_rows)
+    buckets = buckets or colocated.buckets_for(lines)
+    where = colocated.database(lines.sparkSession, name, location)
+    links = _building_links(tables).drop("building_id")
+    for table, rows in (("headers", header), ("links", links)):
+        colocated.write_copied(rows, hot, _KEY, f"`{where}`.{table}", f"{location}/{table}", buckets)
+    spread = role_column("line", "line_item_id")
+    colocated.write_many(line, hot, _KEY, spread, f"`{where}`.lines", f"{location}/lines", buckets)
+    return where
+
+
+def line_item_wide_by_opportunity(spark: SparkSession, name: str) -> DataFrame:
+    """``gold_opportunity_line_item_wide`` from the tables ``write_by_opportunity`` left."""
+    header, links, line = (spark.table(f"`{name}`.{table}") for table in ("headers", "links", "lines"))
+    arrays = colocated.by_key(links, _KEY, *_building_arrays(lambda a: role_column("buildings", f"building_{a}")))
+    return _labelled(colocated.join(header, line, _KEY, [arrays]), LINE_ITEM_WIDE, _KEY)

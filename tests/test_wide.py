@@ -10,6 +10,8 @@ from ankenmart.plans.wide import (
     buildings_by_opportunity,
     gold_opportunity_line_item_wide,
     gold_opportunity_wide,
+    line_item_wide_by_opportunity,
+    write_by_opportunity,
 )
 from ankenmart.sources.wide_contract import LINE_ITEM_WIDE, OPPORTUNITY_WIDE, load_schema
 
@@ -120,3 +122,21 @@ def test_dates_outside_the_calendar_give_null(tables):
     wide = gold_opportunity_wide(tables, ["受注予定日", "受注予定会計年度"])
     early = wide.where("`受注予定日` < DATE '2020-01-01'")
     assert early.count() > 0 and early.where("`受注予定会計年度` IS NOT NULL").count() == 0
+
+
+def test_tables_written_by_opportunity_join_without_an_exchange(spark, tables, tmp_path):
+    write_by_opportunity(tables, "written_by_opportunity", str(tmp_path), buckets=5, slice_rows=2)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        wide = line_item_wide_by_opportunity(spark, "written_by_opportunity")
+        plan = plan_of(wide)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan and plan.count("SortMergeJoin") == 2 and "Bucketed: true" in plan
+    assert rows(wide) == rows(gold_opportunity_line_item_wide(tables))
+    lines = spark.table("written_by_opportunity.lines")
+    slices = lines.groupBy("opportunity_id").agg(F.count_distinct("_slice").alias("slices"), F.count(F.lit(1)).alias("n"))
+    assert slices.where("n > 2 AND slices > 1").count() > 100 and slices.where("n <= 2 AND slices > 1").count() == 0
+    # A hot opportunity is in several buckets, that is in several files.
+    files = lines.groupBy("opportunity_id").agg(F.count_distinct("_metadata.file_path").alias("files"))
+    assert files.where("files > 1").count() > 100
