@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ankenmart.functions.arrays import array_from_json, array_to_json
 from ankenmart.operators.projection import ident
-from ankenmart.plans import pipeline, quality
+from ankenmart.plans import pipeline, quality, rollups
 from ankenmart.plans.calendar import dim_date
 from ankenmart.plans.marts import MARTS
 from ankenmart.plans.sales_semantics import LINE_ITEMS, QUESTIONS, question
@@ -120,6 +120,18 @@ def _semantic(arguments: dict, spark: SparkSession, sf_dir: str) -> DataFrame:
     return LINE_ITEMS.query(rows, **arguments)
 
 
+#: Dimensions of the stored rollups; the second comes from the first.
+ROLLUPS = ([*CROSS_DIMENSIONS, "クローズ会計年度", "商品ファミリー"], ["受注エリア", "フェーズ", "クローズ会計年度"], ["受注店所", "レコードタイプ名"])
+
+
+def _from_rollups(arguments: dict, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A question answered from rollups stored before, by the smallest that covers it."""
+    needed = LINE_ITEMS.columns_for(ALL_METRICS, [d for dimensions in ROLLUPS for d in dimensions])
+    rows = gold_opportunity_line_item_wide(_Tables(spark, sf_dir), labels=needed)
+    stored = rollups.write_rollups(LINE_ITEMS, rows, ROLLUPS, scratch_path(spark, "rollups"), near=["クローズ年四半期"])
+    return rollups.query(spark, LINE_ITEMS, stored, **arguments)
+
+
 def _tests(test: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.run_tests(_Tables(spark, sf_dir), test)
 
@@ -385,6 +397,12 @@ def queries() -> dict[str, Query]:
     out["metrics_by_area_phase_quarter"] = partial(
         _semantic, dict(metrics=ALL_METRICS, dimensions=list(CROSS_DIMENSIONS))
     )
+    out["rollup_metrics_by_area_phase_quarter"] = partial(
+        _from_rollups, dict(metrics=ALL_METRICS, dimensions=list(CROSS_DIMENSIONS))
+    )
+    out["rollup_metrics_by_phase_in_two_years"] = partial(
+        _from_rollups, dict(metrics=ALL_METRICS, dimensions=["フェーズ"], where={"クローズ会計年度": [2023, 2024]})
+    )
     out["facts_by_line"] = partial(_semantic, dict(facts=FACTS, dimensions=["案件ID", "フェーズ", "customer"]))
     for name in QUESTIONS:
         out[name] = partial(_semantic, question(name, AS_OF))
@@ -432,6 +450,10 @@ def oracle_sql() -> dict[str, str]:
         out[name] = o.metrics([metric], {LINE_ITEMS.dimension(dimension).name: column})
     out["metrics_total"] = o.metrics(ALL_METRICS)
     out["metrics_by_area_phase_quarter"] = o.metrics(ALL_METRICS, CROSS_DIMENSIONS)
+    out["rollup_metrics_by_area_phase_quarter"] = out["metrics_by_area_phase_quarter"]
+    out["rollup_metrics_by_phase_in_two_years"] = o.metrics(
+        ALL_METRICS, {"フェーズ": "フェーズ"}, where=' WHERE "クローズ会計年度" IN (2023, 2024)'
+    )
     out["facts_by_line"] = o.with_models(
         'SELECT "案件ID", "フェーズ", "顧客名（契約先）" AS "顧客名", '
         + ", ".join(f'"{f}"' for f in FACTS)

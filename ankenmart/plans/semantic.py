@@ -119,17 +119,26 @@ class SemanticModel:
             raise ValueError("facts are row values and cannot be mixed with metrics")
         if not (facts or metrics or dimensions):
             raise ValueError("nothing to query")
-        for phrase, wanted in (where or {}).items():
-            rows = rows.where(_matches(F.col(_quoted(self.dimension(phrase).column)), wanted))
+        rows = self.filtered(rows, where)
         by = [self.dimension(d) for d in dimensions]
         if facts:
             picked = [*by, *(self.fact(f) for f in facts)]
             out = rows.select(*[F.col(_quoted(m.column)).alias(m.name) for m in picked])
         else:
             out = _aggregate(rows, by, [self.metric(m) for m in metrics])
+        return self.ordered(out, order_by, limit)
+
+    def filtered(self, rows: DataFrame, where: Mapping[str, Any] | None, physical: bool = True) -> DataFrame:
+        """The rows that match; their dimensions have physical or logical names."""
+        for phrase, wanted in (where or {}).items():
+            dimension = self.dimension(phrase)
+            rows = rows.where(_matches(F.col(_quoted(dimension.column if physical else dimension.name)), wanted))
+        return rows
+
+    def ordered(self, rows: DataFrame, order_by: Sequence[str], limit: int | None) -> DataFrame:
         if order_by:
-            out = out.orderBy(*[self._sort(phrase) for phrase in order_by])
-        return out if limit is None else out.limit(limit)
+            rows = rows.orderBy(*[self._sort(phrase) for phrase in order_by])
+        return rows if limit is None else rows.limit(limit)
 
     def _sort(self, phrase: str) -> Column:
         largest_first = phrase.startswith("-")

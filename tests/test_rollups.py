@@ -1,0 +1,78 @@
+from __future__ import annotations
+
+import itertools
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from ankenmart.operators.numbering import dense_ids
+from ankenmart.plans import rollups
+from ankenmart.plans.sales_semantics import LINE_ITEMS
+from ankenmart.plans.semantic import AVG, COUNT, COUNT_DISTINCT, SUM, Member, Metric, SemanticModel
+from ankenmart.plans.wide import gold_opportunity_line_item_wide
+
+SETS = (["受注エリア", "フェーズ", "クローズ会計年度"], ["フェーズ", "クローズ会計年度"], ["店所"])
+METRICS = [m.name for m in LINE_ITEMS.metrics]
+
+
+@pytest.fixture(scope="module")
+def lines(tables):
+    wide = gold_opportunity_line_item_wide(tables, labels=LINE_ITEMS.columns_for(METRICS, [d for s in SETS for d in s]))
+    return wide.cache()
+
+
+@pytest.fixture(scope="module")
+def stored(lines, tmp_path_factory):
+    return rollups.write_rollups(LINE_ITEMS, lines, SETS, str(tmp_path_factory.mktemp("rollups")), near=["クローズ会計年度"])
+
+
+def test_every_covered_question_has_the_answer_of_the_lines(spark, lines, stored):
+    asked = {c for s in SETS for n in range(len(s) + 1) for c in itertools.combinations(s, n)}
+    for dimensions in asked:
+        got = rollups.query(spark, LINE_ITEMS, stored, METRICS, dimensions)
+        want = LINE_ITEMS.query(lines, METRICS, dimensions)
+        assert got.columns == want.columns and got.dtypes == want.dtypes
+        assert rows(got) == rows(want)
+    where = {"クローズ会計年度": [2023, None], "stage": "Closed Won"}
+    asked = dict(metrics=METRICS[::-1], dimensions=["エリア"], where=where, order_by=["-案件数", "エリア"], limit=3)
+    assert rollups.query(spark, LINE_ITEMS, stored, **asked).collect() == LINE_ITEMS.query(lines, **asked).collect()
+
+
+def test_the_smallest_rollup_answers_and_no_line_is_read(spark, stored):
+    by = {r.dimensions: r for r in stored}
+    assert rollups.smallest(stored, ["フェーズ"]) == by["フェーズ", "クローズ会計年度"]
+    got = rollups.query(spark, LINE_ITEMS, stored, ["案件数"], ["フェーズ"], where={"エリア": "AREA1"})
+    largest = by["受注エリア", "フェーズ", "クローズ会計年度"]
+    assert got.inputFiles() and all(f.removeprefix("file://").startswith(largest.path) for f in got.inputFiles())
+    with pytest.raises(ValueError, match="no rollup has フェーズ, 受注店所"):
+        rollups.query(spark, LINE_ITEMS, stored, ["案件数"], ["フェーズ", "店所"])
+
+
+def test_distinct_counts_over_several_blocks_and_missing_values(spark, tmp_path):
+    model = SemanticModel(
+        "m", "k", (), (), (Member("a", "x y"), Member("b", "b")),
+        (Metric("n", COUNT, "v"), Metric("d", COUNT_DISTINCT, "k"), Metric("won", COUNT_DISTINCT, "k", flag="f"), Metric("s", SUM, "v"), Metric("m", AVG, "v")),
+    )
+    data = spark.range(300_000).selectExpr(
+        "if(id % 7 = 0, NULL, cast(id % 5 as string)) AS `x y`", "id % 3 AS b", "if(id % 11 = 0, NULL, concat('k', id % 100003)) AS k",
+        "if(id % 13 = 0, NULL, id % 100) AS v", "if(id % 5 = 0, NULL, id % 2 = 0) AS f",
+    )
+    stored = rollups.write_rollups(model, data, [["a", "b"], ["b"]], str(tmp_path))
+    for dimensions in ([], ["a"], ["b"], ["a", "b"]):
+        names = ["n", "d", "won", "s", "m"]
+        assert rows(rollups.query(spark, model, stored, names, dimensions)) == rows(model.query(data, names, dimensions))
+    empty = rollups.write_rollups(model, data.limit(0), [["a"]], str(tmp_path / "none"))
+    assert rollups.query(spark, model, empty, ["d"], ["a"]).collect() == []
+    assert rows(rollups.query(spark, model, empty, ["d", "s"])) == [(0, None)]
+    two = SemanticModel("m", "k", (), (), (), (Metric("d", COUNT_DISTINCT, "k"), Metric("e", COUNT_DISTINCT, "v")))
+    with pytest.raises(ValueError, match="one column"):
+        rollups.write_rollups(two, data, [], str(tmp_path))
+
+
+def test_dense_ids(spark):
+    data = spark.range(0, 50_000, 1, 7).selectExpr("concat('v', id % 20001) AS v", "id % 13 AS near")
+    ids = dense_ids(data.unionByName(spark.createDataFrame([(None, 1)], data.schema)), "v", ["near"])
+    seen = ids.agg(F.count(F.lit(1)), F.count_distinct("id"), F.min("id"), F.max("id"), F.count_distinct("value")).first()
+    assert tuple(seen) == (20001, 20001, 0, 20000, 20001)
+    assert dense_ids(data.limit(0), "v").collect() == []
