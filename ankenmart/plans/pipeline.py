@@ -119,10 +119,14 @@ def _published_log(spark: SparkSession, out: str, target: str) -> VersionLog:
     return VersionLog(spark, place, "folders map<string,string>")
 
 
-def published(spark: SparkSession, out: str, target: str = "analytics") -> dict[str, DataFrame]:
-    """The marts as the last entry of the log names them."""
+def published_folders(spark: SparkSession, out: str, target: str = "analytics") -> dict[str, str]:
+    """The folder of each mart as the last entry of the log names it."""
     entry = _published_log(spark, out, target).frame().orderBy(F.col("version").desc()).first()
-    return {model: spark.read.parquet(path) for model, path in (entry.folders if entry else {}).items()}
+    return dict(entry.folders) if entry else {}
+
+
+def published(spark: SparkSession, out: str, target: str = "analytics") -> dict[str, DataFrame]:
+    return {model: spark.read.parquet(path) for model, path in published_folders(spark, out, target).items()}
 
 
 def _publish(spark: SparkSession, out: str, target: str, made: Mapping[str, str]) -> dict[str, str]:

@@ -54,18 +54,23 @@ def run_tests(tables: Mapping[str, DataFrame], *tests: str) -> DataFrame:
         ],
     )
     counts = values.groupBy("model", "value").agg(F.count(F.lit(1)).alias("n"))
+    return results(counts, models, *tests)
+
+
+def results(counts: DataFrame, models: Mapping[str, str], *tests: str) -> DataFrame:
+    """The tests of models and their keys from (model, value, n) of every key value."""
     failed = F.col("value").isNotNull() & (F.col("n") > 1)
     by_model = counts.groupBy("model").agg(
         F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias(NOT_NULL),
         F.count(F.when(failed, F.lit(1))).alias(UNIQUE),
     )
     # A model without rows has no group, but its tests still pass: start from the list.
-    listed = values.sparkSession.createDataFrame(list(models.items()), "model string, column string")
-    results = F.array(
+    listed = counts.sparkSession.createDataFrame(list(models.items()), "model string, column string")
+    each = F.array(
         *[
             F.struct(F.lit(test).alias("test"), F.coalesce(F.col(test), F.lit(0)).alias("failures"))
             for test in tests or (NOT_NULL, UNIQUE)
         ]
     )
     # by_model has a row a model, 23 at most.
-    return listed.join(F.broadcast(by_model), "model", "left").select("model", "column", F.inline(results))
+    return listed.join(F.broadcast(by_model), "model", "left").select("model", "column", F.inline(each))
