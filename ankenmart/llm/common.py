@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import pandas as pd
@@ -25,6 +26,30 @@ def saved(rows: DataFrame, label: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
+class Bucketed:
+    """A table below the shared folder whose rows are bucketed by a key, as many as the session has shuffle
+    partitions: what is grouped by the key, or cogrouped with another such table, is not shuffled again."""
+
+    def __init__(self, spark: SparkSession, label: str, key: str) -> None:
+        self.spark, self.key, self.path = spark, key, scratch_path(spark, label)
+        self.name = "default.bucketed_" + self.path.rpartition("-")[2]
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def add(self, rows: DataFrame, dealt: bool = True) -> DataFrame:
+        """All rows with these. ``dealt`` shuffles them by the key first, so that a bucket gets one file more and
+        not one from each task; rows whose tasks have few keys each can do without."""
+        rows = rows.repartition(self.buckets, self.key) if dealt else rows
+        writer = rows.write.mode("append").format("parquet").option("path", self.path)
+        writer.bucketBy(self.buckets, self.key).saveAsTable(self.name)
+        return self.spark.table(self.name)
+
+
+def release(spark: SparkSession) -> None:
+    """Shuffle files of plans nobody holds any more go when the driver collects its garbage: let it."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -11,7 +11,7 @@ down to the unigrams of all training words. A token is scored by the longest ret
 Texts are read once. Words become numbers within a block of documents; what the blocks exchange are their
 vocabularies and, level by level, the counts of their runs. Runs go to buckets by a hash of their context; a
 bucket counts and tests whole contexts, and replies to each block on what the block asked for, so no task and
-no driver holds the tree.
+no driver holds the tree. Blocks and replies are bucketed by block, so neither is shuffled again at each level.
 
 Cases: a null text is empty and is scored as its end alone; a null id is not held out; repeated rows are
 counted and scored one by one; unseen words share the unigram estimate of count 0; without training rows
@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ankenmart.llm.common import lower_words, saved, text_of
+from ankenmart.llm.common import Bucketed, lower_words, release, text_of
 
 DEPTH = 3
 LEAST_COUNT = 2
@@ -115,7 +115,7 @@ def blocks(docs: DataFrame, key: str, text: str, parts: int, held: int, block_by
             yield block.frame(made)
 
     rows = docs.select(F.col(key).cast("long").alias("id"), text_of(text).alias("text"))
-    return saved(rows.mapInPandas(run, _BLOCK), "blocks")
+    return Bucketed(docs.sparkSession, "blocks", "block").add(rows.mapInPandas(run, _BLOCK), dealt=False)
 
 
 def _bucket_edges(words: np.ndarray, bits: int) -> np.ndarray:
@@ -396,8 +396,9 @@ def scores(
     sums = table.agg(F.sum("entries").alias("entries"), F.sum("train_tokens").alias("tokens")).first()
     tokens = sums["tokens"] or 0
     bits, run_bits = (max((n or 0) // bucket_entries, 1).bit_length() - 1 for n in (sums["entries"], tokens))
-    counted = saved(word_counts(table, bits, least_count), "word-counts")
-    known = counted.agg(F.sum("known")).first()[0] or 0
+    answers = Bucketed(docs.sparkSession, "replies", "block")
+    replies = answers.add(word_counts(table, bits, least_count))
+    known = replies.where("block < 0").agg(F.sum("known")).first()[0] or 0
     texts = table.select("block", "docs", "no_id", "held_out", "lengths", "tokens")
 
     def walked(left: pd.DataFrame, right: pd.DataFrame, level: int) -> tuple:
@@ -432,12 +433,14 @@ def scores(
             }
         ).assign(id=lambda f: f["id"].mask(np.frombuffer(row.no_id, bool)))
 
-    replies = counted.where("block >= 0")
     for level in range(1, depth + 1):
-        pairs = texts.groupBy("block").cogroup(replies.groupBy("block"))
+        release(docs.sparkSession)
+        pairs = texts.groupBy("block").cogroup(replies.where("block >= 0").groupBy("block"))
         asked = pairs.applyInPandas(asker(level), _ASKED)
-        replies = replies.unionByName(saved(run_counts(asked, level, least_count, pull, divergence), "run-counts"))
-    found = texts.groupBy("block").cogroup(replies.groupBy("block")).applyInPandas(
+        replies = answers.add(run_counts(asked, level, least_count, pull, divergence))
+        del pairs, asked
+    release(docs.sparkSession)
+    found = texts.groupBy("block").cogroup(replies.where("block >= 0").groupBy("block")).applyInPandas(
         score, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
     return found.withColumnRenamed("id", key)
