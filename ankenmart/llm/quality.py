@@ -1,6 +1,9 @@
 """Quality classifier by Bradley-Terry ranking: pairs of a better and a worse document, logistic loss on
 the difference of their features, a threshold at a quantile of the scores.
 
+The weights are fitted on a bounded sample of the labelled documents, the one bounded step. The threshold comes
+from the scores of all labelled documents that may be learnt from.
+
 Cases: a null text is empty and is scored like any other; labels that are null or other than 0 and 1 are
 not learnt from, repeated ones count as 1 if any says so; without both labels every score is 0.5; an empty
 table gives no rows; labels, language, source and id are no inputs of a score.
@@ -18,12 +21,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ankenmart.llm.common import id_crc32, slices, text_of
+from ankenmart.llm.common import id_crc32, saved, slices, text_of
 
 SAMPLE = 6_000
 SHAPES, WORDS, STATISTICS = 256, 1024, 8
 STEPS, PAIRS, RATE, DECAY = 600, 512, 0.05, 1e-4
 REMEMBERED = 200_000
+#: Bits of the map of labelled ids, and ranks the quantile tells apart.
+BITS, ACCURACY = 1 << 20, 100_000
 
 _UPPER, _LOWER, _DIGIT = re.compile(r"[^\W\d_a-zß-öø-ÿ]+"), re.compile(r"[a-zß-öø-ÿ]+"), re.compile(r"[0-9]+")
 _known: dict[str, int] = {}
@@ -31,7 +36,7 @@ _known: dict[str, int] = {}
 
 def shape(token: str) -> str:
     """Runs of capitals, small letters and digits as one A, a and 0; other signs as they are."""
-    return _DIGIT.sub("0", _UPPER.sub("A", _LOWER.sub("a", token)))[:16]
+    return _DIGIT.sub("0", _UPPER.sub("A", _LOWER.sub("a", token)))
 
 
 def _places(token: str) -> int:
@@ -82,35 +87,40 @@ class Model:
         return 1 / (1 + np.exp(-np.clip((rows @ self.weights - self.threshold) / self.scale, -700, 700)))
 
 
+def slope(weights: np.ndarray, better: np.ndarray, worse: np.ndarray) -> np.ndarray:
+    """Of the mean logistic loss of the pairs' differences, with the decay of the weights."""
+    gap = better - worse
+    wrong = 1 / (1 + np.exp(np.clip(gap @ weights, -700, 700)))
+    return DECAY * weights - wrong @ gap / len(gap)
+
+
 def fit(rows: np.ndarray, good: np.ndarray, steps: int = STEPS, pairs: int = PAIRS) -> Model:
-    """Weights from pairs drawn anew at each step; the threshold leaves the labelled share of good ones above."""
+    """Weights from pairs drawn anew at each step; the threshold leaves the share of good ones above."""
     better, worse = np.flatnonzero(good), np.flatnonzero(~good)
     weights = np.zeros(SHAPES + WORDS + STATISTICS)
     if not len(better) or not len(worse):
         return Model(weights, 0.0, 1.0)
     draw, squares = np.random.default_rng(10), np.full(len(weights), 1e-6)
     for _ in range(steps):
-        gap = rows[draw.choice(better, pairs)] - rows[draw.choice(worse, pairs)]
-        wrong = 1 / (1 + np.exp(np.clip(gap @ weights, -700, 700)))
-        slope = DECAY * weights - wrong @ gap / pairs
-        squares += slope**2
-        weights -= RATE * slope / np.sqrt(squares)
+        step = slope(weights, rows[draw.choice(better, pairs)], rows[draw.choice(worse, pairs)])
+        squares += step**2
+        weights -= RATE * step / np.sqrt(squares)
     scores = rows @ weights
     threshold = float(np.quantile(scores, len(worse) / len(rows), method="midpoint"))
     return Model(weights, threshold, float(scores.std()) / 4 or 1.0)
 
 
+def _marked(labels: DataFrame) -> DataFrame:
+    """label_id and quality of the labelled ids that may be learnt from: crc32(id) mod 3 is not 1."""
+    usable = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (id_crc32() % 3 != 1))
+    return usable.groupBy(F.col("doc_id").alias("label_id")).agg(F.max("quality").alias("quality"))
+
+
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", sample: int = SAMPLE) -> Model:
-    """Learn from at most ``sample`` labelled documents, those of the smallest hash of the id, whose
-    crc32(id) mod 3 is not 1."""
-    marked = (
-        labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & (id_crc32() % 3 != 1))
-        .groupBy("doc_id")
-        .agg(F.max("quality").alias("quality"))
-        .orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id")
-        .limit(sample)
-        .withColumnRenamed("doc_id", "label_id")
-    )
+    """Learn weights from at most ``sample`` labelled documents, those of the smallest hash of the id, and the
+    threshold from all of them."""
+    marked = _marked(labels)
+    first = marked.orderBy(F.xxhash64("label_id", F.lit(3)), "label_id").limit(sample)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in slices(frames, 500):
@@ -119,13 +129,46 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     chosen = (
         docs.select(F.col(key).alias("id"), text_of(text).alias("text"))
-        .join(F.broadcast(marked), F.col("id") == F.col("label_id"))
+        .join(F.broadcast(first), F.col("id") == F.col("label_id"))
         .select("quality", F.xxhash64("id", "text").alias("order"), "text")
     )
     # Repeated rows of one id would exceed the sample: the limit holds for rows too.
     found = chosen.mapInPandas(run, "quality int, order long, x binary").orderBy("order").limit(sample).collect()
     rows = np.array([np.frombuffer(r["x"], "<f4") for r in found], "float64").reshape(len(found), SHAPES + WORDS + STATISTICS)
-    return fit(rows, np.array([r["quality"] == 1 for r in found], bool))
+    model = fit(rows, np.array([r["quality"] == 1 for r in found], bool))
+    return _at_quantile(docs, marked, model, key, text) if model.weights.any() else model
+
+
+def _at_quantile(docs: DataFrame, marked: DataFrame, model: Model, key: str, text: str) -> Model:
+    """The model with the threshold that leaves the share of good ones among all marked documents above it.
+
+    A bitmap of hashed ids, whatever their number of one size, spares the features of most other documents; the
+    join that decides has ids and scores only.
+    """
+    place = lambda id_: F.pmod(F.xxhash64(F.col(id_).cast("long")), F.lit(BITS))
+    at = marked.select((place("label_id") + 1).alias("at"))  # bitmaps count from 1
+    blocks = at.groupBy(F.bitmap_bucket_number("at").alias("block")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    marks = np.zeros(BITS, bool)
+    for row in blocks.collect():  # BITS / 32768 rows at most
+        bits = np.unpackbits(np.frombuffer(row["bits"], "u1"), bitorder="little")
+        marks[(row["block"] - 1) * len(bits) : row["block"] * len(bits)] = bits
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in slices(frames, 500):
+            some = frame[marks[frame["at"].to_numpy("i8")]]
+            if len(some):
+                yield pd.DataFrame({"id": some["id"], "raw": np.array([features(t) for t in some["text"]]) @ model.weights})
+
+    given = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("id"), place(key).alias("at"), text_of(text).alias("text"))
+    raw = given.mapInPandas(run, "id long, raw double")
+    raw = saved(raw.join(marked, F.col("id") == F.col("label_id")).select("raw", "quality"), "label-scores")
+    total = raw.agg(F.count(F.lit(1)).alias("n"), F.sum("quality").alias("good"), F.stddev_pop("raw").alias("spread")).first()
+    if not total["n"]:
+        return model
+    # Bounded memory: the rank is right to one in ACCURACY. Between the value there and the next one.
+    below = raw.agg(F.percentile_approx("raw", 1 - total["good"] / total["n"], ACCURACY)).first()[0]
+    above = raw.where(F.col("raw") > below).agg(F.min("raw")).first()[0]
+    return Model(model.weights, below if above is None else (below + above) / 2, float(total["spread"]) / 4 or 1.0)
 
 
 def _scored(docs: DataFrame, model: Model, keep: tuple[str, ...], text: str) -> DataFrame:
