@@ -3,7 +3,8 @@
 The graph begins with the best neighbours found in leaves of random-projection trees. Each step then joins
 the neighbours of neighbours: the members of a node's list, sampled from both directions of its edges, are
 compared with each other, and every member keeps the best it has met. A query walks the graph from its own
-neighbours, in rounds that expand its best unexpanded nodes. All rows are indexed; sampling concerns edges
+neighbours, in rounds that expand its best unexpanded nodes. Steps go on until few list entries change, rounds
+until every node of every query's beam is expanded, so the effort follows the data at every size. All rows are indexed; sampling concerns edges
 only, and its loss is measured as recall against brute force. Vectors travel as 16-bit floats, each
 scaled by its own power of two, which travels along and is multiplied back into the scores; the last
 check computes the measure in double precision on the original ones.
@@ -28,15 +29,16 @@ from ankenmart.llm.common import saved
 
 NEIGHBOURS = 20
 DEGREE = 64
-LEAF = 2048
+LEAF = 256
 TREES = 10
-STEPS = 2
+#: Share of list entries a step must change for another step.
+DELTA = 0.1
 #: Members of a node's list taken from either direction, and what each member takes from one list.
 SAMPLE = 28
 TAKE = 16
-BEAM, EXPANDED, ROUNDS = 160, 16, 4
+BEAM, EXPANDED = 96, 32
 #: Nodes, and queries with all they meet in a round, that one task holds together.
-BLOCK, QUERY_BLOCK = 256, 128
+BLOCK, QUERY_BLOCK = 256, 32
 
 _LISTS = "node long, ids binary, scores binary"
 
@@ -102,10 +104,17 @@ def _blocks(column: str, n: int, size: int = BLOCK) -> Column:
 
 
 def _merged(lists: DataFrame, n: int, degree: int) -> DataFrame:
+    """One list a node, and the number of its entries that no ``old`` list of the node has."""
+
     def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        return _lists(*_best(*_edges(frame), degree))
+        out = _lists(*_best(*_edges(frame), degree))
+        old = frame[frame["old"]]
+        had = {node: np.frombuffer(ids, "i8") for node, ids in zip(old["node"], old["ids"], strict=True)}
+        none = np.zeros(0, "i8")
+        new = [(~np.isin(np.frombuffer(ids, "i8"), had.get(node, none))).sum() for node, ids in zip(out["node"], out["ids"], strict=True)]
+        return out.assign(changed=np.array(new, "i8"))
 
-    return lists.select("*", _blocks("node", n)).groupBy("block").applyInPandas(merge, _LISTS)
+    return lists.select("*", _blocks("node", n)).groupBy("block").applyInPandas(merge, _LISTS + ", changed long")
 
 
 def start(vectors: DataFrame, n: int, dim: int, degree: int, leaf: int, trees: int) -> DataFrame:
@@ -136,7 +145,7 @@ def start(vectors: DataFrame, n: int, dim: int, degree: int, leaf: int, trees: i
     sizes = placed.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / leaf).alias("parts"))
     parted = placed.join(sizes, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("node", "tree"), F.col("parts")))
     found = parted.groupBy("tree", "leaf", "part").applyInPandas(nearest, _LISTS)
-    return saved(_merged(found, n, degree), "graph")
+    return saved(_merged(found.withColumn("old", F.lit(False)), n, degree), "graph")
 
 
 def _pairs(graph: DataFrame, most: int, seed: int) -> DataFrame:
@@ -185,7 +194,19 @@ def descend(graph: DataFrame, vectors: DataFrame, n: int, degree: int, sample: i
 
     members = both_ways(graph, sample, sample, seed).join(vectors.withColumnRenamed("node", "member"), "member")
     met = members.select("*", _blocks("node", n)).groupBy("block").applyInPandas(meet, _LISTS)
-    return saved(_merged(graph.unionByName(met), n, degree), "graph")
+    old = graph.drop("changed").withColumn("old", F.lit(True))
+    return saved(_merged(old.unionByName(met.withColumn("old", F.lit(False))), n, degree), "graph")
+
+
+def descended(graph: DataFrame, vectors: DataFrame, n: int, degree: int, sample: int, take: int, delta: float) -> DataFrame:
+    """Steps until one changes less than ``delta`` of the entries."""
+    step = 0
+    while True:
+        step += 1
+        graph = descend(graph, vectors, n, degree, sample, take, step)
+        sums = graph.agg(F.sum("changed").alias("changed"), F.sum(F.octet_length("ids") / 8).alias("entries")).first()
+        if (sums["changed"] or 0) <= delta * (sums["entries"] or 0):
+            return graph
 
 
 _STATE = "block int, node long, vector binary, ids binary, scores binary, expanded binary"
@@ -198,15 +219,27 @@ def _frontier(row, beam: int, expanded: int) -> np.ndarray:
     return best[~done[best]][:expanded]
 
 
+def _unexpanded(beam: int):
+    """Whether a beam holds a node that is not expanded."""
+
+    @F.pandas_udf("boolean")
+    def any_left(scores: pd.Series, expanded: pd.Series) -> pd.Series:
+        best = [np.argsort(-np.frombuffer(s, "f8"), kind="stable")[:beam] for s in scores]
+        return pd.Series([not np.frombuffer(e, bool)[b].all() for e, b in zip(expanded, best, strict=True)], dtype=bool)
+
+    return any_left
+
+
 def search(
-    graph: DataFrame, vectors: DataFrame, queries: DataFrame, n_queries: int, degree: int, beam: int, expanded: int, rounds: int
+    graph: DataFrame, vectors: DataFrame, queries: DataFrame, n_queries: int, degree: int, beam: int, expanded: int
 ) -> DataFrame:
-    """(node, member): the beam of each query (a node of the graph) after so many rounds."""
+    """(node, member): the beam of each query (a node of the graph) once all of it is expanded. A round expands at
+    least one node of each query that is not done, and nodes only leave a beam for better ones, so rounds end."""
     paths = both_ways(graph, degree, degree)
     paths = saved(paths.groupBy("node").agg(F.collect_set("member").alias("members")), "paths")
     state = (
         queries.select("node")
-        .join(graph, "node")
+        .join(graph.drop("changed"), "node")
         .join(vectors, "node")
         .select(_blocks("node", n_queries, QUERY_BLOCK), "node", "vector", "ids", "scores", F.expr("cast(repeat('\\0', length(ids) div 8) as binary)").alias("expanded"))
     )
@@ -250,7 +283,9 @@ def search(
             )
         return pd.DataFrame(out, columns=["block", "node", "vector", "ids", "scores", "expanded"])
 
-    for _ in range(rounds):
+    # Done when no query's beam holds a node that is not expanded.
+    left = F.sum(_unexpanded(beam)("scores", "expanded").cast("long"))
+    while state.agg(left.alias("left")).first()["left"]:
         front = state.mapInPandas(fronts, "block int, query long, node long")
         reached = front.join(paths, "node").select("block", "query", "members").groupBy("block")
         new = state.groupBy("block").cogroup(reached).applyInPandas(unseen, "block int, query long, node long")
@@ -275,12 +310,11 @@ def nearest(
     degree: int = DEGREE,
     leaf: int = LEAF,
     trees: int = TREES,
-    steps: int = STEPS,
+    delta: float = DELTA,
     sample: int = SAMPLE,
     take: int = TAKE,
     beam: int = BEAM,
     expanded: int = EXPANDED,
-    rounds: int = ROUNDS,
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the nearest found of each row whose id is divisible by ``every``."""
     whole = saved(valid(rows, key, vector), "vectors")
@@ -298,12 +332,11 @@ def nearest(
 
     vectors = saved(classes.select("node", "vector").mapInPandas(pack, "node long, vector binary"), "packed")
     graph = start(vectors, n, stats["dim"] or 1, degree, leaf, trees)
-    for step in range(steps if n > leaf else 0):
-        graph = descend(graph, vectors, n, degree, sample, take, step + 1)
+    graph = descended(graph, vectors, n, degree, sample, take, delta)
     asked = whole.where(F.col("node") % every == 0).withColumnRenamed("node", "query_id")
     asked = saved(asked.join(classes.select("node", "vector"), "vector").select("query_id", "node"), "asked")
     queries = saved(asked.select("node").distinct(), "queries")
-    found = search(graph, vectors, queries, max(1, queries.count()), degree, beam, expanded, rounds if n > leaf else 0)
+    found = search(graph, vectors, queries, max(1, queries.count()), degree, beam, expanded)
     found = found.unionByName(queries.select("node", F.col("node").alias("member")))  # copies of the query
     product = F.aggregate(F.zip_with("a", "b", lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
     exact = (
