@@ -14,6 +14,7 @@ empty table gives no rows; without any proposal nothing is added; other columns
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -67,31 +68,65 @@ GATES = {
     "national_id": r"[0-9]-[0-9]{2}-[0-9]", "local_phone": r"[0-9]{3}[.-][0-9]{4}", "iban": r"[A-Z]{2}[0-9]{2}",
     "name": rf"\b(?:{TITLES}|{GIVEN_NAMES})\b",
 }
-_SPAN = "array<struct<start:int,end:int,match:string>>"
+#: Entries of an array that are folded one after the other; folds copy what they have at each entry.
+CHUNK = 128
+#: Code points of the pieces in which parts of a text are looked up.
+PIECE = 1024
 
 
-def matches(text: Column, pattern: str, gate: str) -> Column:
-    """All leftmost matches with their places in code points, end exclusive.
+def _folded(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """The running folds of numbers, in time that grows with the square of their count."""
+    empty = F.array().cast("array<int>")
+    last = lambda done, x: F.when(F.size(done) == 0, x).otherwise(step(F.element_at(done, -1), x))
+    return F.aggregate(values, empty, lambda done, x: F.concat(done, F.array(last(done, x))))
 
-    Splitting gives the texts between the matches, whose lengths add up to the places.
-    """
+
+def chunk_folds(values: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """Running folds within chunks. They and ``whole_folds`` stand in projections of their own."""
+    n = F.ceil(F.size(values) / CHUNK).cast("int")
+    chunks = F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: F.slice(values, (i - 1) * CHUNK + 1, F.lit(CHUNK)))
+    return F.transform(chunks, lambda c: _folded(c, step))
+
+
+def whole_folds(chunks: Column, step: Callable[[Column, Column], Column]) -> Column:
+    """Running folds of all, from those within chunks."""
+    before = F.concat(F.array(F.lit(None).cast("int")), _folded(F.transform(chunks, lambda c: F.get(c, F.size(c) - 1)), step))
+    shifted = F.zip_with(chunks, F.slice(before, F.lit(1), F.size(chunks)), lambda c, b: F.transform(c, lambda x: F.when(b.isNull(), x).otherwise(step(b, x))))
+    return F.flatten(shifted)
+
+
+def _sum(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), F.lit(0))
+
+
+def near(pieces: str, begin: Column, length: Column) -> Column:
+    """A part of a text, no longer than a piece, by its pieces: costs two pieces, wherever it is."""
+    first = F.floor(begin / PIECE).cast("int")
+    some = F.concat(*(F.coalesce(F.get(pieces, first + i), F.lit("")) for i in (0, 1)))
+    return F.substring(some, (begin - first * PIECE + 1).cast("int"), length.cast("int"))
+
+
+def part(pieces: str, begin: Column, length: Column) -> Column:
+    """A part of any length."""
+    first = F.floor(begin / PIECE).cast("int")
+    count = F.floor((begin + length) / PIECE).cast("int") - first + 1
+    some = F.array_join(F.slice(pieces, first + 1, F.greatest(count, F.lit(0))), "")
+    return F.substring(some, (begin - first * PIECE + 1).cast("int"), length.cast("int"))
+
+
+def matched(text: Column, pattern: str, gate: str) -> Column:
+    """All leftmost matches, each after the length of the text between it and the one before; what follows the
+    last has no match. NULL if there is none. Lengths add up to places in code points."""
     parts = F.zip_with(
         F.split(text, pattern, -1),
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
         lambda gap, match: F.struct(F.char_length(gap).alias("gap"), match.alias("match")),
     )
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
-
-    def add(done: Column, part: Column) -> Column:
-        at = done["at"] + part["gap"]
-        end = at + F.char_length(part["match"])
-        span = F.struct(at.alias("start"), end.alias("end"), part["match"].alias("match"))
-        return F.when(part["match"].isNull(), done).otherwise(
-            F.struct(end.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
-        )
-
-    found = F.aggregate(parts, start, add, lambda done: done["out"])
-    return F.when(text.rlike(gate), found).otherwise(F.array().cast(_SPAN))
+    return F.when(text.rlike(gate), F.filter(parts, lambda p: p["match"].isNotNull()))
 
 
 def _digits(text: Column) -> Column:
@@ -164,30 +199,38 @@ def _votes(kind: str, match: Column, before: Column, border: Column) -> list[Col
 
 
 def proposals(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The given columns as ``row``, and ``proposed``: start, kind (its number), end, base, votes of each."""
+    """The given columns as ``row``, ``proposed``: start, kind (its number), end, base, votes of each, and
+    ``pieces`` of the text where there are any."""
     body = F.col("body")
     rows = docs.select(F.struct(*docs.columns).alias("row"), text_of(text).alias("body"))
-    # Places are computed once: what refers to them more than once stands in a projection of its own.
-    rows = rows.select("*", *(matches(body, PATTERNS[k], GATES[k]).alias(f"_{k}") for k in KINDS))
+    # What later steps refer to more than once stands in a projection of its own.
+    rows = rows.select("*", *(matched(body, PATTERNS[k], GATES[k]).alias(f"_{k}") for k in KINDS))
+    some = reduce(lambda a, b: a | b, (F.coalesce(F.size(f"_{k}") > 0, F.lit(False)) for k in KINDS))
+    lengths = lambda k: F.transform(f"_{k}", lambda p: p["gap"] + F.char_length(p["match"]))
+    rows = rows.select("*", F.when(some, pieces(body)).alias("pieces"), *(lengths(k).alias(f"_length_{k}") for k in KINDS)).drop("body")
+    rows = rows.select("*", *(chunk_folds(F.col(f"_length_{k}"), _sum).alias(f"_chunks_{k}") for k in KINDS))
+    rows = rows.select("*", *(whole_folds(F.col(f"_chunks_{k}"), _sum).alias(f"_end_{k}") for k in KINDS))
 
     def judged(kind: str) -> Column:
-        def judge(span: Column) -> Column:
-            before = F.substring(body, F.greatest(span["start"] - 39, F.lit(1)), F.least(span["start"], F.lit(40)))
-            after = F.substring(body, span["end"] + 1, F.lit(1))
+        def judge(found: Column, end: Column) -> Column:
+            match = found["match"]
+            start = end - F.char_length(match)
+            before = near("pieces", F.greatest(start - 40, F.lit(0)), F.least(start, F.lit(40)))
+            after = near("pieces", end, F.lit(1))
             border = F.substring(before, F.lit(-1), F.lit(1)).rlike(r"[\p{L}0-9_/=]") | after.rlike(r"[\p{L}0-9_/=]")
             return F.struct(
-                span["start"].alias("start"),
+                start.alias("start"),
                 F.lit(KINDS.index(kind)).alias("kind"),
-                span["end"].alias("end"),
-                base_rule(kind, span["match"]).alias("base"),
-                F.array(*_votes(kind, span["match"], before, border)).alias("votes"),
+                end.alias("end"),
+                base_rule(kind, match).alias("base"),
+                F.array(*_votes(kind, match, before, border)).alias("votes"),
             )
 
-        return F.when(F.size(f"_{kind}") > 0, F.transform(f"_{kind}", judge))
+        return F.when(F.size(f"_{kind}") > 0, F.zip_with(f"_{kind}", f"_end_{kind}", judge))
 
     empty = F.array().cast("array<struct<start:int,kind:int,end:int,base:boolean,votes:array<int>>>")
     every = F.concat(*(F.coalesce(judged(k), empty) for k in KINDS))
-    return rows.select("row", every.alias("proposed"))
+    return rows.select("row", every.alias("proposed"), "pieces")
 
 
 @dataclass(frozen=True)
@@ -232,7 +275,8 @@ def _classifier(x: np.ndarray, p: np.ndarray, counts: np.ndarray, steps: int) ->
 
 def fit(docs: DataFrame, text: str = "text", em_steps: int = EM_STEPS, descent_steps: int = DESCENT_STEPS) -> Model:
     """Count the patterns of all proposals, then fit on the bounded table of counts."""
-    found = proposals(docs.select(text), text).select(F.explode("proposed").alias("p"))
+    # Not explode: the filter that Spark infers from it would work out all proposals a second time, from the text.
+    found = proposals(docs.select(text), text).select(F.explode_outer("proposed").alias("p")).where(F.col("p").isNotNull())
     table = found.groupBy("p.kind", "p.votes").agg(F.count(F.lit(1)).alias("n")).orderBy("kind", "votes").collect()
     if not table:
         return Model({}, (-1.0,) + (0.0,) * (len(KINDS) + len(LABELERS)))
@@ -252,11 +296,27 @@ def find(docs: DataFrame, model: Model, text: str = "text", accept: float = ACCE
     plain = lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end"))
     rows = proposals(docs, text)
     base = F.transform(F.filter("proposed", lambda s: s["base"]), plain)
-    rows = rows.withColumn("base", F.array_sort(base))
-    apart = lambda s: ~F.exists("base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"]))
-    added = F.filter("proposed", lambda s: ~s["base"] & (model.logit(s["kind"], s["votes"]) > least) & apart(s))
-    spans = F.array_sort(F.concat("base", F.transform(added, plain)))
-    return rows.withColumn("spans", F.when(F.size("proposed") > F.size("base"), spans).otherwise(F.col("base"))).drop("proposed")
+    added = F.filter("proposed", lambda s: ~s["base"] & (model.logit(s["kind"], s["votes"]) > least))
+    rows = rows.select("row", "pieces", F.array_sort(base).alias("base"), F.transform(added, plain).alias("_added"))
+    # In the order of base starts and added ends, an added span stands after all base spans that begin before its
+    # end; it overlaps none of them if the furthest end of those is not beyond its start.
+    event = lambda at, begins, reach, s: F.struct(at.alias("at"), F.lit(begins).alias("begins"), reach.alias("reach"), plain(s).alias("span"))
+    events = F.array_sort(
+        F.concat(
+            F.transform("base", lambda b: event(b["start"], 1, b["end"], b)),
+            F.transform("_added", lambda s: event(s["end"], 0, F.lit(0), s)),
+        )
+    )
+    rows = rows.withColumn("_events", F.when(F.size("_added") > 0, events))
+    reach = F.transform("_events", lambda e: e["reach"])
+    rows = rows.withColumn("_chunks", chunk_folds(reach, lambda a, b: F.greatest(a, b)))
+    rows = rows.withColumn("_reach", whole_folds(F.col("_chunks"), lambda a, b: F.greatest(a, b)))
+    apart = F.filter(
+        F.zip_with("_events", "_reach", lambda e, r: F.when((e["begins"] == 0) & (r <= e["span"]["start"]), e["span"])),
+        lambda s: s.isNotNull(),
+    )
+    spans = F.array_sort(F.concat("base", apart))
+    return rows.select("row", "pieces", "base", F.when(F.size("_added") > 0, spans).otherwise(F.col("base")).alias("spans"))
 
 
 def listed(spans: str) -> Column:
@@ -266,30 +326,33 @@ def listed(spans: str) -> Column:
     return F.array_join(F.transform(spans, one), ",")
 
 
-def redacted(text: Column, spans: str) -> Column:
-    """The text with each span, or run of overlapping ones, replaced by its kind in brackets."""
+def redacted(rows: DataFrame, name: str) -> DataFrame:
+    """The rows of ``find`` with the text as ``name``: each span, or run of overlapping ones, replaced by its kind in
+    brackets. NULL without spans."""
     names = F.array(*(F.lit(f"[{k.upper()}]") for k in KINDS))
-    body = F.coalesce(text, F.lit(""))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-
-    def add(done: Column, s: Column) -> Column:
-        gap = F.substring(body, done["at"] + 1, s["start"] - done["at"])
-        fresh = F.concat(done["out"], F.array(gap, F.get(names, s["kind"])))
-        return F.struct(
-            F.greatest(done["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= done["at"], fresh).otherwise(done["out"]).alias("out"),
-        )
+    furthest = lambda a, b: F.greatest(a, b)
+    some = F.when(F.size("spans") > 0, F.transform("spans", lambda s: s["end"]))
+    rows = rows.withColumn("_chunks", chunk_folds(some, furthest))
+    rows = rows.withColumn("_reach", whole_folds(F.col("_chunks"), furthest))
+
+    def one(s: Column, reach: Column) -> Column:
+        length = s["start"] - reach
+        gap = F.when(length <= PIECE, near("pieces", reach, length)).otherwise(part("pieces", reach, length))
+        return F.when(s["start"] >= reach, F.concat(gap, F.get(names, s["kind"]))).otherwise("")
 
-    rest = lambda done: F.concat(F.array_join(done["out"], ""), F.substring(body, done["at"] + 1, F.char_length(body)))
-    return F.when(F.size(spans) > 0, F.aggregate(spans, start, add, rest)).otherwise(text)
+    before = F.slice(F.concat(F.array(F.lit(0)), "_reach"), F.lit(1), F.size("spans"))
+    last = F.element_at("_reach", -1)
+    rest = part("pieces", last, F.size("pieces") * PIECE - last)
+    whole = F.concat(F.array_join(F.zip_with("spans", before, one), ""), rest)
+    return rows.withColumn(name, F.when(F.size("spans") > 0, whole)).drop("_chunks", "_reach")
 
 
 def redact(docs: DataFrame, text: str = "text", n_chars: str = "n_chars") -> DataFrame:
     """The documents with personal data replaced, and their lengths with it."""
     found = find(docs, fit(docs, text), text)
-    changed = found.select("row", "spans", redacted(F.col("row")[text], "spans").alias("changed"))
+    changed = redacted(found, "changed")
     new = {
-        text: F.col("changed"),
+        text: F.coalesce(F.col("changed"), F.col("row")[text]),
         n_chars: F.when(F.size("spans") > 0, F.char_length("changed")).otherwise(F.col("row")[n_chars]),
     }
     kinds = {f.name: f.dataType for f in docs.schema}

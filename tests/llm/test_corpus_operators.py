@@ -429,6 +429,45 @@ def test_quality(spark):
     assert sum(r.predicted == labels[r.doc_id] for r in held) >= 0.97 * len(held)
 
 
+def test_slope_is_that_of_the_loss():
+    draw = np.random.default_rng(1)
+    weights, better, worse = draw.standard_normal(7), draw.standard_normal((40, 7)), draw.standard_normal((40, 7))
+    loss = lambda w: np.log1p(np.exp(-(better - worse) @ w)).mean() + quality.DECAY / 2 * w @ w
+    steps = np.eye(7) * 1e-6
+    want = [(loss(weights + e) - loss(weights - e)) / 2e-6 for e in steps]
+    assert np.allclose(quality.slope(weights, better, worse), want, atol=1e-7)
+
+
+def test_threshold_is_the_quantile_over_all_labelled_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    again = docs.withColumns({c: F.lit(c) for c in CLASHES}).unionByName(docs.limit(30).withColumns({c: F.lit(c) for c in CLASHES}))
+    model = quality.train(again, labels.unionByName(labels.limit(9)), sample=60)
+    marked = {r.doc_id: r.quality for r in labels.collect() if zlib.crc32(str(r.doc_id).encode()) % 3 != 1}
+    raw = sorted((float(quality.features(r.text) @ model.weights), marked[r.doc_id]) for r in again.collect() if r.doc_id in marked)
+    below = sum(x < model.threshold for x, _ in raw)
+    assert len(raw) > 200 and abs(below - sum(q == 0 for _, q in raw)) <= 1
+    assert math.isclose(model.scale, float(np.std([x for x, _ in raw])) / 4, rel_tol=1e-6)
+
+
+def test_shapes_are_those_of_whole_tokens():
+    assert quality.shape("ab1-" * 9 + "X") == "a0-" * 9 + "A" != quality.shape("ab1-" * 9 + "x")
+
+
+def test_quality_of_odd_rows_by_a_trained_model(spark, odd):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    model = quality.train(docs, labels)
+    assert model.weights.any()
+    got = collections.Counter((r.doc_id, round(r.score, 9), r.predicted) for r in quality.score(odd, model).collect())
+    want = collections.Counter()
+    for id_, text, _ in ODD:
+        p = float(model.scores(quality.features(text)[None])[0])
+        want[id_, round(p, 9), int(p >= 0.5)] += 1
+    assert got == want and quality.score(odd.where("false"), model).count() == 0
+    assert quality.train(odd, labels.where("false")).scores(np.zeros((1, len(model.weights))))[0] == 0.5
+
+
 def test_one_class_gives_the_same_score_to_all(spark, odd):
     labels = spark.createDataFrame([(1, 1, 0), (None, 0, 0), (2, None, 0)], "doc_id long, quality int, toxic int")
     scored = quality.score(odd, quality.train(odd, labels)).collect()
@@ -481,3 +520,17 @@ def test_pipeline(spark):
     for parts in whole.values():
         ends = list(itertools.accumulate(n for _, n in sorted(parts)))
         assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 2048
+
+
+def test_pii_of_a_text_with_many_spans(spark):
+    line = "é a.b@c.org 10.0.0.1 +1 (555) 123-4567 James Smith 😀 "
+    rows = [(1, line * 1500, 0), (2, "x" * 1022 + " " + line * 40, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    model = pii.Model({}, (9.0,) + (0.0,) * 13)  # takes all
+    found = pii.find(docs, model)
+    for r in found.select("row.*", pii.listed("base").alias("base"), pii.listed("spans").alias("spans")).collect():
+        assert r.base == base_spans(r.text)
+        names = [f"name:{m.start()}:{m.end()}" for m in re.finditer("James Smith", r.text)]
+        assert set(r.spans.split(",")) == {*r.base.split(","), *names}
+    want = {i: re.sub(r"a\.b@c\.org", "[EMAIL]", t).replace("10.0.0.1", "[IP]").replace("+1 (555) 123-4567", "[PHONE]").replace("James Smith", "[NAME]") for i, t, _ in rows}
+    assert {r["row"]["doc_id"]: r["changed"] for r in pii.redacted(found, "changed").collect()} == want
