@@ -6,8 +6,9 @@ sampled with t. Texts agree on a sample with the generalised Jaccard similarity
 probability. Since ln a follows from term and t, the least ln a itself stands for the pair.
 
 Cases: a null text is empty; a text without words has an empty fingerprint, like any other such text and
-unlike all others; rows of equal id are ordered by a hash of the text, rows without id come last; the next
-document of the only one is itself; an empty table gives no rows; other columns are not looked at.
+unlike all others; rows of equal id are ordered by a hash of the text, rows without id come last; rows of one
+id and text follow each other; the next document of the only one is itself; an empty table gives no rows; other
+columns are not looked at.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ankenmart.llm.common import WORD, text_of
+from ankenmart.llm.common import WORD, saved, text_of
 
 SAMPLES = 32
 BUCKET_DOCS = 1000
@@ -72,33 +73,83 @@ def as_text(signature: str) -> Column:
     return F.when(F.get(signature, F.lit(0)).isNull(), "").otherwise(F.lower(F.array_join(parts, "")))
 
 
+def _ordered(number: Column) -> Column:
+    """A long as 16 hex digits, so that texts compare as the numbers do."""
+    return F.lpad(F.hex(number.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+
+
+def chain_key(id_: Column, text: Column) -> Column:
+    """The place in the chain as text: descending id, rows without id last, then a hash of the text."""
+    down = F.coalesce(F.bitwise_not(id_.cast("long")), F.lit(0).cast("long"))
+    return F.concat(F.when(id_.isNull(), "1").otherwise("0"), _ordered(down), _ordered(F.xxhash64(text)))
+
+
+def chain_starts(keys: DataFrame, bucket_docs: int) -> list[str]:
+    """Every ``bucket_docs``-th key in order, and the first of each range the sort is dealt into: a key that is
+    listed twice has more rows than a bucket. At most about ``MOST_BUCKETS`` keys come to the driver."""
+    n = keys.count()
+    held = max(bucket_docs, -(-n // MOST_BUCKETS))
+    ranges = keys.repartitionByRange(n // (64 * held) + 1, "key").sortWithinPartitions("key")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # counted within the range
+    listed = ranges.withColumn("row", row).where(F.col("row") % held == 0).select("key").collect()
+    return sorted(r["key"] for r in listed)
+
+
+def _bucket(starts: Column, n: int) -> Column:
+    """Number of the last start not above the key: steps of halving length over the sorted starts."""
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(n.bit_length()))))
+    begin = F.struct(F.col("key").alias("key"), F.lit(0).alias("at"))
+
+    def step(state: Column, width: Column) -> Column:
+        further = state["at"] + width
+        ahead = F.when(F.get(starts, further - 1) <= state["key"], further).otherwise(state["at"])
+        return F.struct(state["key"].alias("key"), ahead.alias("at"))
+
+    return F.aggregate(steps, begin, step, lambda state: state["at"] - 1)
+
+
+def _repeats_counted(rows: DataFrame, hot: list[str], bucket_docs: int) -> DataFrame:
+    """Rows whose key is hot, which are equal rows, as few rows with ``copies``, the last of one copy."""
+    keys = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in hot], "key string"))
+    n = F.col("n").cast("long")
+    rests = F.transform(
+        F.sequence(F.lit(0).cast("long"), F.greatest(n - 2, F.lit(0)), F.lit(bucket_docs).cast("long")),
+        lambda at: F.struct(F.least(F.lit(bucket_docs), n - 1 - at).cast("int").alias("copies"), F.lit(False).alias("visits")),
+    )
+    parts = F.concat(F.filter(rests, lambda part: part["copies"] > 0), F.array(F.struct(F.lit(1).alias("copies"), F.lit(True).alias("visits"))))
+    counted = rows.join(keys, "key", "left_semi").groupBy("id", "text", "key").agg(F.count(F.lit(1)).alias("n"))
+    dealt = counted.select("id", "text", "key", F.explode(parts).alias("part")).select("id", "text", "key", "part.*")
+    return rows.join(keys, "key", "left_anti").unionByName(dealt)
+
+
 def with_next(docs: DataFrame, key: str, text: str, bucket_docs: int = BUCKET_DOCS) -> DataFrame:
-    """Columns id, text, next_text, bucket, place and guest, hash-partitioned by bucket.
+    """Columns id, text, next_text, copies, bucket, place and guest, hash-partitioned by bucket.
 
-    Ids are cut into ranges; rows of a range meet in one window, and the first row of the next lower range
-    visits as a guest, which has no successor of its own. The list of first rows has one row a range,
-    ``MOST_BUCKETS`` at most, and is broadcast; no more than the ids is read for it.
+    Keys of the chain are sorted first, 33 bytes a row, and cut into buckets of ``bucket_docs`` rows whatever the
+    ids are; equal or missing ids are cut by the hash of the text. Rows of a bucket meet in one window, and the
+    first row of the bucket that follows visits as a guest, which has no successor of its own. Equal rows beyond
+    a bucket are counted where they are read and travel as few rows with ``copies``.
     """
-    ends = docs.agg(F.min(key).alias("low"), F.max(key).alias("high"), F.count(F.lit(1)).alias("n")).first()
-    low = ends["low"] or 0
-    wanted = min(max(ends["n"] // bucket_docs, 1), MOST_BUCKETS)
-    width = max(1, -(-((ends["high"] or 0) - low + 1) // wanted))
-    wide = F.col("id").cast("decimal(20,0)") - F.lit(low).cast("decimal(20,0)")
-    bucket = F.coalesce(F.floor(wide / F.lit(width).cast("decimal(20,0)")).cast("long"), F.lit(-1))
-    tops = docs.select(F.col(key).alias("id")).groupBy(bucket.alias("top_of")).agg(F.max("id").alias("top"))
-    down = W.orderBy(F.desc("top_of"))
-    lowest = F.min("top_of").over(down.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
-    visits = tops.select("top_of", "top", F.coalesce(F.lag("top_of").over(down), lowest).alias("visited"))
-    rows = docs.select(F.col(key).alias("id"), text_of(text).alias("text")).withColumn("bucket", bucket)
-    here = (F.col("bucket") == F.col("top_of")) & F.col("id").eqNullSafe(F.col("top"))
+    rows = docs.select(
+        F.col(key).alias("id"), text_of(text).alias("text"), chain_key(F.col(key), text_of(text)).alias("key"),
+        F.lit(1).alias("copies"), F.lit(True).alias("visits"),
+    )
+    listed = chain_starts(saved(rows.select("key"), "keys"), bucket_docs)
+    hot = sorted({a for a, b in zip(listed, listed[1:], strict=False) if a == b})
+    distinct = sorted(set(listed)) or [""]
+    starts = F.split(F.lit(",".join(distinct)), ",")
+    if hot:
+        rows = _repeats_counted(rows, hot, bucket_docs)
+    rows = rows.withColumn("bucket", _bucket(starts, len(distinct)))
+    first = F.col("visits") & (F.col("key") == F.get(starts, F.col("bucket")))
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("guest"))
-    guest = F.struct(F.col("visited").alias("bucket"), F.lit(True).alias("guest"))
-    both = F.when(F.col("visited").isNull(), F.array(own)).otherwise(F.array(own, guest))
-    placed = rows.join(F.broadcast(visits), here, "left").select("id", "text", F.explode(both).alias("at"))
-    order = W.partitionBy("bucket").orderBy("guest", F.desc_nulls_last("id"), F.xxhash64("text"))
-    return placed.select("id", "text", "at.bucket", "at.guest").select(
-        "*", F.lead("text").over(order).alias("next_text"), F.row_number().over(order).alias("place")
-    )
+    guest = F.struct(F.pmod(F.col("bucket") - 1, F.lit(len(distinct))).alias("bucket"), F.lit(True).alias("guest"))
+    at = F.explode(F.when(first, F.array(own, guest)).otherwise(F.array(own)))
+    order = W.partitionBy("bucket").orderBy("guest", "key", F.desc("copies"))
+    return rows.select("id", "text", "key", "copies", at.alias("at")).select("id", "text", "key", "copies", "at.bucket", "at.guest").select(
+        "id", "text", "copies", "bucket", "guest",
+        F.lead("text").over(order).alias("next_text"), F.row_number().over(order).alias("place"),
+    )
 
 
 def edited_text(text: str, following: str) -> Column:
@@ -111,7 +162,7 @@ def edited_text(text: str, following: str) -> Column:
 def fingerprint_edits(
     docs: DataFrame, key: str = "doc_id", text: str = "text", samples: int = SAMPLES, bucket_docs: int = BUCKET_DOCS
 ) -> DataFrame:
-    """Fingerprints of each text and of its edited text, and their likeness; one shuffle, of the texts.
+    """Fingerprints of each text and of its edited text, and their likeness; texts are shuffled once.
 
     All that follows the shuffle groups and orders within a bucket, so it stays where the texts are.
     """
@@ -121,17 +172,18 @@ def fingerprint_edits(
         F.struct(F.lit(1).alias("side"), F.col("edited").alias("body")),
     )
     rows = chained.select(
-        "bucket", "place", "guest", "id", F.char_length("text").cast("long").alias("n_chars"),
+        "bucket", "place", "guest", "id", "copies", F.char_length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), F.explode(sides).alias("s"),
     ).where(~F.col("guest") | (F.col("s.side") == 0))
-    by = ["bucket", "place", "guest", "id", "n_chars", "edited_sha256", "side"]
+    by = ["bucket", "place", "guest", "id", "copies", "n_chars", "edited_sha256", "side"]
     runs = rows.select(*by[:-1], F.col("s.side").alias("side"), term_runs(F.col("s.body")).alias("runs"))
     signed = sampled(runs, "runs", by, samples)
     order = W.partitionBy("bucket").orderBy("place", "side")
     found = signed.select(
         "*", F.lead("signature", 1).over(order).alias("edited"), F.lead("signature", 2).over(order).alias("following")
     ).where("side = 0 AND NOT guest")
-    return found.select(
+    each = found.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies")))
+    return each.select(
         F.col("id").alias(key), "n_chars", "edited_sha256",
         as_text("signature").alias("fingerprint"), as_text("edited").alias("edited_fingerprint"),
         likeness("signature", "edited", samples).alias("near_edited"),
