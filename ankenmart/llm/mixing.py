@@ -7,7 +7,7 @@ so the sums run over a histogram.
 
 Cases: a null text has size 0; a null source is a source of its own, last in order; documents of size 0
 are kept once and take no words; repeated rows are separate documents; ties among equal documents go by
-a hash of the key, then the key; an empty table gives no rows; of other columns only ``keep`` is read.
+a hash of key and text, then the key; an empty table gives no rows; of other columns only ``keep`` is read.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ankenmart.llm.common import n_words, saved
+from ankenmart.llm.common import n_words, saved, text_of
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -136,10 +136,12 @@ def mix(
     """The kept columns and size, source_size, target and copies of each document.
 
     Copies of a source and size are counted exactly; which of its documents get the odd ones goes by a
-    hash of the key. Documents of one source and size are ranked in ``salts`` parts, so that a group of
-    equal documents is no single task.
+    hash of key and text. Documents of one source and size are dealt into ``salts`` cells in which all, none or,
+    in one cell of a source and size, some get an odd copy. Only the rows of those cells have to be ranked
+    together; others stay in parts of the size of a task, so that rows without keys and equal rows are no single
+    task.
     """
-    draw = F.xxhash64(F.col(key), F.lit(7))
+    draw = F.xxhash64(F.col(key), text_of(text), F.lit(7))
     rows = docs.select(
         *(F.col(c).alias(f"kept_{i}") for i, c in enumerate(keep)),
         F.col(source).alias("source"),
@@ -170,9 +172,13 @@ def mix(
         "source_key", "size", "salt", "source_size", "target",
         F.floor(F.col("copies") / F.col("n_size")).alias("each"),
         (odd - before).alias("odd"),
+        ((odd > before) & (odd - before < F.col("n"))).alias("some"),
     )
-    rank = F.row_number().over(W.partitionBy("source_key", "size", "salt").orderBy("draw", *(F.col(f"kept_{i}") for i, c in enumerate(keep) if c == key)))
-    placed = rows.drop("source").join(saved(plan, "copies"), ["source_key", "size", "salt"]).withColumn("rank", rank)
+    ranked = W.partitionBy("source_key", "size", "salt", "part").orderBy("draw", *(F.col(f"kept_{i}") for i, c in enumerate(keep) if c == key))
+    placed = rows.drop("source").join(saved(plan, "copies"), ["source_key", "size", "salt"])
+    # Which part a row of a cell that gets all or none is in has no bearing on the result.
+    placed = placed.withColumn("part", F.when(F.col("some"), -1).otherwise(F.spark_partition_id()))
+    placed = placed.withColumn("rank", F.row_number().over(ranked))
     copies = F.col("each") + F.when(F.col("rank") <= F.col("odd"), 1).otherwise(0)
     return placed.select(
         *(F.col(f"kept_{i}").alias(c) for i, c in enumerate(keep)), "size", "source_size", "target", copies.alias("copies")
