@@ -1,7 +1,8 @@
 """SimHash near-duplicates through a vantage-point tree over fingerprints.
 
 Level i of the tree has a vantage point of its own and measures the Hamming distance to it on the i-th
-slice of the bits. Slice distances add up to the whole distance, so the triangle bounds of the levels add
+slice of the bits. The tree grows with the fingerprints: slices are halved, one after the other, into two levels
+each, until a leaf is expected to hold no more than ``LEAF`` of them or 16 levels are reached. Slice distances add up to the whole distance, so the triangle bounds of the levels add
 up too: a fingerprint within ``radius`` of another one differs from it, in its distances to the vantage
 points, by ``radius`` in total at most. Each leaf is a shard; a fingerprint lives in one and queries those
 whose bounds overlap its ball. All pairs found are checked exactly.
@@ -14,6 +15,7 @@ table gives no rows; other columns are not looked at, but for ``keep``.
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,6 +29,9 @@ from ankenmart.llm.common import lower_words, saved, slices, text_of
 SHINGLE = 3
 RADIUS = 2
 SLICES = 8
+#: Fingerprints a leaf is to hold, seen from one of them and if all were random. Each level more sends more query
+#: rows to neighbouring leaves, which costs more than to compare some dozens of numbers where they are.
+LEAF = 64.0
 SEED = 42
 #: Shingles whose bits are unpacked at once.
 CHUNK = 1 << 15
@@ -70,28 +75,40 @@ def _offsets(levels: int, radius: int) -> list[int]:
     return sorted(x for x in out if x >= 0)
 
 
-def _shard(vantage: int, levels: int):
+def slice_widths(n: int, leaf: float = LEAF, slices: int = SLICES) -> list[int]:
+    """Bits of each level's slice. Two random slices of w bits are as far from the vantage point with a chance of
+    C(2w, w) / 4^w, so the chances of all levels multiply to the share of a table that meets in one leaf."""
+    widths = [64 // slices] * slices
+    for i in range(slices):
+        if n * math.prod(math.comb(2 * w, w) / 4**w for w in widths) <= leaf or len(widths) == 16:
+            break
+        widths[2 * i : 2 * i + 1] = [widths[2 * i] // 2] * 2
+    return widths
+
+
+def _shard(vantage: int, widths: list[int]):
     """Number of the leaf: the distance to each level's vantage point, four bits a level."""
-    width = 64 // levels
-    number = F.lit(0).cast("long")
-    for i in range(levels):
-        mask = ((1 << width) - 1) << (width * i)
+    number, low = F.lit(0).cast("long"), 0
+    for i, width in enumerate(widths):
+        mask = ((1 << width) - 1) << low
         mask -= (mask >> 63) << 64  # signed
         part = F.col("fp").bitwiseXOR(F.lit(vantage)).bitwiseAND(F.lit(mask))
         number = number + F.shiftleft(F.bit_count(part).cast("long"), 4 * i)
+        low += width
     return number
 
 
-def close_pairs(nodes: DataFrame, radius: int = RADIUS, levels: int = SLICES) -> DataFrame:
+def close_pairs(nodes: DataFrame, radius: int = RADIUS, leaf: float = LEAF) -> DataFrame:
     """Pairs (a, b) of distinct fingerprints ``fp`` that differ in ``radius`` bits at most, each once."""
     first = nodes.orderBy(F.xxhash64("fp")).limit(1).first()
     if first is None:
         return nodes.select(F.col("fp").alias("a"), F.col("fp").alias("b"))
-    homes = nodes.select("fp", _shard(first["fp"], levels).alias("shard"))
+    widths = slice_widths(nodes.count(), leaf)
+    homes = nodes.select("fp", _shard(first["fp"], widths).alias("shard"))
     # The shard itself, where each pair meets twice, and half of the overlapping ones.
     queries = homes.select(
         F.col("fp").alias("a"), F.col("shard").alias("own"),
-        F.explode(F.array(*(F.lit(o).cast("long") for o in _offsets(levels, radius)))).alias("offset"),
+        F.explode(F.array(*(F.lit(o).cast("long") for o in _offsets(len(widths), radius)))).alias("offset"),
     ).select("a", "own", (F.col("own") + F.col("offset")).alias("shard"))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
     once = (F.col("own") != F.col("shard")) | (F.col("a") < F.col("b"))
@@ -136,13 +153,13 @@ def near_duplicates(
     text: str = "text",
     shingle: int = SHINGLE,
     radius: int = RADIUS,
-    levels: int = SLICES,
+    leaf: float = LEAF,
 ) -> DataFrame:
     """The kept columns, ``fingerprint`` in hex, ``root`` (a number of the component) and ``component_id``."""
     at = keep.index(key)
     rows = saved(fingerprints(docs, keep, text, shingle), "fingerprints")
     nodes = saved(rows.groupBy("fp").agg(F.min(f"kept_{at}").alias("least")), "nodes")
-    linked = components(close_pairs(nodes.select("fp"), radius, levels))
+    linked = components(close_pairs(nodes.select("fp"), radius, leaf))
     rooted = nodes.join(linked, nodes["fp"] == linked["node"], "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )

@@ -231,6 +231,16 @@ def test_suffix_tree_equals_the_tree_in_memory(spark, texts):
         assert math.isclose(found[id_].score, total, rel_tol=1e-9)
 
 
+def test_slices_are_halved_as_the_table_grows():
+    sizes = [10**k for k in range(12)]
+    widths = [simhash.slice_widths(n) for n in sizes]
+    assert widths[0] == [8] * 8 and widths[-1] == [4] * 16
+    assert all(sum(w) == 64 for w in widths) and [len(w) for w in widths] == sorted(len(w) for w in widths)
+    for n, w in zip(sizes, widths, strict=True):
+        met = n * math.prod(math.comb(2 * b, b) / 4**b for b in w)
+        assert met <= simhash.LEAF or len(w) == 16
+
+
 def test_simhash(spark, texts):
     found = by_id(queries.op4_vantage_point_simhash(spark, SF_DIR))
     for id_, text in texts.items():
@@ -254,6 +264,9 @@ def test_vantage_point_tree_finds_every_close_pair(spark):
     rows = simhash.close_pairs(nodes).count()
     want = {frozenset(p) for p in itertools.combinations(signed, 2) if ((p[0] ^ p[1]) & ((1 << 64) - 1)).bit_count() <= 2}
     assert found == want and rows == len(want)
+    for leaf in (len(signed) / 1e7, 0):  # some slices halved, all of them
+        deeper = simhash.close_pairs(nodes, leaf=leaf).collect()
+        assert {frozenset(r) for r in deeper} == want and len(deeper) == len(want)
     parent = {p: p for p in signed}
     for a, b in map(sorted, want):
         while parent[a] != a:
@@ -344,6 +357,56 @@ def test_weighted_sampling(spark, texts):
     assert all(len(p) == 1 for p in prints.values())
 
 
+CHAINS = {
+    "outlier": [(i, f"text {i}") for i in range(300)] + [(10**15, "far off"), (-(10**15), "far below")],
+    "no ids": [(i if i % 3 else None, f"text {i}") for i in range(300)],
+    "one id": [(i if i % 3 else 7, f"text {i}") for i in range(300)],
+    "equal rows": [(i, f"text {i}") for i in range(50)] + [(20, "the same")] * 333 + [(None, None)] * 100 + [(None, "x")] * 30,
+    "all equal": [(1, "the same")] * 95,
+    "one row": [(1, "alone")],
+    "ends": [(-(1 << 63), "least"), ((1 << 63) - 1, "most"), (0, "zero"), (-1, "below")],
+}
+
+
+@pytest.mark.parametrize("name", CHAINS)
+def test_chain_of_odd_ids(spark, name):
+    held, given = 20, CHAINS[name]
+    docs = spark.createDataFrame(given, "doc_id long, text string").repartition(5)
+    rows = [r for r in weighted_sampling.with_next(docs, "doc_id", "text", held).collect()]
+    here = [r for r in rows if not r.guest]
+    in_ = collections.Counter(r.bucket for r in here)
+    assert max(in_.values()) <= 3 * held and len(in_) >= len(set(given)) // (3 * held)
+    assert collections.Counter(r.bucket for r in rows if r.guest).keys() == in_.keys()
+    got = collections.Counter()
+    for r in here:
+        got[r.id, r.text, r.next_text] += r.copies
+    # Rows of an id may come in any order, the same in all runs: each is followed by one of its id, or by the next id.
+    order = {(r.id, r.text) for r in here}
+    keys = {(r.id, r.text): r.key for r in spark.createDataFrame(sorted(order, key=str), "id long, text string").select(
+        "id", "text", weighted_sampling.chain_key(F.col("id"), F.col("text")).alias("key")).collect()}
+    chain = sorted(((i, t or "") for i, t in given), key=lambda r: keys[r])
+    ids = [i for i, _ in chain]
+    assert ids == sorted((i for i in ids if i is not None), reverse=True) + [None] * ids.count(None)
+    assert got == collections.Counter((i, t, n) for (i, t), (_, n) in zip(chain, chain[1:] + chain[:1], strict=True))
+    printed = weighted_sampling.fingerprint_edits(docs, bucket_docs=held).collect()
+    assert collections.Counter(r.doc_id for r in printed) == collections.Counter(ids)
+    edits = collections.Counter((t[: len(t) - len(t) // 2] + n[: len(t) // 2]) for (_, t), (_, n) in zip(chain, chain[1:] + chain[:1], strict=True))
+    assert collections.Counter(r.edited_sha256 for r in printed) == {hashlib.sha256(t.encode()).hexdigest(): c for t, c in edits.items()}
+
+
+def test_mixing_of_a_hot_group_without_ids(spark):
+    """Two thirds of the rows have no id, half of them are equal; the words taken are still those of the targets."""
+    docs = spark.range(1, 3001).select(
+        F.when(F.col("id") % 3 == 0, F.col("id")).alias("doc_id"), F.lit("s").alias("source"),
+        F.when(F.col("id") % 3 == 1, "the same four words").otherwise(F.concat(F.lit("these four words "), "id")).alias("text"),
+    )
+    rows = mixing.mix(docs, keep=("doc_id", "text")).collect()
+    assert len(rows) == 3000 and {r.copies for r in rows} <= {0, 1, 2}
+    assert sum(r.copies * r.size for r in rows) == 4 * 3000 * 1.5
+    again = mixing.mix(docs.repartition(7), keep=("doc_id", "text")).collect()
+    assert collections.Counter(map(tuple, rows)) == collections.Counter(map(tuple, again))
+
+
 def test_mixing(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").withColumn("source", F.expr("case when doc_id % 3 = 0 then 'big' else source end"))
     rows = mixing.mix(docs, keep=("doc_id", "source")).collect()
