@@ -64,6 +64,45 @@ def id_crc32(column: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")))
 
 
+def _digits(number: Column) -> Column:
+    """A long as 16 hex digits, so that texts compare as the numbers do."""
+    return F.lpad(F.hex(number.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+
+
+def order_key(id_: Column, text: Column, descending: bool = False) -> Column:
+    """The place of a row as text: ids ascending after the rows without id, or the reverse; then a hash of the text."""
+    number = F.bitwise_not(id_.cast("long")) if descending else id_.cast("long")
+    first, last = ("0", "1") if descending else ("1", "0")
+    number = F.coalesce(number, F.lit(0).cast("long"))
+    return F.concat(F.when(id_.isNull(), last).otherwise(first), _digits(number), _digits(F.xxhash64(text)))
+
+
+def key_starts(keys: DataFrame, held: int, most: int) -> list[str]:
+    """Every ``held``-th ``key`` in order, and the first of each range the sort is dealt into: a key that is listed
+    twice has more rows than ``held``. More rows are held where there would be over ``most`` keys, so that not many
+    more than that come to the driver."""
+    n = keys.count()
+    held = max(held, -(-n // most))
+    ranges = keys.repartitionByRange(n // (64 * held) + 1, "key").sortWithinPartitions("key")
+    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # counted within the range
+    listed = ranges.withColumn("row", row).where(F.col("row") % held == 0).select("key").collect()
+    return sorted(r["key"] for r in listed)
+
+
+def starts_before(key: str, starts: Column, n: int, equal: bool = True) -> Column:
+    """How many of the n sorted starts are below the key, or equal: steps of halving length."""
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range(n.bit_length()))))
+    begin = F.struct(F.col(key).alias("key"), F.lit(0).alias("at"))
+
+    def step(state: Column, width: Column) -> Column:
+        further = state["at"] + width
+        start = F.get(starts, further - 1)
+        below = start <= state["key"] if equal else start < state["key"]
+        return F.struct(state["key"].alias("key"), F.when(below, further).otherwise(state["at"]).alias("at"))
+
+    return F.aggregate(steps, begin, step, lambda state: state["at"])
+
+
 def lower_words(text: str | None) -> list[bytes]:
     """Words as UTF-8, A-Z lowered; bytes.lower and bytes.split know ASCII only, as wanted."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()

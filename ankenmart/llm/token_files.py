@@ -7,7 +7,7 @@ copying. A second file has each document's key, its start in the file and its le
 wide where the vocabulary allows, else 32.
 
 Cases: a null text is empty and gives its end id alone; null keys come first; rows of equal keys are
-ordered by their ids; an empty table gives no files; other columns are not looked at.
+ordered by a hash of the text and may span files, also if the texts are equal; an empty table gives no files; other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -24,13 +24,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ankenmart.llm.common import saved, slices, text_of
+from ankenmart.llm.common import key_starts, order_key, saved, slices, starts_before, text_of
 from ankenmart.llm.tokens import END_ID, TOKENIZER, encoder
 from ankenmart.session import scratch_path
 
 SEQUENCE = 2048
 BATCH = 1024
 FILE_DOCS = 8192
+#: Beyond this many files, files hold more documents.
+MOST_FILES = 200_000
 
 
 def _place(folder: str) -> tuple[fs.FileSystem, str]:
@@ -120,16 +122,16 @@ def write_token_files(
 ) -> DataFrame:
     """Write the files; return the manifest: file, sequences, documents (paths), n_docs, n_tokens.
 
-    ``folder`` is a place every executor reaches. Range bounds come from the keys alone, so texts are
-    read and encoded once, and only 16-bit ids are shuffled. Each attempt of a task writes names of its
-    own and the manifest lists those of the attempt that counted, so a lost executor leaves no mix.
+    ``folder`` is a place every executor reaches. Keys and hashes of texts are sorted first and cut into files
+    of ``file_docs`` rows; texts are read once more, encoded where they are read, and only 16-bit ids are
+    shuffled. Each attempt of a task writes names of its own and the manifest lists those of the attempt that
+    counted, so a lost executor leaves no mix.
     """
-    keys = docs.select(key)
-    files = max(1, -(-keys.count() // file_docs))
-    shares = [i / files for i in range(1, files)]
-    found = keys.select(F.percentile_approx(key, F.array(*map(F.lit, shares)), 10 * files)).first()[0] if shares else []
-    bounds = np.unique(np.array(found or [], "int64"))
-    files = len(bounds) + 1
+    rows = docs.select(F.col(key).cast("long").alias("id"), text_of(text).alias("text"))
+    rows = rows.withColumn("key", order_key(F.col("id"), F.col("text")))
+    listed = key_starts(saved(rows.select("key"), "keys"), file_docs, MOST_FILES)
+    files = max(1, len(listed))
+    starts = F.split(F.lit(",".join(listed or [""])), ",")
     wide = encoder(tokenizer).vocabulary > 1 << 16
     kind, code = ("<u4", "I") if wide else ("<u2", "H")
     end = np.array([END_ID], kind).tobytes()
@@ -137,10 +139,8 @@ def write_token_files(
     def tokenise(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(tokenizer, code).encode
         for frame in slices(frames, 256):
-            ids = [i + end for i in encode(frame.iloc[:, 1].tolist())]
-            id_ = frame.iloc[:, 0]
-            file = np.searchsorted(bounds, id_.fillna(np.iinfo("int64").min).astype("int64"), side="left")
-            yield pd.DataFrame({"file": file, "key": id_, "ids": ids})
+            ids = [i + end for i in encode(frame["text"].tolist())]
+            yield pd.DataFrame({"file": frame["file"], "key": frame["id"], "hash": frame["hash"], "ids": ids})
 
     def write(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         system, root = _place(folder)
@@ -162,7 +162,7 @@ def write_token_files(
             )
 
         for frame in frames:
-            for file, id_, ids in frame.itertuples(index=False, name=None):
+            for file, id_, ids in frame[["file", "key", "ids"]].itertuples(index=False, name=None):
                 if file != open_file:
                     if writer:
                         yield finish()
@@ -175,11 +175,16 @@ def write_token_files(
         if writer:
             yield finish()
 
-    rows = docs.select(F.col(key).cast("long").alias("key"), text_of(text).alias("text"))
+    # A key that several files start with has only equal rows: they are dealt by their number in the task's input.
+    low, high = starts_before("key", starts, files, equal=False), starts_before("key", starts, files)
+    placed = rows.select("id", "text", low.alias("low"), high.alias("high"), F.monotonically_increasing_id().alias("row"))
+    dealt = F.when(F.col("high") > F.col("low"), F.col("low") + F.col("row") % (F.col("high") - F.col("low")))
+    file = F.coalesce(dealt, F.col("high") - 1).cast("int")
     ordered = (
-        rows.mapInPandas(tokenise, "file int, key long, ids binary")
+        placed.select(file.alias("file"), "id", F.xxhash64("text").alias("hash"), "text")
+        .mapInPandas(tokenise, "file int, key long, hash long, ids binary")
         .repartitionById(files, F.col("file"))
-        .sortWithinPartitions("file", "key", "ids")
+        .sortWithinPartitions("file", "key", "hash")
     )
     manifest = ordered.mapInPandas(
         write, "file int, sequences string, documents string, n_docs long, n_tokens long"

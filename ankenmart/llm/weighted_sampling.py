@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ankenmart.llm.common import WORD, saved, text_of
+from ankenmart.llm.common import WORD, key_starts, order_key, saved, starts_before, text_of
 
 SAMPLES = 32
 BUCKET_DOCS = 1000
@@ -73,41 +73,6 @@ def as_text(signature: str) -> Column:
     return F.when(F.get(signature, F.lit(0)).isNull(), "").otherwise(F.lower(F.array_join(parts, "")))
 
 
-def _ordered(number: Column) -> Column:
-    """A long as 16 hex digits, so that texts compare as the numbers do."""
-    return F.lpad(F.hex(number.bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
-
-
-def chain_key(id_: Column, text: Column) -> Column:
-    """The place in the chain as text: descending id, rows without id last, then a hash of the text."""
-    down = F.coalesce(F.bitwise_not(id_.cast("long")), F.lit(0).cast("long"))
-    return F.concat(F.when(id_.isNull(), "1").otherwise("0"), _ordered(down), _ordered(F.xxhash64(text)))
-
-
-def chain_starts(keys: DataFrame, bucket_docs: int) -> list[str]:
-    """Every ``bucket_docs``-th key in order, and the first of each range the sort is dealt into: a key that is
-    listed twice has more rows than a bucket. At most about ``MOST_BUCKETS`` keys come to the driver."""
-    n = keys.count()
-    held = max(bucket_docs, -(-n // MOST_BUCKETS))
-    ranges = keys.repartitionByRange(n // (64 * held) + 1, "key").sortWithinPartitions("key")
-    row = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))  # counted within the range
-    listed = ranges.withColumn("row", row).where(F.col("row") % held == 0).select("key").collect()
-    return sorted(r["key"] for r in listed)
-
-
-def _bucket(starts: Column, n: int) -> Column:
-    """Number of the last start not above the key: steps of halving length over the sorted starts."""
-    steps = F.array(*(F.lit(1 << i) for i in reversed(range(n.bit_length()))))
-    begin = F.struct(F.col("key").alias("key"), F.lit(0).alias("at"))
-
-    def step(state: Column, width: Column) -> Column:
-        further = state["at"] + width
-        ahead = F.when(F.get(starts, further - 1) <= state["key"], further).otherwise(state["at"])
-        return F.struct(state["key"].alias("key"), ahead.alias("at"))
-
-    return F.aggregate(steps, begin, step, lambda state: state["at"] - 1)
-
-
 def _repeats_counted(rows: DataFrame, hot: list[str], bucket_docs: int) -> DataFrame:
     """Rows whose key is hot, which are equal rows, as few rows with ``copies``, the last of one copy."""
     keys = F.broadcast(rows.sparkSession.createDataFrame([(k,) for k in hot], "key string"))
@@ -131,16 +96,16 @@ def with_next(docs: DataFrame, key: str, text: str, bucket_docs: int = BUCKET_DO
     a bucket are counted where they are read and travel as few rows with ``copies``.
     """
     rows = docs.select(
-        F.col(key).alias("id"), text_of(text).alias("text"), chain_key(F.col(key), text_of(text)).alias("key"),
+        F.col(key).alias("id"), text_of(text).alias("text"), order_key(F.col(key), text_of(text), descending=True).alias("key"),
         F.lit(1).alias("copies"), F.lit(True).alias("visits"),
     )
-    listed = chain_starts(saved(rows.select("key"), "keys"), bucket_docs)
+    listed = key_starts(saved(rows.select("key"), "keys"), bucket_docs, MOST_BUCKETS)
     hot = sorted({a for a, b in zip(listed, listed[1:], strict=False) if a == b})
     distinct = sorted(set(listed)) or [""]
     starts = F.split(F.lit(",".join(distinct)), ",")
     if hot:
         rows = _repeats_counted(rows, hot, bucket_docs)
-    rows = rows.withColumn("bucket", _bucket(starts, len(distinct)))
+    rows = rows.withColumn("bucket", starts_before("key", starts, len(distinct)) - 1)
     first = F.col("visits") & (F.col("key") == F.get(starts, F.col("bucket")))
     own = F.struct(F.col("bucket").alias("bucket"), F.lit(False).alias("guest"))
     guest = F.struct(F.pmod(F.col("bucket") - 1, F.lit(len(distinct))).alias("bucket"), F.lit(True).alias("guest"))
