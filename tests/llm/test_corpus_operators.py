@@ -607,6 +607,35 @@ def test_pipeline(spark):
         assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 2048
 
 
+def test_pipeline_of_odd_and_no_rows(spark, odd, tmp_path):
+    """Labels for all ids and enough plain documents to learn from: each stage's decisions show in the result."""
+    plain = odd.limit(1).drop("doc_id", "text", "source").crossJoin(
+        spark.range(100, 160).select(
+            F.col("id").alias("doc_id"), F.lit("x").alias("source"),
+            F.when(F.col("id") % 2 == 0, F.concat(F.lit("the cat of house "), "id", F.lit(" sat and it was good that day.")))
+            .otherwise(F.concat(F.lit("$$$ ### "), F.col("id") * 7919, F.lit(" !!! >>> <<< @@@"))).alias("text"),
+        )
+    )
+    docs = odd.unionByName(plain)
+    labels = docs.where("doc_id >= 100").select("doc_id", (F.col("doc_id") % 2 == 0).cast("int").alias("quality"), F.lit(0).alias("toxic"))
+    for name, rows in (("some", docs), ("none", docs.where("false"))):
+        rows.write.parquet(str(tmp_path / name / "documents.parquet"))
+        labels.where(F.lit(name == "some")).write.parquet(str(tmp_path / name / "labels.parquet"))
+    kept = corpus_pipeline.classify(spark, spark.read.parquet(str(tmp_path / "some" / "documents.parquet")), str(tmp_path / "some"))
+    assert kept.columns == docs.columns
+    good = {r.doc_id for r in kept.collect()}
+    assert {i for i in good if i and i >= 100} <= set(range(100, 160, 2)) and len(good) > 10
+    out = corpus_pipeline.run(spark, str(tmp_path / "some")).collect()
+    assert out and {r.doc_id for r in out} <= good
+    places = collections.defaultdict(list)
+    for r in out:
+        places[r.sequence_id].append((r.offset, r.length))
+    for parts in places.values():
+        ends = list(itertools.accumulate(n for _, n in sorted(parts)))
+        assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= 2048
+    assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
 def test_pii_of_a_text_with_many_spans(spark):
     line = "é a.b@c.org 10.0.0.1 +1 (555) 123-4567 James Smith 😀 "
     rows = [(1, line * 1500, 0), (2, "x" * 1022 + " " + line * 40, 0)]
