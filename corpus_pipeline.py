@@ -53,7 +53,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages, each written out and read back before the next."""
+    """All stages, each written out and read back before the next.
+
+    Null and empty texts are classified like any other; near duplicates without an id are one document each text;
+    repeated rows stay once; a null source is a source of its own; other columns of documents, whatever their
+    names, are carried to the last stage; without documents, or if all are rejected, there are no rows.
+    """
     docs = documents(spark, sf_dir)
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), name.replace(" ", "-"))
