@@ -122,14 +122,18 @@ def write_token_files(
 ) -> DataFrame:
     """Write the files; return the manifest: file, sequences, documents (paths), n_docs, n_tokens.
 
-    ``folder`` is a place every executor reaches. Keys and hashes of texts are sorted first and cut into files
-    of ``file_docs`` rows; texts are read once more, encoded where they are read, and only 16-bit ids are
-    shuffled. Each attempt of a task writes names of its own and the manifest lists those of the attempt that
+    ``folder`` is a place every executor reaches. Keys are sorted first and cut into files of ``file_docs`` rows,
+    by a hash of the text too if a key alone has more; texts are encoded where they are read, and only 16-bit ids
+    are shuffled. Each attempt of a task writes names of its own and the manifest lists those of the attempt that
     counted, so a lost executor leaves no mix.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), text_of(text).alias("text"))
-    rows = rows.withColumn("key", order_key(F.col("id"), F.col("text")))
-    listed = key_starts(saved(rows.select("key"), "keys"), file_docs, MOST_FILES)
+    for told_by in (F.lit(""), F.col("text")):
+        keyed = rows.withColumn("key", order_key(F.col("id"), told_by))
+        listed = key_starts(saved(keyed.select("key"), "keys"), file_docs, MOST_FILES)
+        repeated = len(set(listed)) < len(listed)
+        if not repeated:
+            break
     files = max(1, len(listed))
     starts = F.split(F.lit(",".join(listed or [""])), ",")
     wide = encoder(tokenizer).vocabulary > 1 << 16
@@ -138,7 +142,7 @@ def write_token_files(
 
     def tokenise(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encode = encoder(tokenizer, code).encode
-        for frame in slices(frames, 256):
+        for frame in slices(frames, 1024):
             ids = [i + end for i in encode(frame["text"].tolist())]
             yield pd.DataFrame({"file": frame["file"], "key": frame["id"], "hash": frame["hash"], "ids": ids})
 
@@ -175,13 +179,13 @@ def write_token_files(
         if writer:
             yield finish()
 
-    # A key that several files start with has only equal rows: they are dealt by their number in the task's input.
-    low, high = starts_before("key", starts, files, equal=False), starts_before("key", starts, files)
-    placed = rows.select("id", "text", low.alias("low"), high.alias("high"), F.monotonically_increasing_id().alias("row"))
-    dealt = F.when(F.col("high") > F.col("low"), F.col("low") + F.col("row") % (F.col("high") - F.col("low")))
-    file = F.coalesce(dealt, F.col("high") - 1).cast("int")
+    file = starts_before("key", starts, files) - 1
+    if repeated:  # A key that several files start with has only equal rows: they are dealt by their number in the task's input.
+        first = starts_before("key", starts, files, equal=False)
+        dealt = first + F.monotonically_increasing_id() % (file + 1 - first)
+        file = F.when(file >= first, dealt).otherwise(file)
     ordered = (
-        placed.select(file.alias("file"), "id", F.xxhash64("text").alias("hash"), "text")
+        keyed.select(file.cast("int").alias("file"), "id", F.xxhash64("text").alias("hash"), "text")
         .mapInPandas(tokenise, "file int, key long, hash long, ids binary")
         .repartitionById(files, F.col("file"))
         .sortWithinPartitions("file", "key", "hash")
