@@ -9,8 +9,8 @@ length. Distributions are smoothed towards the suffix's,
 down to the unigrams of all training words. A token is scored by the longest retained suffix before it.
 
 Texts are read once. Words become numbers within a block of documents; what the blocks exchange are their
-vocabularies and, level by level, the counts of their runs. Runs go to buckets by a hash of their context; a
-bucket counts and tests whole contexts, and replies to each block on what the block asked for, so no task and
+vocabularies and, level by level, the counts of their runs. Runs go to buckets by their context; a
+bucket counts and tests whole contexts, numbers the runs that take part, and replies to each block on what the block asked for, so no task and
 no driver holds the tree. Blocks and replies are bucketed by block, so neither is shuffled again at each level.
 
 Cases: a null text is empty and is scored as its end alone; a null id is not held out; repeated rows are
@@ -46,15 +46,38 @@ BUCKET_ENTRIES = 500_000
 #: No word has a line end in it.
 END = xxhash.xxh64_intdigest(b"\n")
 
-_BLOCK = "block long, docs binary, no_id binary, held_out binary, lengths binary, tokens binary, words binary, counts binary, entries long, train_tokens long"
+_BLOCK = "block long, docs binary, no_id binary, held_out binary, lengths binary, tokens binary, ranked binary, words binary, counts binary, entries long, train_tokens long"
 
 
 def _packed(values: np.ndarray) -> bytes:
-    return zstandard.compress(values.tobytes(), 3)
+    """Compressed, first bytes of all values first."""
+    return zstandard.compress(np.ascontiguousarray(values).view("u1").reshape(-1, values.itemsize).T.tobytes(), 3)
 
 
 def _unpacked(data: bytes, kind: str) -> np.ndarray:
-    return np.frombuffer(zstandard.decompress(data), kind)
+    planes = np.frombuffer(zstandard.decompress(data), "u1").reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def _packed_rising(values: np.ndarray) -> bytes:
+    """Sorted values, as the gaps between them."""
+    return _packed(np.append(values[:1], np.diff(values)))
+
+
+def _unpacked_rising(data: bytes, kind: str) -> np.ndarray:
+    return np.cumsum(_unpacked(data, kind), dtype=kind)
+
+
+#: Bits of a probability that the divergence test leaves out: 12 significant ones are kept, within 2 ** -12.
+_LEFT_OUT = np.uint32(12)
+
+
+def _short(p: np.ndarray) -> np.ndarray:
+    return p.astype("f4").view("u4") + (np.uint32(1) << _LEFT_OUT - np.uint32(1)) >> _LEFT_OUT
+
+
+def _long(p: np.ndarray) -> np.ndarray:
+    return (p << _LEFT_OUT).view("f4")
 
 
 class _Block:
@@ -83,6 +106,10 @@ class _Block:
         tokens = [place[np.append(t, np.uint32(n))] for _, _, t in self.rows]
         learnt = [t for t, (_, held, _) in zip(tokens, self.rows, strict=True) if not held]
         counts = np.bincount(np.concatenate(learnt), minlength=len(words)) if learnt else np.zeros(len(words))
+        every = np.concatenate(tokens)
+        ranked = np.argsort(-np.bincount(every, minlength=len(words)), kind="stable").astype("u4")
+        rank = np.empty_like(ranked)  # small numbers for frequent words pack better
+        rank[ranked] = np.arange(len(ranked), dtype="u4")
         no_id = np.array([pd.isna(i) for i, _, _ in self.rows])
         row = {
             "block": block,
@@ -90,8 +117,9 @@ class _Block:
             "no_id": no_id.tobytes(),
             "held_out": np.array([h for _, h, _ in self.rows], bool).tobytes(),
             "lengths": np.array([len(t) for t in tokens], "u4").tobytes(),
-            "tokens": _packed(np.concatenate(tokens)),
-            "words": words.tobytes(),
+            "tokens": _packed(rank[every]),
+            "ranked": _packed(ranked),
+            "words": _packed_rising(words),
             "counts": _packed(counts.astype("u4")),
             "entries": len(words),
             "train_tokens": int(counts.sum()),
@@ -123,7 +151,8 @@ def _bucket_edges(words: np.ndarray, bits: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(words, starts), [len(words)]])
 
 
-_REPLIES = "level int, bucket int, block long, first binary, second binary, known long"
+_REPLIES = "level int, bucket int, block long, first binary, second binary, third binary, known long"
+_REPLY = ["level", "bucket", "block", "first", "second", "third", "known"]
 
 
 def word_counts(table: DataFrame, bits: int, least: int) -> DataFrame:
@@ -134,16 +163,16 @@ def word_counts(table: DataFrame, bits: int, least: int) -> DataFrame:
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples(index=False):
-                words, counts = np.frombuffer(row.words, "u8"), _unpacked(row.counts, "u4")
+                words, counts = _unpacked_rising(row.words, "u8"), _unpacked(row.counts, "u4")
                 edges = _bucket_edges(words, bits)
                 yield pd.DataFrame(
-                    [(b, row.block, words[x:y].tobytes(), _packed(counts[x:y])) for b, (x, y) in enumerate(zip(edges, edges[1:], strict=False)) if y > x],
+                    [(b, row.block, _packed_rising(words[x:y]), _packed(counts[x:y])) for b, (x, y) in enumerate(zip(edges, edges[1:], strict=False)) if y > x],
                     columns=["bucket", "block", "words", "counts"],
                 )
 
     def total(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("block")
-        words = [np.frombuffer(w, "u8") for w in frame["words"]]
+        words = [_unpacked_rising(w, "u8") for w in frame["words"]]
         counts = np.concatenate([_unpacked(c, "u4") for c in frame["counts"]])
         distinct, place = np.unique(np.concatenate(words), return_inverse=True)
         totals = np.bincount(place, weights=counts, minlength=len(distinct)).astype("i8")
@@ -152,9 +181,9 @@ def word_counts(table: DataFrame, bits: int, least: int) -> DataFrame:
         frequent = np.flatnonzero(totals >= least)
         # The frequent ones get small numbers, which pack better.
         numbers[frequent[np.argsort(-totals[frequent], kind="stable")]] = (np.arange(len(frequent)) << bits) + bucket + 1
-        rows = [(0, bucket, b, _packed(totals[p]), _packed(numbers[p]), 0) for b, p in zip(frame["block"], np.split(place, ends[:-1]), strict=True)]
-        rows.append((0, bucket, -1, None, None, int((totals > 0).sum())))
-        return pd.DataFrame(rows, columns=["level", "bucket", "block", "first", "second", "known"])
+        rows = [(0, bucket, b, _packed(totals[p]), _packed(numbers[p]), None, 0) for b, p in zip(frame["block"], np.split(place, ends[:-1]), strict=True)]
+        rows.append((0, bucket, -1, None, None, None, int((totals > 0).sum())))
+        return pd.DataFrame(rows, columns=_REPLY)
 
     dealt = table.select("block", "words", "counts").mapInPandas(deal, "bucket int, block long, words binary, counts binary")
     return dealt.groupBy("bucket").applyInPandas(total, _REPLIES)
@@ -165,8 +194,9 @@ def _judged(
 ) -> tuple[np.ndarray, np.ndarray]:
     """Whether each context is a state, and the probability it leaves to its suffix. ``n`` is per context; per
     run there are its context, its count and what the context's longest retained suffix says of its last word."""
+    p = _long(_short(p)).astype("f8")
     share = totals / (n[context] + pull)
-    left = 1 - np.bincount(context, share, len(n))
+    left = 1 - np.bincount(context, totals, len(n)) / (n + pull)
     gain = np.bincount(context, share * np.log(share / p), len(n)).astype("f8")  # whole numbers without runs
     rest_below = np.maximum(1 - np.bincount(context, p, len(n)), 1e-12)
     gain += left * np.log(np.maximum(left, 1e-12) / rest_below)
@@ -258,12 +288,12 @@ def _find(table: np.ndarray, values: np.ndarray) -> np.ndarray:
     return np.where(table[at] == values, at, -1).astype("i8")
 
 
-def _mixed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """A hash of two numbers."""
-    x = (a ^ (a >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15) + b.astype("u8")
+def _bucket(ids: np.ndarray, bits: int) -> np.ndarray:
+    """A bucket by a hash of the id."""
+    x = ids.astype("u8") * np.uint64(0x9E3779B97F4A7C15)
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    return ((x ^ (x >> np.uint64(31))) & np.uint64((1 << bits) - 1)).astype("i8")
 
 
 _LAST = np.int64((1 << 32) - 1)
@@ -273,20 +303,23 @@ class _Walk:
     """A block's tokens on their way through the levels, by the replies to the block.
 
     ``place`` is the run of so many words as levels passed that ends with each token, among the block's runs,
-    -1 if a part of it takes no part; ``total`` and ``hash`` are per run, the total 0 if it takes no part."""
+    -1 if a part of it takes no part; ``total`` and ``id``, its number among all, are per run, both 0 if it takes
+    no part."""
 
-    def __init__(self, row, words: pd.DataFrame, tokens: int, known: int, pull: float) -> None:
+    def __init__(self, row, words: pd.DataFrame, tokens: int, known: int, pull: float, bits: int) -> None:
         words = words.sort_values("bucket")
         totals = np.concatenate([_unpacked(t, "i8") for t in words["first"]])
         numbers = np.concatenate([_unpacked(t, "i8") for t in words["second"]])
-        self.place = _unpacked(row.tokens, "u4").astype("i4")
+        if numbers.max(initial=0) > _LAST:
+            raise OverflowError("words that take part are numbered with 32 bits")
+        self.place = _unpacked(row.ranked, "u4").astype("i4")[_unpacked(row.tokens, "u4")]
         lengths = np.frombuffer(row.lengths, "u4")
         self.first = np.cumsum(lengths, dtype="i8") - lengths
         self.learnt = np.repeat(~np.frombuffer(row.held_out, bool), lengths)
         self.count, self.number = totals[self.place], numbers.astype("u4")[self.place]
         self.total = np.where(numbers > 0, totals, 0)
-        self.hash = _mixed(numbers.astype("u8"), numbers)
-        self.pull = pull
+        self.id = numbers
+        self.pull, self.bits = pull, bits
         self.base = (self.count + 0.5) / (tokens + 0.5 * (known + 1))
         self.p = self.base.copy()
 
@@ -300,11 +333,14 @@ class _Walk:
         used = np.zeros(len(self.total), bool)
         used[before[self.after]] = True
         contexts = np.flatnonzero(used)
-        contexts = contexts[np.argsort(self.hash[contexts], kind="stable")]
+        bucket = _bucket(self.id[contexts], self.bits)
+        order = np.lexsort((self.id[contexts], bucket))
+        contexts = contexts[order]
+        self.edges = np.searchsorted(bucket[order], np.arange((1 << self.bits) + 1))
         rank = np.zeros(len(self.total), "i4")
         rank[contexts] = np.arange(len(contexts), dtype="i4")
         self.context = rank[before[self.after]]
-        self.context_hash, self.context_n = self.hash[contexts], self.total[contexts]
+        self.context_id, self.context_n = self.id[contexts], self.total[contexts]
         ends = self.place[self.after]
         # The run without its first word takes part too.
         some = np.flatnonzero(ends >= 0)
@@ -314,63 +350,69 @@ class _Walk:
         self.keys, run = np.unique(keys, return_inverse=True)
         self.run = run.astype("i4")
 
-    def dealt(self, bits: int) -> Iterator[tuple]:
+    def dealt(self) -> Iterator[tuple]:
         """What has been asked for, by bucket of context."""
         counts = np.bincount(self.run, self.learnt[self.whole], len(self.keys)).astype("u4")
-        p = np.zeros(len(self.keys), "f4")
-        p[self.run] = self.p[self.whole]  # the same at each token of a run
+        p = np.zeros(len(self.keys), "u4")
+        p[self.run] = _short(self.p[self.whole])  # the same at each token of a run
         p[counts == 0] = 0
-        context, edges = self.keys >> np.int64(32), _bucket_edges(self.context_hash, bits)
-        runs = np.bincount(context, minlength=len(self.context_hash)).astype("u4")
+        context, edges = self.keys >> np.int64(32), self.edges
+        runs = np.bincount(context, minlength=len(self.context_id)).astype("u4")
         ends = np.searchsorted(context, edges)
         for b, (x, y, u, v) in enumerate(zip(edges, edges[1:], ends, ends[1:], strict=False)):
             if y > x:
                 yield (
-                    b, self.context_hash[x:y].tobytes(), _packed(self.context_n[x:y]), _packed(runs[x:y]),
+                    b, _packed_rising(self.context_id[x:y]), _packed(self.context_n[x:y]), _packed(runs[x:y]),
                     _packed((self.keys[u:v] & _LAST).astype("u4")), _packed(counts[u:v]), _packed(p[u:v]),
                 )
 
     def take(self, replies: pd.DataFrame) -> None:
-        """Go one level on: ``first`` has what each context leaves to its suffix, -1 if it is no state, and
-        ``second`` the count of each run, 0 if it takes no part."""
+        """Go one level on: ``first`` has the occurrences of each context's runs and one more, 0 if it is no state,
+        ``second`` the count of each run, 0 if it takes no part, ``third`` the ids of those that do."""
         replies = replies.sort_values("bucket")
-        rest = np.concatenate([_unpacked(r, "f8") for r in replies["first"]] or [np.zeros(0)])
+        followed = np.concatenate([_unpacked(f, "i8") for f in replies["first"]] or [np.zeros(0, "i8")])
         self.total = np.concatenate([_unpacked(t, "i8") for t in replies["second"]] or [np.zeros(0, "i8")])
+        self.id = np.zeros(len(self.total), "i8")
+        self.id[self.total > 0] = np.concatenate([_unpacked_rising(i, "i8") for i in replies["third"]] or [np.zeros(0, "i8")])
         self.place = np.full(len(self.place), -1, "i4")
         self.place[self.whole] = self.run
         own = np.zeros(len(self.place))
         own[self.whole] = self.total[self.run]
-        state = np.flatnonzero(rest[self.context] >= 0)
+        state = np.flatnonzero(followed[self.context] > 0)
         at, context = self.after[state], self.context[state]
-        self.p[at] = own[at] / (self.context_n[context] + self.pull) + rest[context] * self.p[at]
-        self.hash = _mixed(self.context_hash[self.keys >> np.int64(32)], self.keys & _LAST)
+        n = self.context_n[context] + self.pull
+        self.p[at] = own[at] / n + (1 - (followed[context] - 1) / n) * self.p[at]
 
 
 _ASKED = "bucket int, block long, contexts binary, n binary, runs binary, numbers binary, counts binary, p binary"
 
 
-def run_counts(asked: DataFrame, level: int, least: int, pull: float, divergence: float) -> DataFrame:
+def run_counts(asked: DataFrame, level: int, least: int, pull: float, divergence: float, bits: int) -> DataFrame:
     """Replies of a level: counts of runs over all blocks, and the test of their contexts."""
 
     def judge(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("block")
-        each = [np.frombuffer(c, "u8") for c in frame["contexts"]]
+        each = [_unpacked_rising(c, "i8") for c in frame["contexts"]]
         runs = [_unpacked(r, "u4") for r in frame["runs"]]
         distinct, place = np.unique(np.concatenate(each), return_inverse=True)
         n = np.zeros(len(distinct), "i8")
         n[place] = np.concatenate([_unpacked(x, "i8") for x in frame["n"]])
-        numbers, counts, p = (np.concatenate([_unpacked(x, kind) for x in frame[c]]) for c, kind in (("numbers", "u4"), ("counts", "u4"), ("p", "f4")))
+        numbers, counts, p = (np.concatenate([_unpacked(x, kind) for x in frame[c]]) for c, kind in (("numbers", "u4"), ("counts", "u4"), ("p", "u4")))
         keys, run = np.unique(np.repeat(place.astype("i8"), np.concatenate(runs)) << np.int64(32) | numbers, return_inverse=True)
         totals = np.bincount(run, counts, len(keys)).astype("i8")
         below, here = np.ones(len(keys)), counts > 0
-        below[run[here]] = p[here]  # the same from each block
+        below[run[here]] = _long(p[here])  # the same from each block
         some = totals >= least
-        kept, left = _judged((keys >> np.int64(32))[some], n, totals[some], below[some], pull, divergence)
-        rest, totals = np.where(kept, np.maximum(left, 0.0), -1.0), np.where(some, totals, 0)
+        context, bucket = (keys >> np.int64(32))[some], int(frame["bucket"].iloc[0])
+        kept, _ = _judged(context, n, totals[some], below[some], pull, divergence)
+        followed = np.where(kept, np.bincount(context, totals[some], len(n)).astype("i8") + 1, 0)
+        totals = np.where(some, totals, 0)
+        # Rising in the order of each block's runs.
+        ids = (np.cumsum(some) << bits) + bucket
         context_ends, run_ends = (np.cumsum([int(x) for x in ends])[:-1] for ends in ([len(c) for c in each], [r.sum() for r in runs]))
         shares = zip(frame["block"], np.split(place, context_ends), np.split(run, run_ends), strict=True)
-        rows = [(level, frame["bucket"].iloc[0], b, _packed(rest[c]), _packed(totals[r]), 0) for b, c, r in shares]
-        return pd.DataFrame(rows, columns=["level", "bucket", "block", "first", "second", "known"])
+        rows = [(level, bucket, b, _packed(followed[c]), _packed(totals[r]), _packed_rising(ids[r[some[r]]]), 0) for b, c, r in shares]
+        return pd.DataFrame(rows, columns=_REPLY)
 
     return asked.groupBy("bucket").applyInPandas(judge, _REPLIES)
 
@@ -399,12 +441,12 @@ def scores(
     answers = Bucketed(docs.sparkSession, "replies", "block")
     replies = answers.add(word_counts(table, bits, least_count))
     known = replies.where("block < 0").agg(F.sum("known")).first()[0] or 0
-    texts = table.select("block", "docs", "no_id", "held_out", "lengths", "tokens")
+    texts = table.select("block", "docs", "no_id", "held_out", "lengths", "tokens", "ranked")
 
     def walked(left: pd.DataFrame, right: pd.DataFrame, level: int) -> tuple:
         """The block's row, and its walk through the levels below this one."""
         row = next(left.itertuples(index=False))
-        walk = _Walk(row, right[right["level"] == 0], tokens, known, pull)
+        walk = _Walk(row, right[right["level"] == 0], tokens, known, pull, run_bits)
         for below in range(1, level):
             walk.ask()
             walk.take(right[right["level"] == below])
@@ -414,7 +456,7 @@ def scores(
         def ask(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
             row, walk = walked(left, right, level)
             walk.ask()
-            found = [(b, row.block, *rest) for b, *rest in walk.dealt(run_bits)]
+            found = [(b, row.block, *rest) for b, *rest in walk.dealt()]
             return pd.DataFrame(found, columns=["bucket", "block", "contexts", "n", "runs", "numbers", "counts", "p"])
 
         return ask
@@ -437,7 +479,7 @@ def scores(
         release(docs.sparkSession)
         pairs = texts.groupBy("block").cogroup(replies.where("block >= 0").groupBy("block"))
         asked = pairs.applyInPandas(asker(level), _ASKED)
-        replies = answers.add(run_counts(asked, level, least_count, pull, divergence))
+        replies = answers.add(run_counts(asked, level, least_count, pull, divergence, run_bits))
         del pairs, asked
     release(docs.sparkSession)
     found = texts.groupBy("block").cogroup(replies.where("block >= 0").groupBy("block")).applyInPandas(

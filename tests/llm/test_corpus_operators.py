@@ -232,6 +232,21 @@ def test_suffix_tree_equals_the_tree_in_memory(spark, texts):
         assert math.isclose(found[id_].score, total, rel_tol=1e-9)
 
 
+def test_packed_values():
+    draw = np.random.default_rng(1)
+    for kind in ("u1", "u4", "i8", "f4", "f8"):
+        for n in (0, 1, 1000):
+            values = draw.integers(0, 200, n).astype(kind)
+            assert np.array_equal(suffix_tree._unpacked(suffix_tree._packed(values), kind), values)
+    for values in ([], [7], [0, 5, 5, 1 << 63, (1 << 64) - 1]):
+        values = np.array(values, "u8")
+        assert np.array_equal(suffix_tree._unpacked_rising(suffix_tree._packed_rising(values), "u8"), values)
+    p = 10.0 ** draw.uniform(-14, 0, 1000)
+    kept = suffix_tree._long(suffix_tree._short(p))
+    assert (np.abs(kept / p - 1) <= 2**-12).all()
+    assert np.array_equal(suffix_tree._long(suffix_tree._short(kept)), kept)
+
+
 def test_slices_are_halved_as_the_table_grows():
     sizes = [10**k for k in range(12)]
     widths = [simhash.slice_widths(n) for n in sizes]
