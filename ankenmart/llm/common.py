@@ -50,6 +50,12 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that no plan reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column), F.lit(""))

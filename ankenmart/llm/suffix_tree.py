@@ -11,7 +11,7 @@ down to the unigrams of all training words. A token is scored by the longest ret
 Texts are read once. Words become numbers within a block of documents; what the blocks exchange are their
 vocabularies and, level by level, the counts of their runs. Runs go to buckets by their context; a
 bucket counts and tests whole contexts, numbers the runs that take part, and replies to each block on what the block asked for, so no task and
-no driver holds the tree. Blocks and replies are bucketed by block, so neither is shuffled again at each level.
+no no driver holds the tree. Blocks and replies are bucketed by block, so neither is shuffled again at each level.
 
 Cases: a null text is empty and is scored as its end alone; a null id is not held out; repeated rows are
 counted and scored one by one; unseen words share the unigram estimate of count 0; without training rows
@@ -32,7 +32,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ankenmart.llm.common import Bucketed, lower_words, release, text_of
+from ankenmart.llm.common import Bucketed, discard, lower_words, release, text_of
+from ankenmart.session import scratch_path
 
 DEPTH = 3
 LEAST_COUNT = 2
@@ -68,6 +69,21 @@ def _unpacked_rising(data: bytes, kind: str) -> np.ndarray:
     return np.cumsum(_unpacked(data, kind), dtype=kind)
 
 
+def _packed_within(values: np.ndarray, sizes: np.ndarray) -> bytes:
+    """Values that rise within groups of such sizes, as the gaps between them."""
+    gaps = np.diff(values, prepend=values.dtype.type(0))
+    first = (np.cumsum(sizes) - sizes)[sizes > 0]
+    gaps[first] = values[first]
+    return _packed(gaps)
+
+
+def _unpacked_within(data: bytes, kind: str, sizes: np.ndarray) -> np.ndarray:
+    gaps = _unpacked(data, kind)
+    sums, first = np.cumsum(gaps, dtype="u8"), np.cumsum(sizes, dtype="i8") - sizes
+    before = np.append(np.zeros(1, "u8"), sums)[first]
+    return (sums - np.repeat(before, sizes)).astype(kind)
+
+
 #: Bits of a probability that the divergence test leaves out: 12 significant ones are kept, within 2 ** -12.
 _LEFT_OUT = np.uint32(12)
 
@@ -143,7 +159,7 @@ def blocks(docs: DataFrame, key: str, text: str, parts: int, held: int, block_by
             yield block.frame(made)
 
     rows = docs.select(F.col(key).cast("long").alias("id"), text_of(text).alias("text"))
-    return Bucketed(docs.sparkSession, "blocks", "block").add(rows.mapInPandas(run, _BLOCK), dealt=False)
+    return rows.mapInPandas(run, _BLOCK)
 
 
 def _bucket_edges(words: np.ndarray, bits: int) -> np.ndarray:
@@ -363,7 +379,7 @@ class _Walk:
             if y > x:
                 yield (
                     b, _packed_rising(self.context_id[x:y]), _packed(self.context_n[x:y]), _packed(runs[x:y]),
-                    _packed((self.keys[u:v] & _LAST).astype("u4")), _packed(counts[u:v]), _packed(p[u:v]),
+                    _packed_within((self.keys[u:v] & _LAST).astype("u4"), runs[x:y]), _packed(counts[u:v]), _packed(p[u:v]),
                 )
 
     def take(self, replies: pd.DataFrame) -> None:
@@ -397,7 +413,8 @@ def run_counts(asked: DataFrame, level: int, least: int, pull: float, divergence
         distinct, place = np.unique(np.concatenate(each), return_inverse=True)
         n = np.zeros(len(distinct), "i8")
         n[place] = np.concatenate([_unpacked(x, "i8") for x in frame["n"]])
-        numbers, counts, p = (np.concatenate([_unpacked(x, kind) for x in frame[c]]) for c, kind in (("numbers", "u4"), ("counts", "u4"), ("p", "u4")))
+        numbers = np.concatenate([_unpacked_within(x, "u4", r) for x, r in zip(frame["numbers"], runs, strict=True)])
+        counts, p = (np.concatenate([_unpacked(x, "u4") for x in frame[c]]) for c in ("counts", "p"))
         keys, run = np.unique(np.repeat(place.astype("i8"), np.concatenate(runs)) << np.int64(32) | numbers, return_inverse=True)
         totals = np.bincount(run, counts, len(keys)).astype("i8")
         below, here = np.ones(len(keys)), counts > 0
@@ -434,13 +451,20 @@ def scores(
 
     Training rows are those whose crc32(key as text) mod ``parts`` is not ``held``.
     """
-    table = blocks(docs, key, text, parts, held, block_bytes)
-    sums = table.agg(F.sum("entries").alias("entries"), F.sum("train_tokens").alias("tokens")).first()
+    spark = docs.sparkSession
+    path = scratch_path(spark, "read")
+    blocks(docs, key, text, parts, held, block_bytes).write.parquet(path)
+    read = spark.read.schema(_BLOCK).parquet(path)
+    sums = read.agg(F.sum("entries").alias("entries"), F.sum("train_tokens").alias("tokens")).first()
     tokens = sums["tokens"] or 0
     bits, run_bits = (max((n or 0) // bucket_entries, 1).bit_length() - 1 for n in (sums["entries"], tokens))
-    answers = Bucketed(docs.sparkSession, "replies", "block")
-    replies = answers.add(word_counts(table, bits, least_count))
+    answers = Bucketed(spark, "replies", "block")
+    replies = answers.add(word_counts(read, bits, least_count))
     known = replies.where("block < 0").agg(F.sum("known")).first()[0] or 0
+    release(spark)
+    # The vocabularies have been counted; the texts go on without them.
+    table = Bucketed(spark, "blocks", "block").add(read.drop("words", "counts"), dealt=False)
+    discard(spark, path)
     texts = table.select("block", "docs", "no_id", "held_out", "lengths", "tokens", "ranked")
 
     def walked(left: pd.DataFrame, right: pd.DataFrame, level: int) -> tuple:
@@ -476,12 +500,12 @@ def scores(
         ).assign(id=lambda f: f["id"].mask(np.frombuffer(row.no_id, bool)))
 
     for level in range(1, depth + 1):
-        release(docs.sparkSession)
+        release(spark)
         pairs = texts.groupBy("block").cogroup(replies.where("block >= 0").groupBy("block"))
         asked = pairs.applyInPandas(asker(level), _ASKED)
         replies = answers.add(run_counts(asked, level, least_count, pull, divergence, run_bits))
         del pairs, asked
-    release(docs.sparkSession)
+    release(spark)
     found = texts.groupBy("block").cogroup(replies.where("block >= 0").groupBy("block")).applyInPandas(
         score, "id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )

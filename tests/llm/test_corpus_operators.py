@@ -241,6 +241,11 @@ def test_packed_values():
     for values in ([], [7], [0, 5, 5, 1 << 63, (1 << 64) - 1]):
         values = np.array(values, "u8")
         assert np.array_equal(suffix_tree._unpacked_rising(suffix_tree._packed_rising(values), "u8"), values)
+    sizes = np.array([0, 3, 0, 1, 2, 0], "u4")
+    values = np.array([5, 9, (1 << 32) - 1, 0, 2, 2], "u4")
+    assert np.array_equal(suffix_tree._unpacked_within(suffix_tree._packed_within(values, sizes), "u4", sizes), values)
+    none = np.zeros(0, "u4")
+    assert len(suffix_tree._unpacked_within(suffix_tree._packed_within(none, none), "u4", none)) == 0
     p = 10.0 ** draw.uniform(-14, 0, 1000)
     kept = suffix_tree._long(suffix_tree._short(p))
     assert (np.abs(kept / p - 1) <= 2**-12).all()
