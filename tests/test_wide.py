@@ -140,3 +140,24 @@ def test_tables_written_by_opportunity_join_without_an_exchange(spark, tables, t
     # A hot opportunity is in several buckets, that is in several files.
     files = lines.groupBy("opportunity_id").agg(F.count_distinct("_metadata.file_path").alias("files"))
     assert files.where("files > 1").count() > 100
+
+
+def test_calendar_columns_are_in_no_shuffle_of_the_join(spark, tables):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = plan_of(gold_opportunity_line_item_wide(tables, ["案件ID", "品目ID", "サービス年月", "クローズ年月", "受注予定年月"]))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    # The calendar joins come after the one of headers and lines, that is above it in the plan.
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert len(joins) >= 4 and all("BroadcastHashJoin" in j and "__key" in j for j in joins[:3])
+
+
+def test_more_buckets_than_asked_for_when_the_lines_are_many(spark, tables, tmp_path, monkeypatch):
+    from ankenmart.operators import colocated
+
+    lines = tables["stg_opportunity_line_item"].count()
+    monkeypatch.setattr(colocated.buckets_for, "__defaults__", (-(-lines // 7),))
+    write_by_opportunity(tables, "written_in_more_buckets", str(tmp_path), buckets=2)
+    described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED written_in_more_buckets.lines").collect()}
+    assert described["Num Buckets"] == "7"
