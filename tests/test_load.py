@@ -425,3 +425,75 @@ def test_the_header_of_a_large_file_is_that_of_its_first_split(spark, tmp_path):
             assert csv_text.headers(spark, paths, fmt) == {("品目ID", "案件名"): [f"file:{p}" for p in paths]}
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_inferred_types_take_a_plan_whose_size_is_not_that_of_the_columns(spark, tmp_path, monkeypatch):
+    names = [f"c{i}" for i in range(60)]
+    values = ["1", "10.50", "true", "2024-01-01", "1e3", "x"]
+    paths = [_write(tmp_path, f"{k}.csv", ",".join(names) + "\n" + ",".join(values[i % 6] for i in range(60)) + "\n") for k in range(2)]
+    seen = []
+    by_header = load.by_header
+    monkeypatch.setattr(load, "by_header", lambda *a: seen.append(by_header(*a)) or seen[-1])
+    exploded = []
+    posexplode = F.posexplode
+    monkeypatch.setattr(F, "posexplode", lambda c: exploded.append(c) or posexplode(c))
+    kinds = ["int", "decimal(4,2)", "boolean", "date", "double", "string"]
+    assert _inferred(spark, paths) == {n: kinds[i % 6] for i, n in enumerate(names)}
+    # One test of a value, over all columns, not one a column.
+    assert len(seen) == len(exploded) == 1
+
+
+@pytest.mark.parametrize(
+    ("values", "want"),
+    [
+        (["+1", "-0.5"], "decimal(2,1)"),
+        ([".5", "5."], "decimal(2,1)"),
+        (["2147483648", "1"], "bigint"),
+        (["TRUE", "False"], "boolean"),
+        (["1", "true"], "string"),
+        (["2024-01-01", "2024-01-01T10:00:00Z"], "timestamp"),
+        (["2024-13-01"], "string"),
+        (["1E5", "1"], "double"),
+        (["null", ""], "string"),
+    ],
+)
+def test_inferred_type_of_a_column(spark, tmp_path, values, want):
+    path = _write(tmp_path, "a.csv", "k,v\n" + "".join(f"x,{v}\n" for v in values))
+    assert _inferred(spark, [path])["v"] == want
+
+
+def test_headers_are_read_by_one_scan(spark, tmp_path):
+    for i in range(3):
+        _write(tmp_path, f"{i}.csv", f"a,b{i % 2}\n1,2\n")
+    paths = sorted(map(str, tmp_path.iterdir()))
+    spark.sparkContext.setJobGroup("headers-by-one-scan", "headers")
+    try:
+        found = csv_text.headers(spark, paths, BY_HEADER)
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("headers-by-one-scan")
+        stages = {s for j in jobs for s in spark.sparkContext.statusTracker().getJobInfo(j).stageIds}
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert [len(f) for f in found.values()] == [2, 1] and list(found) == [("a", "b0"), ("a", "b1")]
+    # The scan and the groups; a sort of them had a job more, which sampled its bounds.
+    assert len(jobs) <= 2 and len(stages) <= 3
+
+
+def test_exports_share_rows_that_are_made_once(spark, tmp_path):
+    from fixtures.csv_files import ABSENT, write_first_and_second
+
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield batch
+
+    names = ["受注済み", "品目ID", *ABSENT]
+    data = [(w, str(i), "a", "b", "c") for i, w in enumerate(["true", "false", None] * 10)]
+    schema = ", ".join(f"`{n}` string" for n in names)
+    write_first_and_second(spark.createDataFrame(data, schema).mapInArrow(counted, schema), str(tmp_path))
+    assert made.value == 30
+    files = [p for p in tmp_path.rglob("*.csv*") if not p.name.startswith((".", "_"))]
+    assert files and all(p.name.endswith(".csv.gz") for p in files)
+    got = csv_text.by_header(spark, [str(p) for p in files], ["品目ID"])
+    assert sorted(int(r["品目ID"]) for r in got.collect()) == list(range(30))
