@@ -43,7 +43,8 @@ def run_tests(tables: Mapping[str, DataFrame], *tests: str) -> DataFrame:
     """One row a test: model, column, test, failures.
 
     All keys are counted together, so the tests are one scan of each key column and one
-    shuffle, however many models there are. ``not_null`` counts rows, ``unique`` values.
+    shuffle, however many models there are. ``not_null`` counts rows, ``unique`` values; alone,
+    each counts only the keys that can fail it, so ``not_null`` shuffles no value.
     """
     models = {model: column for model, column in KEYS.items() if model in tables}
     values = reduce(
@@ -53,6 +54,10 @@ def run_tests(tables: Mapping[str, DataFrame], *tests: str) -> DataFrame:
             for model, column in models.items()
         ],
     )
+    if tests and UNIQUE not in tests:
+        values = values.where(F.col("value").isNull())
+    elif tests and NOT_NULL not in tests:
+        values = values.where(F.col("value").isNotNull())
     counts = values.groupBy("model", "value").agg(F.count(F.lit(1)).alias("n"))
     return results(counts, models, *tests)
 

@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from conftest import plan_of, rows
 
 from ankenmart.plans import quality
 from ankenmart.plans.quality import KEYS, NOT_NULL, UNIQUE
@@ -38,3 +38,8 @@ def test_empty_table_passes(spark):
 def test_only_headers_without_lines_fail(tables):
     failed = [r for r in quality.run_tests(tables).collect() if r.failures]
     assert [(r.model, r.test, r.failures) for r in failed] == [("fact_opportunity_line_item", "not_null", 27)]
+
+
+def test_alone_a_test_counts_only_keys_that_can_fail_it(users):
+    assert "isnull(user_id" in plan_of(quality.run_tests(users, NOT_NULL))
+    assert "isnotnull(user_id" in plan_of(quality.run_tests(users, UNIQUE))
