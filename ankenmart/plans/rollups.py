@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ankenmart.operators.numbering import dense_ids
 from ankenmart.plans.semantic import AVG, COUNT, COUNT_DISTINCT, SUM, Metric, SemanticModel
+from ankenmart.session import scratch_path
 
 _BLOCK, _BIT = "_block", "_bit"
 
@@ -62,8 +63,9 @@ def _final(metric: Metric) -> Column:
 def write_rollups(
     model: SemanticModel, rows: DataFrame, sets: Sequence[Sequence[str]], place: str, near: Sequence[str] = ()
 ) -> list[Rollup]:
-    """A rollup of all metrics for each set of dimensions, below ``place``; the lines are read once for the first
-    set and once more for each set that no earlier rollup covers, the others come from the smallest that does.
+    """A rollup of all metrics for each set of dimensions, below ``place``. The lines are made once and, cut to the
+    columns in use, written with their numbers; each set that no earlier rollup covers reads them from there, the
+    others come from the smallest rollup that does.
 
     ``near`` dimensions order the ids, so that the opportunities of one of their values are in few blocks.
     """
@@ -71,9 +73,13 @@ def write_rollups(
     if len(counted) != 1:
         raise ValueError(f"{model.name} must count distinct values of one column, not of {sorted(counted)}")
     (column,) = counted
+    used = model.columns_for([m.name for m in model.metrics], [*near, *(d for s in sets for d in s)])
+    rows = _kept(rows.select(*[f"`{c}`" for c in rows.columns if c in used]), "lines")
     ids = dense_ids(rows, column, [model.dimension(d).column for d in near])
     numbered = rows.join(ids, F.col(f"`{column}`") == F.col("value"), "left").drop("value")
     numbered = numbered.withColumns({_BLOCK: F.bitmap_bucket_number("id"), _BIT: F.bitmap_bit_position("id")})
+    still = model.columns_for([m.name for m in model.metrics if m.kind != COUNT_DISTINCT], [d for s in sets for d in s])
+    numbered = _kept(numbered.drop("id", *({column} - still)), "numbered")
     made: list[Rollup] = []
     spark = rows.sparkSession
     for i, names in sorted(enumerate(_names(model, s) for s in sets), key=lambda x: -len(x[1])):
@@ -91,6 +97,13 @@ def write_rollups(
     return made
 
 
+def _kept(rows: DataFrame, label: str) -> DataFrame:
+    """The rows from the scratch folder: several jobs read them, one makes them."""
+    path = scratch_path(rows.sparkSession, label)
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def _merged(rollup: DataFrame, names: Sequence[str], metrics: Sequence[Metric]) -> DataFrame:
     """Rows of one combination and block as one."""
     states = [over.alias(c) for m in metrics for c, (_, over) in _states(m).items()]

@@ -76,3 +76,22 @@ def test_dense_ids(spark):
     seen = ids.agg(F.count(F.lit(1)), F.count_distinct("id"), F.min("id"), F.max("id"), F.count_distinct("value")).first()
     assert tuple(seen) == (20001, 20001, 0, 20000, 20001)
     assert dense_ids(data.limit(0), "v").collect() == []
+
+
+def test_lines_are_made_once_for_all_sets(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def seen(n):
+        made.add(1)
+        return n
+
+    model = SemanticModel(
+        "m", "k", (), (), (Member("a", "a"), Member("b", "b")),
+        (Metric("n", COUNT, "k"), Metric("d", COUNT_DISTINCT, "k"), Metric("s", SUM, "v")),
+    )
+    data = spark.range(100).select((F.col("id") % 3).alias("a"), (F.col("id") % 4).alias("b"), (F.col("id") % 7).alias("k"), seen("id").alias("v"))
+    stored = rollups.write_rollups(model, data, [["a"], ["b"]], str(tmp_path), near=["a"])
+    assert made.value == 100
+    want = [(0, 25, 7, sum(range(0, 100, 4))), (1, 25, 7, sum(range(1, 100, 4)))]
+    assert rows(rollups.query(spark, model, stored, ["n", "d", "s"], ["b"]))[:2] == want
