@@ -6,6 +6,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ankenmart.operators.fan_out import _deal, fan_out, hot_keys
+from ankenmart.operators.layout import ranges_of
 
 
 def _sides(spark, headers, lines):
@@ -86,3 +87,24 @@ def test_any_data_joins_as_plainly(spark, headers, lines, slice_rows):
     )
     got = fan_out(one, many, "k", "id", hot_keys(many, "k", slice_rows)).select("k", "h", "id")
     assert rows(got) == rows(_plain(one, many))
+
+
+def test_ranges_partition_the_join_by_its_own_shuffles(spark):
+    headers = [(f"k{i:03d}", i) for i in range(300)] + [(None, -1), ("k003", 5000)]
+    details = [(f"k{i * 7 % 320:03d}", f"d{i}") for i in range(2000)] + [("k150", f"h{i}") for i in range(3000)] + [(None, "x")]
+    one = spark.createDataFrame(headers, "k string, a long")
+    many = spark.createDataFrame(details, "k string, line string")
+    counts = one.select("k").unionByName(many.select("k")).groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    ranges, hot = ranges_of(counts, "k", "n", 400), hot_keys(many, "k", 300)
+    per_key = one.where("k IS NOT NULL").select("k", F.length("k").alias("c")).distinct()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got, want = (fan_out(one, many, "k", "line", hot, [per_key], r) for r in (ranges, None))
+        assert plan_of(got).count("REPARTITION_BY_NUM") == 3 and plan_of(got).count("hashpartitioning") < plan_of(want).count("hashpartitioning")
+        assert rows(got) == rows(want)
+        spans = got.groupBy(F.spark_partition_id().alias("p")).agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("*").alias("n")).orderBy("p").collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert all(a.hi <= b.lo for a, b in zip(spans, spans[1:])) and max(s.n for s in spans) <= 1000
+    assert sum(s.lo <= "k150" <= s.hi for s in spans) > 5
+    assert ranges_of(counts.limit(0), "k", "n").count == 1

@@ -1,14 +1,16 @@
 from __future__ import annotations
 
+import time
+
 import pytest
 from conftest import AS_OF, SF_DIR, plan_of, rows
 from pyspark.sql import functions as F
 
-from ankenmart.operators.layout import clustered
+from ankenmart.operators.layout import clustered, ranges_of
 from ankenmart.plans import pipeline
 from ankenmart.plans.quality import KEYS
 from ankenmart.plans.wide import gold_opportunity_line_item_wide
-from ankenmart.session import scratch_path, shared_dir
+from ankenmart.session import scratch_path, shared_dir, shuffles_freed
 from ankenmart.sources.raw import parquet_source
 from fixtures.crm import crm_source, write_raw
 
@@ -163,3 +165,33 @@ def test_staging_views_and_comments_outlast_the_session(spark, raw, tmp_path):
     assert other.table("lasting_marts.dim_user").inputFiles() != files
     assert other.table("lasting_marts.dim_user").count() == built.marts["dim_user"].count()
     assert spark.read.parquet(files[0]).schema["user_id"].metadata["comment"] == "Key: filled and unique"
+
+
+def test_shuffle_files_go_with_the_write(spark, tmp_path):
+    def shuffled() -> int:
+        files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()
+        return sum("shuffle_" in files.apply(i).getName() for i in range(files.size()))
+
+    def left(write) -> int:
+        before = shuffled()
+        write()
+        end = time.time() + 10
+        while shuffled() > before and time.time() < end:
+            time.sleep(0.2)
+        return shuffled() - before
+
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(setting)
+    data = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    with shuffles_freed(spark):
+        assert left(lambda: data.write.parquet(str(tmp_path / "t"))) <= 0
+    assert spark.conf.get(setting) == was and spark.read.parquet(str(tmp_path / "t")).count() == 7
+
+
+def test_line_marts_are_ranges_of_the_opportunity(spark, raw, tmp_path, monkeypatch):
+    monkeypatch.setattr(pipeline, "ranges_of", lambda *given: ranges_of(*given, 500))
+    result = pipeline.build(spark, parquet_source(spark, raw), str(tmp_path), AS_OF)
+    for model, key in ((pipeline.LINE_FACT, "opportunity_id"), ("gold_opportunity_line_item_wide", "案件ID")):
+        mart = result.marts[model]
+        files = mart.groupBy(F.col("_metadata.file_path").alias("f")).agg(F.min(key).alias("lo"), F.max(key).alias("hi")).orderBy("lo").collect()
+        assert len(files) > 5 and all(a.hi < b.lo for a, b in zip(files, files[1:]))
