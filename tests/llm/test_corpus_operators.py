@@ -668,3 +668,18 @@ def test_pii_of_a_text_with_many_spans(spark):
         assert set(r.spans.split(",")) == {*r.base.split(","), *names}
     want = {i: re.sub(r"a\.b@c\.org", "[EMAIL]", t).replace("10.0.0.1", "[IP]").replace("+1 (555) 123-4567", "[PHONE]").replace("James Smith", "[NAME]") for i, t, _ in rows}
     assert {r["row"]["doc_id"]: r["changed"] for r in pii.redacted(found, "changed").collect()} == want
+
+
+def test_words_are_encoded_once_whatever_stands_around_them(texts):
+    library, own = Tokenizer.from_file(tokens.TOKENIZER), tokens.Encoder(tokens.TOKENIZER)
+    direct, given = own._direct, []
+    own._direct = lambda some: given.extend(some) or direct(some)
+    around = ["so wordé### and", "so wordé%%% and,", "so wordé... and\nso", "so wordé\nand wordé$$$ and", "so (wordé) 日本 and"]
+    odd = ["  so", "so  \nand", "\n\n \nso", "so\n and \n\n  so ", "x\x1cy so's we'll-x.'", " ", "", "ꟁꟂ ȹǀ ⅷ so", "\n so"]
+    for every in (around, odd + around, list(texts.values())):
+        want = [np.array(library.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in every]
+        given.clear()
+        assert own.encode(every) == want
+        assert every is not around or not any("wordé" in x and "(" not in x for x in given)
+        assert own.encode(every) == want
+    assert not any(x.isspace() or not x for x in own.after)
