@@ -84,6 +84,21 @@ def _unpacked_within(data: bytes, kind: str, sizes: np.ndarray) -> np.ndarray:
     return (sums - np.repeat(before, sizes)).astype(kind)
 
 
+def _packed_ranked(values: np.ndarray) -> bytes:
+    """Values of which some are frequent: each one's rank, as small numbers pack better, after those ranked."""
+    distinct, place, times = np.unique(values, return_inverse=True, return_counts=True)
+    order = np.argsort(-times, kind="stable")
+    rank = np.empty(len(order), "u4")
+    rank[order] = np.arange(len(order), dtype="u4")
+    ranked = _packed(distinct[order])
+    return np.uint32(len(ranked)).tobytes() + ranked + _packed(rank[place])
+
+
+def _unpacked_ranked(data: bytes, kind: str) -> np.ndarray:
+    end = 4 + int(np.frombuffer(data[:4], "u4")[0])
+    return _unpacked(data[4:end], kind)[_unpacked(data[end:], "u4")]
+
+
 #: Bits of a probability that the divergence test leaves out: 12 significant ones are kept, within 2 ** -12.
 _LEFT_OUT = np.uint32(12)
 
@@ -379,17 +394,18 @@ class _Walk:
             if y > x:
                 yield (
                     b, _packed_rising(self.context_id[x:y]), _packed(self.context_n[x:y]), _packed(runs[x:y]),
-                    _packed_within((self.keys[u:v] & _LAST).astype("u4"), runs[x:y]), _packed(counts[u:v]), _packed(p[u:v]),
+                    _packed_within((self.keys[u:v] & _LAST).astype("u4"), runs[x:y]), _packed(counts[u:v]), _packed_ranked(p[u:v]),
                 )
 
     def take(self, replies: pd.DataFrame) -> None:
         """Go one level on: ``first`` has the occurrences of each context's runs and one more, 0 if it is no state,
-        ``second`` the count of each run, 0 if it takes no part, ``third`` the ids of those that do."""
+        ``second`` the count of each run, 0 if it takes no part, ``third`` the ids of those that do, null at the last level."""
         replies = replies.sort_values("bucket")
         followed = np.concatenate([_unpacked(f, "i8") for f in replies["first"]] or [np.zeros(0, "i8")])
         self.total = np.concatenate([_unpacked(t, "i8") for t in replies["second"]] or [np.zeros(0, "i8")])
         self.id = np.zeros(len(self.total), "i8")
-        self.id[self.total > 0] = np.concatenate([_unpacked_rising(i, "i8") for i in replies["third"]] or [np.zeros(0, "i8")])
+        if replies["third"].notna().all():
+            self.id[self.total > 0] = np.concatenate([_unpacked_rising(i, "i8") for i in replies["third"]] or [np.zeros(0, "i8")])
         self.place = np.full(len(self.place), -1, "i4")
         self.place[self.whole] = self.run
         own = np.zeros(len(self.place))
@@ -403,8 +419,11 @@ class _Walk:
 _ASKED = "bucket int, block long, contexts binary, n binary, runs binary, numbers binary, counts binary, p binary"
 
 
-def run_counts(asked: DataFrame, level: int, least: int, pull: float, divergence: float, bits: int) -> DataFrame:
-    """Replies of a level: counts of runs over all blocks, and the test of their contexts."""
+def run_counts(
+    asked: DataFrame, level: int, least: int, pull: float, divergence: float, bits: int, last: bool = False
+) -> DataFrame:
+    """Replies of a level: counts of runs over all blocks, and the test of their contexts. The runs of the last
+    level need no numbers, since no longer ones are asked for."""
 
     def judge(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("block")
@@ -414,7 +433,8 @@ def run_counts(asked: DataFrame, level: int, least: int, pull: float, divergence
         n = np.zeros(len(distinct), "i8")
         n[place] = np.concatenate([_unpacked(x, "i8") for x in frame["n"]])
         numbers = np.concatenate([_unpacked_within(x, "u4", r) for x, r in zip(frame["numbers"], runs, strict=True)])
-        counts, p = (np.concatenate([_unpacked(x, "u4") for x in frame[c]]) for c in ("counts", "p"))
+        counts = np.concatenate([_unpacked(x, "u4") for x in frame["counts"]])
+        p = np.concatenate([_unpacked_ranked(x, "u4") for x in frame["p"]])
         keys, run = np.unique(np.repeat(place.astype("i8"), np.concatenate(runs)) << np.int64(32) | numbers, return_inverse=True)
         totals = np.bincount(run, counts, len(keys)).astype("i8")
         below, here = np.ones(len(keys)), counts > 0
@@ -428,7 +448,7 @@ def run_counts(asked: DataFrame, level: int, least: int, pull: float, divergence
         ids = (np.cumsum(some) << bits) + bucket
         context_ends, run_ends = (np.cumsum([int(x) for x in ends])[:-1] for ends in ([len(c) for c in each], [r.sum() for r in runs]))
         shares = zip(frame["block"], np.split(place, context_ends), np.split(run, run_ends), strict=True)
-        rows = [(level, bucket, b, _packed(followed[c]), _packed(totals[r]), _packed_rising(ids[r[some[r]]]), 0) for b, c, r in shares]
+        rows = [(level, bucket, b, _packed(followed[c]), _packed(totals[r]), None if last else _packed_rising(ids[r[some[r]]]), 0) for b, c, r in shares]
         return pd.DataFrame(rows, columns=_REPLY)
 
     return asked.groupBy("bucket").applyInPandas(judge, _REPLIES)
@@ -503,7 +523,7 @@ def scores(
         release(spark)
         pairs = texts.groupBy("block").cogroup(replies.where("block >= 0").groupBy("block"))
         asked = pairs.applyInPandas(asker(level), _ASKED)
-        replies = answers.add(run_counts(asked, level, least_count, pull, divergence, run_bits))
+        replies = answers.add(run_counts(asked, level, least_count, pull, divergence, run_bits, level == depth))
         del pairs, asked
     release(spark)
     found = texts.groupBy("block").cogroup(replies.where("block >= 0").groupBy("block")).applyInPandas(
