@@ -103,17 +103,58 @@ def _blocks(column: str, n: int, size: int = BLOCK) -> Column:
     return F.pmod(F.xxhash64(column), F.lit(max(1, -(-n // size)))).cast("int").alias("block")
 
 
-def _merged(lists: DataFrame, n: int, degree: int) -> DataFrame:
-    """One list a node, and the number of its entries that no ``old`` list of the node has."""
+def _improved(n: int, degree: int, old: DataFrame, met: DataFrame) -> DataFrame:
+    """One list a node of the old lists and those that were met, and the number of its entries that no old one has."""
 
-    def merge(frame: pd.DataFrame) -> pd.DataFrame:
-        out = _lists(*_best(*_edges(frame), degree))
-        old = frame[frame["old"]]
-        had = {node: np.frombuffer(ids, "i8") for node, ids in zip(old["node"], old["ids"], strict=True)}
+    def merge(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        nodes, ids, scores = (np.concatenate(both) for both in zip(_edges(left), _unpacked(right), strict=True))
+        out = _lists(*_best(nodes, ids, scores, degree))
+        had = {node: np.frombuffer(ids, "i8") for node, ids in zip(left["node"], left["ids"], strict=True)}
         none = np.zeros(0, "i8")
         new = [(~np.isin(np.frombuffer(ids, "i8"), had.get(node, none))).sum() for node, ids in zip(out["node"], out["ids"], strict=True)]
         return out.assign(changed=np.array(new, "i8"))
 
+    pairs = old.select("*", _blocks("node", n)).groupBy("block").cogroup(met.groupBy("home"))
+    return pairs.applyInPandas(merge, _LISTS + ", changed long")
+
+
+_MET = "home int, nodes binary, sizes binary, ids binary, scores binary"
+
+
+def _by_home(nodes: np.ndarray, ids: np.ndarray, scores: np.ndarray, homes: np.ndarray) -> pd.DataFrame:
+    """Sorted edges as one row for all nodes of a home, the block of a node's list: the rows a block sends are never
+    more than there are blocks, nor than the nodes that met in it."""
+    order = np.argsort(homes, kind="stable")
+    nodes, ids, scores, homes = nodes[order], ids[order], scores[order], homes[order]
+    starts = np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1])) if len(nodes) else np.zeros(0, "i8")
+    sizes = np.diff(starts, append=len(nodes))
+    home = homes[starts]
+    first = np.flatnonzero(np.append(True, home[1:] != home[:-1])) if len(home) else np.zeros(0, "i8")
+    lists = list(zip(first, np.append(first[1:], len(home)), strict=True)) if len(home) else []
+    edges = np.append(starts, len(nodes))
+    return pd.DataFrame(
+        {
+            "home": home[first],
+            "nodes": [nodes[starts[a:b]].astype("i8").tobytes() for a, b in lists],
+            "sizes": [sizes[a:b].astype("i4").tobytes() for a, b in lists],
+            "ids": [ids[edges[a] : edges[b]].astype("i8").tobytes() for a, b in lists],
+            "scores": [scores[edges[a] : edges[b]].astype("f8").tobytes() for a, b in lists],
+        }
+    )
+
+
+def _unpacked(frame: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    nodes, sizes, ids, scores = (np.frombuffer(b"".join(frame[c]), t) for c, t in (("nodes", "i8"), ("sizes", "i4"), ("ids", "i8"), ("scores", "f8")))
+    return np.repeat(nodes, sizes), ids, scores
+
+
+def _merged(lists: DataFrame, n: int, degree: int) -> DataFrame:
+    """One list a node, and the number of its entries."""
+
+    def merge(frame: pd.DataFrame) -> pd.DataFrame:
+        out = _lists(*_best(*_edges(frame), degree))
+        return out.assign(changed=np.array([len(ids) // 8 for ids in out["ids"]], "i8"))
+
     return lists.select("*", _blocks("node", n)).groupBy("block").applyInPandas(merge, _LISTS + ", changed long")
 
 
@@ -145,7 +186,7 @@ def start(vectors: DataFrame, n: int, dim: int, degree: int, leaf: int, trees: i
     sizes = placed.groupBy("tree", "leaf").agg(F.ceil(F.count(F.lit(1)) / leaf).alias("parts"))
     parted = placed.join(sizes, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("node", "tree"), F.col("parts")))
     found = parted.groupBy("tree", "leaf", "part").applyInPandas(nearest, _LISTS)
-    return saved(_merged(found.withColumn("old", F.lit(False)), n, degree), "graph")
+    return saved(_merged(found, n, degree), "graph")
 
 
 def _pairs(graph: DataFrame, most: int, seed: int) -> DataFrame:
@@ -190,12 +231,14 @@ def descend(graph: DataFrame, vectors: DataFrame, n: int, degree: int, sample: i
             top = np.argpartition(-s, k - 1, axis=1)[:, :k]
             out.append((np.repeat(own, k), own[top].ravel(), np.take_along_axis(s, top, axis=1).ravel()))
         joined = [np.concatenate(c) for c in zip(*out, strict=True)] or [np.zeros(0, t) for t in ("i8", "i8", "f8")]
-        return _lists(*_best(*joined, degree))
+        best = _best(*joined, degree)
+        each, place = np.unique(ids, return_index=True)
+        return _by_home(*best, frame["home"].to_numpy("i4")[place][np.searchsorted(each, best[0])])
 
     members = both_ways(graph, sample, sample, seed).join(vectors.withColumnRenamed("node", "member"), "member")
-    met = members.select("*", _blocks("node", n)).groupBy("block").applyInPandas(meet, _LISTS)
-    old = graph.drop("changed").withColumn("old", F.lit(True))
-    return saved(_merged(old.unionByName(met.withColumn("old", F.lit(False))), n, degree), "graph")
+    dealt = members.select("*", _blocks("member", n).alias("home"), _blocks("node", n))
+    met = dealt.groupBy("block").applyInPandas(meet, _MET)
+    return saved(_improved(n, degree, graph.drop("changed"), met), "graph")
 
 
 def descended(graph: DataFrame, vectors: DataFrame, n: int, degree: int, sample: int, take: int, delta: float) -> DataFrame:

@@ -683,3 +683,23 @@ def test_words_are_encoded_once_whatever_stands_around_them(texts):
         assert every is not around or not any("wordé" in x and "(" not in x for x in given)
         assert own.encode(every) == want
     assert not any(x.isspace() or not x for x in own.after)
+
+
+def test_frequent_probabilities_travel_as_their_rank():
+    random = np.random.default_rng(3)
+    values = random.choice(random.integers(0, 1 << 20, 300).astype("u4"), 20_000, p=np.arange(1, 301) / 45_150)
+    packed = suffix_tree._packed_ranked(values)
+    assert np.array_equal(suffix_tree._unpacked_ranked(packed, "u4"), values)
+    assert len(packed) < 0.7 * len(suffix_tree._packed(values))
+    assert len(suffix_tree._unpacked_ranked(suffix_tree._packed_ranked(values[:0]), "u4")) == 0
+
+
+def test_what_met_in_a_block_goes_out_as_a_row_a_home():
+    random = np.random.default_rng(4)
+    nodes = np.sort(random.integers(-500, 500, 9000))
+    ids, scores = random.integers(0, 1 << 40, 9000), random.random(9000)
+    rows = nn_descent._by_home(nodes, ids, scores, (nodes % 7).astype("i4"))
+    assert rows["home"].tolist() == [*range(7)]
+    assert all(set(np.frombuffer(x, "i8") % 7) == {home} for home, x in zip(rows["home"], rows["nodes"], strict=True))
+    assert set(zip(*nn_descent._unpacked(rows), strict=True)) == set(zip(nodes, ids, scores, strict=True))
+    assert not len(nn_descent._by_home(nodes[:0], ids[:0], scores[:0], nodes[:0].astype("i4")))
