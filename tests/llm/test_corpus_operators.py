@@ -10,6 +10,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 import xxhash
@@ -703,3 +704,62 @@ def test_what_met_in_a_block_goes_out_as_a_row_a_home():
     assert all(set(np.frombuffer(x, "i8") % 7) == {home} for home, x in zip(rows["home"], rows["nodes"], strict=True))
     assert set(zip(*nn_descent._unpacked(rows), strict=True)) == set(zip(nodes, ids, scores, strict=True))
     assert not len(nn_descent._by_home(nodes[:0], ids[:0], scores[:0], nodes[:0].astype("i4")))
+
+
+def test_pairs_are_ordered_with_and_without_room_for_their_place():
+    random = np.random.default_rng(6)
+    for most in (20, 1 << 40):
+        high, low = (random.choice(random.integers(0, most, 30), 3000) for _ in range(2))
+        pairs = sorted(set(zip(high.tolist(), low.tolist(), strict=True)))
+        order = suffix_tree._order(high, low)
+        assert order.tolist() == sorted(range(3000), key=lambda i: (high[i], low[i], i))
+        first, second, which = suffix_tree._distinct(high, low)
+        assert list(zip(first.tolist(), second.tolist(), strict=True)) == pairs
+        assert (first[which] == high).all() and (second[which] == low).all()
+    assert [len(x) for x in suffix_tree._distinct(high[:0], low[:0])] == [0, 0, 0]
+
+
+def test_contexts_and_probabilities_take_as_much_in_many_buckets_as_in_few():
+    """Gaps between the contexts of a bucket do not grow with the number of buckets, and no two have the same number."""
+    ids = np.unique(np.random.default_rng(7).integers(1, 1 << 20, 200_000))
+    taken = []
+    for bits in (0, 4, 8):
+        buckets = suffix_tree._bucket(ids, bits)
+        told = [np.sort(ids[buckets == b] >> bits) for b in range(1 << bits)]
+        assert all((np.diff(t) > 0).all() for t in told)
+        assert max(map(len, told)) < 2 * min(map(len, told))
+        taken.append(sum(len(suffix_tree._packed_rising(t)) for t in told))
+    assert max(taken) < 1.4 * min(taken)
+    words = np.random.default_rng(8).integers(1, 5000, 20_000).astype("u4")
+    p = suffix_tree._short(1 / (1 + (words.astype("i8") - 1 >> 3) // 4.0))
+    packed = suffix_tree._packed_by_word(p, words, 3)
+    assert np.array_equal(suffix_tree._unpacked_by_word(packed, "u4", words, 3), p)
+    assert len(packed) < 0.2 * len(suffix_tree._packed_ranked(p))
+
+
+def test_longer_runs_are_told_by_ranks_within_their_context():
+    """A block's walk: words have large numbers, the last words of runs after two words have ranks below 3."""
+    block = suffix_tree._Block()
+    for i in range(40):
+        block.add(i, f"the  cat sat\n{'on' if i % 2 else 'by'} a MAT " + " ".join(f"w{i}x{j} w{i}x{j}" for j in range(50)), False)
+    row = next(block.frame(0).itertuples(index=False))
+    words, counts = suffix_tree._unpacked_rising(row.words, "u8"), suffix_tree._unpacked(row.counts, "u4").astype("i8")
+    assert counts.sum() == row.train_tokens == 40 * (6 + 100 + 1) and len(words) == 40 * 50 + 7 + 1
+    numbers = np.where(counts >= 2, np.argsort(np.argsort(-counts, kind="stable")) + 1, 0)
+    replies = pd.DataFrame({"bucket": [0], "first": [suffix_tree._packed(counts)], "second": [suffix_tree._packed(numbers)]})
+    walk = suffix_tree._Walk(row, replies, row.train_tokens, len(words), 6.0, 0, 0)
+    assert walk.name.max() > 1000
+    walk.ask()
+    totals = np.bincount(walk.run, minlength=len(walk.last)).astype("i8")
+    some = totals >= 2
+    starts = np.searchsorted(walk.follows[some], np.arange(len(walk.context_id)))
+    sizes = suffix_tree._sizes(walk.follows[some])
+    ranks = (np.arange(some.sum()) - starts[walk.follows[some]]).astype("u4")
+    reply = [
+        suffix_tree._packed(np.ones(len(walk.context_id), "i8")), suffix_tree._packed(totals * some),
+        suffix_tree._packed_within(ranks, sizes), suffix_tree._packed_rising(starts[np.unique(walk.follows[some])]),
+    ]
+    walk.take(pd.DataFrame([(0, *reply)], columns=["bucket", "first", "second", "third", "fourth"]))
+    assert walk.id[some].tolist() == [*range(1, some.sum() + 1)] and not walk.id[~some].any()
+    walk.ask()
+    assert len(walk.last) and walk.last.max() < 3
