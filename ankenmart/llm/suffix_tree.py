@@ -64,6 +64,25 @@ def _unpacked(data: bytes, kind: str) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(kind).ravel()
 
 
+#: Lowest bits of a kept probability that look like chance: what is above them packs better alone.
+_LOW = 10
+
+
+def _packed_split(values: np.ndarray) -> bytes:
+    """Values of 32 bits: the lowest bits as they are, end to end, after the others, packed."""
+    high = _packed(values >> np.uint32(_LOW))
+    low = np.unpackbits((values & np.uint32((1 << _LOW) - 1)).astype(">u2").view("u1").reshape(-1, 2), axis=1)[:, 16 - _LOW :]
+    return np.uint32(len(high)).tobytes() + high + np.packbits(low).tobytes()
+
+
+def _unpacked_split(data: bytes) -> np.ndarray:
+    end = 4 + int(np.frombuffer(data[:4], "u4")[0])
+    high = _unpacked(data[4:end], "u4")
+    low = np.zeros((len(high), 16), "u1")
+    low[:, 16 - _LOW :] = np.unpackbits(np.frombuffer(data[end:], "u1"), count=len(high) * _LOW).reshape(-1, _LOW)
+    return high << np.uint32(_LOW) | np.packbits(low, axis=1).view(">u2").ravel()
+
+
 def _packed_rising(values: np.ndarray) -> bytes:
     """Sorted values, as the gaps between them."""
     return _packed(np.append(values[:1], np.diff(values)))
@@ -444,8 +463,7 @@ class _Walk:
         counts = np.bincount(self.run, self.learnt[self.whole], len(self.last)).astype("u4")
         p = np.zeros(len(self.last), "u4")
         p[self.run] = _short(self.p[self.whole])  # the same at each token of a run
-        if self.level:
-            p[counts == 0] = 0
+        learnt = counts > 0
         edges = self.edges
         runs = np.bincount(self.follows, minlength=len(self.context_id)).astype("u4")
         ends = np.searchsorted(self.follows, edges)
@@ -453,7 +471,7 @@ class _Walk:
             if y > x:
                 yield (
                     b, _packed_rising(self.context_id[x:y] >> np.int64(self.bits)), _packed(self.context_n[x:y][runs[x:y] > 0]), _packed(runs[x:y]),
-                    _packed_within(self.last[u:v], runs[x:y]), _packed(counts[u:v]), _packed(p[u:v]) if self.level else _packed_by_word(p[u:v], self.last[u:v], self.word_bits),
+                    _packed_within(self.last[u:v], runs[x:y]), _packed(counts[u:v]), _packed_split(p[u:v][learnt[u:v]]) if self.level else _packed_by_word(p[u:v], self.last[u:v], self.word_bits),
                 )
 
     def take(self, replies: pd.DataFrame) -> None:
@@ -511,12 +529,15 @@ def run_counts(
         n[place[sizes > 0]] = np.concatenate([_unpacked(x, "i8") for x in frame["n"]])
         lasts = [_unpacked_within(x, "u4", r) for x, r in zip(frame["last"], runs, strict=True)]
         counts = np.concatenate([_unpacked(x, "u4") for x in frame["counts"]])
-        # After one word p hangs on the last one only.
-        p = np.concatenate([_unpacked_by_word(x, "u4", w, word_bits) if level == 1 else _unpacked(x, "u4") for x, w in zip(frame["p"], lasts, strict=True)])
+        here = counts > 0
+        if level == 1:  # p hangs on the last word only
+            p = np.concatenate([_unpacked_by_word(x, "u4", w, word_bits) for x, w in zip(frame["p"], lasts, strict=True)])[here]
+        else:
+            p = np.concatenate([_unpacked_split(x) for x in frame["p"]])
         follows, _, run = _distinct(np.repeat(place, sizes), np.concatenate(lasts))
         totals = np.bincount(run, counts, len(follows)).astype("i8")
-        below, here = np.ones(len(follows)), counts > 0
-        below[run[here]] = _long(p[here])  # the same from each block
+        below = np.ones(len(follows))
+        below[run[here]] = _long(p)  # the same from each block
         some = totals >= least
         context, bucket = follows[some], int(frame["bucket"].iloc[0])
         kept, _ = _judged(context, n, totals[some], below[some], pull, divergence)
@@ -564,7 +585,9 @@ def scores(
     tokens = sums["tokens"] or 0
     bits, run_bits = (max((n or 0) // bucket_entries, 1).bit_length() - 1 for n in (sums["entries"], tokens))
     answers = Bucketed(spark, "replies", "block")
-    replies = answers.add(word_counts(read, bits, least_count))
+    # Replies are not dealt by block first: a task judges many buckets, so a block's replies are in few files, and they
+    # would be on disk twice while what was asked is there too.
+    replies = answers.add(word_counts(read, bits, least_count), dealt=False)
     known = replies.where("block < 0").agg(F.sum("known")).first()[0] or 0
     release(spark)
     # The vocabularies have been counted; the texts go on without them.
@@ -608,7 +631,7 @@ def scores(
         release(spark)
         pairs = texts.groupBy("block").cogroup(replies.where("block >= 0").groupBy("block"))
         asked = pairs.applyInPandas(asker(level), _ASKED)
-        replies = answers.add(run_counts(asked, level, least_count, pull, divergence, bits, level == depth))
+        replies = answers.add(run_counts(asked, level, least_count, pull, divergence, bits, level == depth), dealt=False)
         del pairs, asked
     release(spark)
     found = texts.groupBy("block").cogroup(replies.where("block >= 0").groupBy("block")).applyInPandas(

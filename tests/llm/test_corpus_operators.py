@@ -763,3 +763,12 @@ def test_longer_runs_are_told_by_ranks_within_their_context():
     assert walk.id[some].tolist() == [*range(1, some.sum() + 1)] and not walk.id[~some].any()
     walk.ask()
     assert len(walk.last) and walk.last.max() < 3
+
+
+def test_low_bits_of_probabilities_travel_as_they_are():
+    p = suffix_tree._short(10.0 ** np.random.default_rng(9).uniform(-6, 0, 3000))
+    packed = suffix_tree._packed_split(p)
+    assert np.array_equal(suffix_tree._unpacked_split(packed), p)
+    assert len(packed) < len(suffix_tree._packed(p))
+    for few in (p[:0], p[:1], np.array([0, (1 << 32) - 1], "u4")):
+        assert np.array_equal(suffix_tree._unpacked_split(suffix_tree._packed_split(few)), few)
