@@ -381,6 +381,43 @@ def test_two_loaders_started_together_load_no_row_twice(spark, tmp_path):
     assert len(seen) == 12 and {(r.n, r.step) for r in seen} == {(1, "done")}
 
 
+def test_loads_of_few_files_run_together(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    for i in range(4):
+        _write(folder, f"{i}.csv", f"品目ID\n{i}\n")
+    together = Barrier(2, timeout=60)
+
+    def read(paths):
+        together.wait()
+        return load.read_wide_csv(spark, paths)
+
+    load_files_once(spark, str(folder), out, read, files_per_batch=1)
+    assert _ids(spark, out) == ["0", "1", "2", "3"]
+    assert {r.step for r in history(spark, f"{out}/_loads").collect()} == {"done"}
+
+
+def test_a_load_that_fails_beside_others_is_raised_and_released(spark, tmp_path):
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    for i in range(3):
+        _write(folder, f"{i}.csv", f"品目ID,合計金額\n{i},{'ten' if i == 1 else 10}\n")
+    with pytest.raises(Exception, match="bad value or record"):
+        load_once(spark, str(folder), out, files_per_batch=1)
+    assert _ids(spark, out) == ["0", "2"]
+    _write(folder, "1.csv", "品目ID,合計金額\n1,10\n")
+    load_once(spark, str(folder), out, files_per_batch=1)
+    assert _ids(spark, out) == ["0", "1", "2"]
+
+
+def test_wide_rows_are_not_left_to_the_interpreter(spark, tmp_path):
+    """What is generated for 89 typed columns is no method longer than the JVM compiles."""
+    path = _write(tmp_path, "a.csv", ",".join(load.WIDE_TYPES) + "\n")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", 65535)
+    read = load.read_wide_csv(spark, [path])
+    assert read.count() == 0 and spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
 def test_a_lost_loader_is_followed_by_another_after_its_lease(spark, tmp_path):
     folder, out = tmp_path / "in", str(tmp_path / "out")
     folder.mkdir()
