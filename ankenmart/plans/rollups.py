@@ -17,7 +17,8 @@ from pyspark.sql import types as T
 
 from ankenmart.operators.numbering import dense_ids
 from ankenmart.plans.semantic import AVG, COUNT, COUNT_DISTINCT, SUM, Metric, SemanticModel
-from ankenmart.session import scratch_path
+from ankenmart.session import scratch_path, shuffles_freed
+from ankenmart.storage import delete
 
 _BLOCK, _BIT = "_block", "_bit"
 
@@ -61,11 +62,12 @@ def _final(metric: Metric) -> Column:
 
 
 def write_rollups(
-    model: SemanticModel, rows: DataFrame, sets: Sequence[Sequence[str]], place: str, near: Sequence[str] = ()
+    model: SemanticModel, rows: DataFrame | Sequence[DataFrame], sets: Sequence[Sequence[str]], place: str, near: Sequence[str] = ()
 ) -> list[Rollup]:
-    """A rollup of all metrics for each set of dimensions, below ``place``. The lines are made once and, cut to the
-    columns in use, written with their numbers; each set that no earlier rollup covers reads them from there, the
-    others come from the smallest rollup that does.
+    """A rollup of all metrics for each set of dimensions, below ``place``. The lines are made once, those of several
+    DataFrames one after another, and, cut to the columns in use, written with their numbers; each set that no earlier
+    rollup covers reads them from there, the others come from the smallest rollup that does. What is written on the
+    way is deleted when it has been read, and so are shuffle files.
 
     ``near`` dimensions order the ids, so that the opportunities of one of their values are in few blocks.
     """
@@ -74,34 +76,39 @@ def write_rollups(
         raise ValueError(f"{model.name} must count distinct values of one column, not of {sorted(counted)}")
     (column,) = counted
     used = model.columns_for([m.name for m in model.metrics], [*near, *(d for s in sets for d in s)])
-    rows = _kept(rows.select(*[f"`{c}`" for c in rows.columns if c in used]), "lines")
-    ids = dense_ids(rows, column, [model.dimension(d).column for d in near])
-    numbered = rows.join(ids, F.col(f"`{column}`") == F.col("value"), "left").drop("value")
-    numbered = numbered.withColumns({_BLOCK: F.bitmap_bucket_number("id"), _BIT: F.bitmap_bit_position("id")})
-    still = model.columns_for([m.name for m in model.metrics if m.kind != COUNT_DISTINCT], [d for s in sets for d in s])
-    numbered = _kept(numbered.drop("id", *({column} - still)), "numbered")
-    made: list[Rollup] = []
-    spark = rows.sparkSession
-    for i, names in sorted(enumerate(_names(model, s) for s in sets), key=lambda x: -len(x[1])):
-        path = f"{place}/rollup_{i}"
-        if covering := [r for r in made if set(names) <= set(r.dimensions)]:
-            least = min(covering, key=lambda r: r.rows)
-            grouped = _merged(spark.read.parquet(least.path), names, model.metrics)
-        else:
-            keys = [F.col(f"`{model.dimension(d).column}`").alias(d) for d in names]
-            grouped = numbered.groupBy(*keys, _BLOCK).agg(
-                *[over.alias(c) for m in model.metrics for c, (over, _) in _states(m).items()]
-            )
-        grouped.write.mode("overwrite").parquet(path)
-        made.append(Rollup(names, path, spark.read.parquet(path).count()))
+    given = [rows] if isinstance(rows, DataFrame) else list(rows)
+    spark = given[0].sparkSession
+    lines_at, numbered_at = scratch_path(spark, "lines"), scratch_path(spark, "numbered")
+    with shuffles_freed(spark):
+        lines = _kept([part.select(*[f"`{c}`" for c in part.columns if c in used]) for part in given], lines_at)
+        ids = dense_ids(lines, column, [model.dimension(d).column for d in near])
+        numbered = lines.join(ids, F.col(f"`{column}`") == F.col("value"), "left").drop("value")
+        numbered = numbered.withColumns({_BLOCK: F.bitmap_bucket_number("id"), _BIT: F.bitmap_bit_position("id")})
+        still = model.columns_for([m.name for m in model.metrics if m.kind != COUNT_DISTINCT], [d for s in sets for d in s])
+        numbered = _kept([numbered.drop("id", *({column} - still))], numbered_at)
+        delete(spark, lines_at)
+        made: list[Rollup] = []
+        for i, names in sorted(enumerate(_names(model, s) for s in sets), key=lambda x: -len(x[1])):
+            path = f"{place}/rollup_{i}"
+            if covering := [r for r in made if set(names) <= set(r.dimensions)]:
+                least = min(covering, key=lambda r: r.rows)
+                grouped = _merged(spark.read.parquet(least.path), names, model.metrics)
+            else:
+                keys = [F.col(f"`{model.dimension(d).column}`").alias(d) for d in names]
+                grouped = numbered.groupBy(*keys, _BLOCK).agg(
+                    *[over.alias(c) for m in model.metrics for c, (over, _) in _states(m).items()]
+                )
+            grouped.write.mode("overwrite").option("compression", "zstd").parquet(path)
+            made.append(Rollup(names, path, spark.read.parquet(path).count()))
+        delete(spark, numbered_at)
     return made
 
 
-def _kept(rows: DataFrame, label: str) -> DataFrame:
-    """The rows from the scratch folder: several jobs read them, one makes them."""
-    path = scratch_path(rows.sparkSession, label)
-    rows.write.option("compression", "zstd").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+def _kept(parts: Sequence[DataFrame], path: str) -> DataFrame:
+    """The rows from a folder: several jobs read them, one a part makes them."""
+    for rows in parts:
+        rows.write.mode("append").option("compression", "zstd").parquet(path)
+    return parts[0].sparkSession.read.schema(parts[0].schema).parquet(path)
 
 
 def _merged(rollup: DataFrame, names: Sequence[str], metrics: Sequence[Metric]) -> DataFrame:
