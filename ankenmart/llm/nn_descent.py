@@ -66,14 +66,33 @@ def _matrix(vectors: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     return x[:, 1:].astype("f4"), np.ldexp(1.0, x[:, 0].copy().view("i2") - 64)
 
 
+def _places(values: np.ndarray) -> tuple[np.ndarray, int]:
+    """Numbers from 0 on in the order of the values, and how many there can be: the values less the least where
+    they are near each other, else their ranks."""
+    least, span = int(values.min()), int(values.max()) - int(values.min()) + 1
+    if span < 1 << 31:
+        return values - least, span
+    ranked, places = np.unique(values, return_inverse=True)
+    return places, len(ranked)
+
+
 def _best(nodes: np.ndarray, ids: np.ndarray, scores: np.ndarray, most: int) -> tuple[np.ndarray, ...]:
     """Of each node the ``most`` best ids, each id once."""
-    order = np.lexsort((-scores, ids, nodes))
-    nodes, ids, scores = nodes[order], ids[order], scores[order]
-    new = np.ones(len(nodes), bool)
-    new[1:] = (nodes[1:] != nodes[:-1]) | (ids[1:] != ids[:-1])
-    nodes, ids, scores = nodes[new], ids[new], scores[new]
-    order = np.lexsort((ids, -scores, nodes))
+    if not len(nodes):
+        return nodes, ids, scores
+    (node, _), (id_, n) = _places(nodes), _places(ids)
+    pair = node * n + id_
+    order = np.argsort(pair)
+    pair = pair[order]
+    new = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+    scores, order = np.fmax.reduceat(scores[order], new), order[new]
+    nodes, ids = nodes[order], ids[order]
+    group = np.cumsum(np.append(False, nodes[1:] != nodes[:-1]))
+    if group[-1] < 1 << 16:  # sorted by counting
+        group = group.astype("u2")
+    # By node and id before, so that stable sorts leave equal scores by id.
+    order = np.argsort(-scores, kind="stable")
+    order = order[np.argsort(group[order], kind="stable")]
     nodes, ids, scores = nodes[order], ids[order], scores[order]
     first = np.searchsorted(nodes, nodes, side="left")
     some = np.arange(len(nodes)) - first < most

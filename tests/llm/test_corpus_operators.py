@@ -772,3 +772,22 @@ def test_low_bits_of_probabilities_travel_as_they_are():
     assert len(packed) < len(suffix_tree._packed(p))
     for few in (p[:0], p[:1], np.array([0, (1 << 32) - 1], "u4")):
         assert np.array_equal(suffix_tree._unpacked_split(suffix_tree._packed_split(few)), few)
+
+
+@pytest.mark.parametrize("spread", [9, 2**40, 2**63 - 1])
+def test_the_best_of_each_node_are_those_of_a_plain_sort(spread):
+    """Near and far ids, repeated pairs, equal scores; ranks are used where ids are far apart."""
+    rng = np.random.default_rng(3)
+    known = np.append(rng.integers(-spread, spread, 12), [spread, -spread])
+    nodes, ids, scores = rng.choice(known, 3000), rng.choice(known, 3000), rng.integers(-5, 6, 3000) / 7
+    highest = {}
+    for node, i, score in zip(nodes.tolist(), ids.tolist(), scores.tolist()):
+        highest[node, i] = max(score, highest.get((node, i), -math.inf))
+    want = []
+    for node in sorted(set(nodes.tolist())):
+        each = sorted((-s, i) for (at, i), s in highest.items() if at == node)
+        want += [(node, i, -s) for s, i in each[:4]]
+    assert [*zip(*(c.tolist() for c in nn_descent._best(nodes, ids, scores, 4)))] == want
+    places, n = nn_descent._places(known)
+    assert n <= max(2 * spread + 1, 14) and n < 1 << 31 and np.array_equal(np.argsort(places), np.argsort(known))
+    assert [len(c) for c in nn_descent._best(nodes[:0], ids[:0], scores[:0], 4)] == [0, 0, 0]
